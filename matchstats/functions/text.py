@@ -11,11 +11,22 @@ from pyspark.sql import functions as F
 WHITESPACE = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
 
 
+def _starts_plainly(col: Column) -> Column:
+    """True where the first character is visible ASCII: a byte comparison, and the usual case."""
+    return (col >= "!") & (col < "\x7f")
+
+
 def strip_whitespace(col: Column) -> Column:
     """The value without leading or trailing whitespace of any kind."""
-    return F.btrim(col, F.lit(WHITESPACE))
+    plain = _starts_plainly(col) & _starts_plainly(F.substring(col, -1, 1))
+    return F.when(plain, col).otherwise(F.btrim(col, F.lit(WHITESPACE)))
+
+
+def is_present(col: Column) -> Column:
+    """True where text holds more than whitespace; null where it is null."""
+    return _starts_plainly(col) | (F.btrim(col, F.lit(WHITESPACE)) != "")
 
 
 def is_blank(col: Column) -> Column:
     """True where text is null, empty or whitespace only."""
-    return col.isNull() | (F.ltrim(col, F.lit(WHITESPACE)) == "")
+    return ~F.coalesce(is_present(col), F.lit(False))

@@ -63,41 +63,47 @@ class QualityError(ValueError):
     """A check failed under severity ``error``."""
 
 
-def _report(model: str, check, failures: Column) -> list[Column]:
-    return [
-        F.lit(model).alias("model"),
-        F.lit(check.name).alias("check"),
-        F.lit(check.column).alias("column"),
-        failures.alias("failures"),
-        (failures == 0).alias("passed"),
+def _report(counts: DataFrame, model: str, counted: dict) -> DataFrame:
+    """One row per check from a one-row frame; ``counted`` names each check's column in it."""
+    rows = [
+        F.struct(
+            F.lit(model).alias("model"),
+            F.lit(check.name).alias("check"),
+            F.lit(check.column).alias("column"),
+            F.coalesce(F.col(n), F.lit(0)).alias("failures"),
+            (F.coalesce(F.col(n), F.lit(0)) == 0).alias("passed"),
+        )
+        for n, check in counted.items()
     ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def check_model(frame: DataFrame, model: str, checks=None) -> DataFrame:
     """(model, check, column, failures, passed) for one model.
 
-    All row checks share one aggregation over the frame; each uniqueness check adds
-    one grouped by its column.
+    All row checks share one aggregation. A uniqueness check groups by its column
+    first, and the row checks ride along with the first of those, so a model with at
+    most one unique column is scanned once.
     """
     checks = MODEL_CHECKS[model] if checks is None else checks
-    row_checks = [c for c in checks if not isinstance(c, Unique)]
+    row_checks = {f"n{i}": c for i, c in enumerate(checks) if not isinstance(c, Unique)}
+    unique_checks = [c for c in checks if isinstance(c, Unique)]
+    failing = [F.count_if(check.failing()).alias(n) for n, check in row_checks.items()]
+    if not unique_checks:
+        return _report(frame.agg(*failing), model, row_checks)
     reports = []
-    if row_checks:
-        counts = frame.agg(
-            *[F.count_if(check.failing()).alias(f"n{i}") for i, check in enumerate(row_checks)]
-        )
-        rows = [
-            F.struct(*_report(model, check, F.col(f"n{i}"))) for i, check in enumerate(row_checks)
-        ]
-        reports.append(counts.select(F.inline(F.array(*rows))))
-    for check in (c for c in checks if isinstance(c, Unique)):
-        repeated = (
-            frame.where(F.col(check.column).isNotNull())
-            .groupBy(check.column)
-            .agg(F.count("*").alias("occurrences"))
-            .agg(F.count_if(F.col("occurrences") > 1).alias("n"))
+    for check in unique_checks:
+        value = F.col(check.column)
+        counts = (
+            frame.groupBy(value.alias("value"))
+            .agg(F.count("*").alias("occurrences"), *failing)
+            .agg(
+                F.count_if(F.col("value").isNotNull() & (F.col("occurrences") > 1)).alias("repeated"),
+                *[F.sum(n).alias(n) for n in row_checks],
+            )
         )
-        reports.append(repeated.select(*_report(model, check, F.col("n"))))
+        reports.append(_report(counts, model, {**row_checks, "repeated": check}))
+        row_checks, failing = {}, []
     return reduce(DataFrame.unionByName, reports)
 
 

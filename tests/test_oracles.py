@@ -1,7 +1,11 @@
-"""Every registered query against its SQL in another engine, on the smallest tables."""
+"""Every registered query against its SQL in another engine.
+
+Runs on the smallest tables, or on those ``MATCHSTATS_SF_DIR`` names.
+"""
 
 from __future__ import annotations
 
+import os
 from pathlib import Path
 
 import duckdb
@@ -9,7 +13,7 @@ import pytest
 
 import __spark_entry__ as registered
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = os.environ.get("MATCHSTATS_SF_DIR", "/root/testdata/sf0.001")
 DUCK_TYPES = {
     "VARCHAR": "string", "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double",
     "BOOLEAN": "boolean", "DATE": "date",
