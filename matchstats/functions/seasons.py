@@ -21,7 +21,8 @@ def parse_seasons(seasons: str | Iterable[str]) -> list[str]:
 
 
 def start_year_text(season: Column) -> Column:
-    return F.split(season, "/").getItem(0)
+    """Text before the slash, or all of it without one."""
+    return F.substring_index(season, "/", 1)
 
 
 def start_year(season: Column) -> Column:

@@ -19,6 +19,9 @@ def spark(tmp_path_factory):
         "matchstats-tests",
         spark__sql__warehouse__dir=str(root / "warehouse"),
         spark__checkpoint__dir=str(root / "shared"),
+        # Plans are read as text in the tests.
+        spark__sql__maxMetadataStringLength="100000",
+        spark__sql__debug__maxToStringFields="1000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
