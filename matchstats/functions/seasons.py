@@ -14,6 +14,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def season_labels(first: int, last: int) -> list[str]:
+    """Labels of the seasons starting in the years ``first`` to ``last``."""
+    return [f"{year}/{(year + 1) % 100:02d}" for year in range(first, last + 1)]
+
+
+# Fixed value: the seasons of a run that names none.
+DEFAULT_SEASONS = season_labels(2015, 2024)
+
+
 def parse_seasons(seasons: str | Iterable[str]) -> list[str]:
     """Trimmed, de-duplicated entries in the order given; blank ones are ignored."""
     entries = seasons.split(",") if isinstance(seasons, str) else seasons

@@ -86,7 +86,7 @@ def load_matches(spark: SparkSession, staged_path: str, table: str) -> DataFrame
     """Staged Parquet into the typed table; returns the verification row."""
     staged = require_rows(read_staged(spark, staged_path), staged_path)
     create_matches_table(spark, table)
-    reload_matches(staged, table)
+    reload_matches(staged, table, balanced=True)
     return verify_load(read_table(spark, table))
 
 
@@ -105,6 +105,14 @@ def materialise_models(spark: SparkSession, schemas: Schemas) -> dict[str, DataF
     return lower | {name: read_table(spark, f"{schemas.marts}.{name}") for name in marts}
 
 
+def check_models(
+    spark: SparkSession, models: dict[str, DataFrame], report_path: str, severity: str = "warn"
+) -> DataFrame:
+    """The checks of all models; written once, so that reading the report scans no model again."""
+    quality_report(models).write.mode("overwrite").parquet(report_path)
+    return enforce(spark.read.parquet(report_path), severity)
+
+
 def run(
     spark: SparkSession,
     source: str,
@@ -122,7 +130,7 @@ def run(
     counts = stage_source(spark, source, seasons, f"{work_dir}/staged", ingested_at)
     load = load_matches(spark, f"{work_dir}/staged", f"{schemas.raw}.matches")
     models = materialise_models(spark, schemas)
-    quality = enforce(quality_report(models), severity)
+    quality = check_models(spark, models, f"{work_dir}/quality", severity)
     return RunReport(
         profile=summary,
         coverage=coverage,

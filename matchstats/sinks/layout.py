@@ -1,32 +1,46 @@
 """How rows are placed before they are written.
 
 Seasons are few and may be very uneven. Hashing rows by season would put a dominant
-season into one task, so writes ask for a rebalance instead: adaptive execution
-cuts a large season into several tasks of the advisory partition size
-(``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and joins small ones. A small
-input gives one file per season, a large one gives evenly sized files.
+season into one task, so writes ask for a rebalance instead: adaptive execution cuts
+a large season into several tasks and joins small ones. A small input gives one file
+per season, a large one gives evenly sized files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+# Shuffled bytes per write task. Staged rows take about a tenth of that as Parquet, so
+# Spark's own 64 MB would leave files of a few megabytes.
+WRITE_TASK_BYTES = "256m"
+
 
 def balance_by_season(frame: DataFrame) -> DataFrame:
     return frame.hint("rebalance", F.col("season_start_year"))
 
 
-def cluster_matches(frame: DataFrame) -> DataFrame:
-    """Balanced by season and sorted by season and date inside each file.
+@contextmanager
+def write_task_size(spark: SparkSession) -> Iterator[None]:
+    """Larger tasks for the write inside, unless the session already names a size."""
+    if spark.conf.get(ADVISORY_SIZE, None) is not None:
+        yield
+        return
+    spark.conf.set(ADVISORY_SIZE, WRITE_TASK_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(ADVISORY_SIZE)
 
-    The sort lets a date filter skip row groups and pages by their statistics.
-    """
-    return balance_by_season(frame).sortWithinPartitions(
-        "season_start_year", "season", "match_date"
-    )
 
+def sort_matches(frame: DataFrame) -> DataFrame:
+    """Sorted by season and date inside each task, with no shuffle.
 
-def cluster_league(frame: DataFrame) -> DataFrame:
-    """Sorted by season and rank; a league table has one row per team and season."""
-    return frame.orderBy("season", "season_rank")
+    A date filter then skips row groups and pages by their statistics.
+    """
+    return frame.sortWithinPartitions("season_start_year", "season", "match_date")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import WAREHOUSE_COLUMNS
-from .layout import cluster_matches
+from .layout import balance_by_season, sort_matches, write_task_size
 
 
 def create_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
@@ -23,16 +23,19 @@ def create_matches_table(spark: SparkSession, table: str) -> None:
     )
 
 
-def reload_matches(staged: DataFrame, table: str) -> None:
+def reload_matches(staged: DataFrame, table: str, balanced: bool = False) -> None:
     """Replace the whole content of the typed table with the staged matches.
 
     One statement that matches columns by name: running it twice leaves the same
-    table, and a lost task is simply run again.
+    table, and a lost task is simply run again. ``balanced`` says that the rows come
+    from files split by season, as ``read_staged`` gives them; they are then written
+    by the tasks that read them, without a shuffle.
     """
-    rows = cluster_matches(
-        staged.withColumn("ingested_at", F.col("ingested_at").cast("string"))
-    )
-    staged.sparkSession.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
+    spark = staged.sparkSession
+    rows = staged.withColumn("ingested_at", F.col("ingested_at").cast("string"))
+    rows = sort_matches(rows if balanced else balance_by_season(rows))
+    with write_task_size(spark):
+        spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
 
 def loader_frame(staged: DataFrame) -> DataFrame:

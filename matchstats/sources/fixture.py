@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.seasons import season_labels
+
 # Six full seasons; the orders also hold parts of 1994/95 and 2001/02.
-FIXTURE_SEASONS = ["1995/96", "1996/97", "1997/98", "1998/99", "1999/00", "2000/01"]
+FIXTURE_SEASONS = season_labels(1995, 2000)
 
 # Names used by the columns below, over an order's keys and date.
 BASE_EXPRESSIONS = {
