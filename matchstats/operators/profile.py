@@ -31,9 +31,10 @@ def _present(name: str, kind: str) -> Column:
 
 
 def _parsed(name: str, kind: str) -> Column:
-    """Number of values readable as the integer they should be."""
+    """Number of values the typed scan reads as an integer; it takes no outer whitespace."""
     col = F.col(name)
-    return F.count(col.try_cast("int") if kind == "string" else col)
+    bare = (col >= "!") & (F.substring(col, -1, 1) >= "!")
+    return F.count(F.when(bare, col.try_cast("int")) if kind == "string" else col)
 
 
 def summarise(raw: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from ..operators.staging import clean_and_enrich, filter_seasons
 from ..sinks.staged import StagedCounts, write_enriched
 from ..sinks.tables import create_matches_table, create_schema, reload_matches, save_mart, verify_load
 from ..sinks.views import create_model_views
-from ..sources.raw_csv import read_raw_text, type_raw
+from ..sources.raw_csv import read_raw, read_raw_text
 from ..sources.staged import read_staged, read_table, require_rows
 
 
@@ -74,8 +74,8 @@ def stage_source(
     ingested_at: datetime | None = None,
 ) -> StagedCounts:
     """Raw CSV to staged Parquet in one scan; warns about dropped rows."""
-    raw = type_raw(read_raw_text(spark, source))
-    enriched = clean_and_enrich(filter_seasons(raw, seasons), ingested_at=ingested_at)
+    raw = filter_seasons(read_raw(spark, source), seasons)
+    enriched = clean_and_enrich(raw, ingested_at=ingested_at)
     counts = write_enriched(enriched, staged_path)
     if counts.rows_dropped:
         warnings.warn(f"dropped {counts.rows_dropped} incomplete rows", stacklevel=2)

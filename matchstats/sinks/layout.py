@@ -18,7 +18,7 @@ ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 # Shuffled bytes per write task. Staged rows take about a tenth of that as Parquet, so
 # Spark's own 64 MB would leave files of a few megabytes.
-WRITE_TASK_BYTES = "256m"
+WRITE_TASK_BYTES = "128m"
 
 
 def balance_by_season(frame: DataFrame) -> DataFrame:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import types as T
 
-from ..schemas import RAW_COLUMN_MAP, RAW_COLUMNS
+from ..schemas import RAW_COLUMNS, RAW_SCHEMA
 
 
 def missing_columns(columns: list[str]) -> list[str]:
@@ -15,36 +15,40 @@ def missing_columns(columns: list[str]) -> list[str]:
     return [c for c in RAW_COLUMNS if c not in present]
 
 
-def read_raw_text(spark: SparkSession, path: str, **options) -> DataFrame:
-    """The 22 required columns as text, matched to the file by header name.
-
-    Only the first line is read to learn the names. ``enforceSchema=False`` makes
-    Spark compare every further file's header with it and raise on a difference,
-    where the default would silently shift the columns. A short line gives nulls.
-    """
-    reader = spark.read.options(header=True, enforceSchema=False, **options)
+def _header(reader: DataFrameReader, path: str) -> list[str]:
+    """Column names of the first file; only its first line is read."""
     try:
-        frame = reader.csv(path)
+        columns = reader.csv(path).columns
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"Source file not found: {path}") from error
         raise
-    missing = missing_columns(frame.columns)
+    missing = missing_columns(columns)
     if missing:
         raise ValueError(f"Missing columns in {path}: {missing}")
-    return frame.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])
+    return columns
+
 
+def _read(spark: SparkSession, path: str, types: dict[str, str], options: dict) -> DataFrame:
+    """The 22 required columns, matched to the file by header name.
 
-def type_raw(text: DataFrame) -> DataFrame:
-    """Numbers as integers, null where the text is not one; everything else stays text."""
-    return text.select(
-        *[
-            F.col(raw).try_cast("int").alias(raw) if kind == "int" else F.col(raw)
-            for raw, _, kind in RAW_COLUMN_MAP
-        ]
+    The schema lists the names in the file's own order, so columns may come in any
+    order and unknown ones are skipped. ``enforceSchema=False`` makes Spark compare
+    every file's header with it and raise on a difference, where the default would
+    silently shift the columns. A short line gives nulls, an unreadable number too.
+    """
+    reader = spark.read.options(header=True, enforceSchema=False, **options)
+    schema = T.StructType(
+        [T.StructField(c, types.get(c, T.StringType())) for c in _header(reader, path)]
     )
+    return reader.schema(schema).csv(path).select(*RAW_COLUMNS)
+
+
+def read_raw_text(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Raw matches as they stand in the file, every column as text."""
+    return _read(spark, path, {}, options)
 
 
 def read_raw(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Raw matches from CSV with typed numbers."""
-    return type_raw(read_raw_text(spark, path, **options))
+    """Raw matches with numbers parsed by the scan; the date stays text."""
+    return _read(spark, path, {f.name: f.dataType for f in RAW_SCHEMA}, options)

@@ -62,9 +62,9 @@ def test_blanks_and_malformed_differ(text):
     blanks, malformed = pairs(profile_blanks(summary)), pairs(profile_malformed(summary))
     assert blanks["HomeShots"] == 3
     assert sum(blanks.values()) == 3
-    assert malformed["HomeShots"] == 2
+    assert malformed["HomeShots"] == 3
     assert malformed["MatchDate"] == 2
-    assert sum(malformed.values()) == 4
+    assert sum(malformed.values()) == 5
 
 
 def test_frequencies_trim_and_count_blanks_as_a_key(text):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from matchstats.operators.league import league_table
 from matchstats.operators.matches import stg_matches
-from matchstats.operators.profile import profile_blanks, summarise
+from matchstats.operators.profile import profile_blanks, profile_malformed, summarise
 from matchstats.operators.staging import clean_and_enrich, stage_matches
 from matchstats.operators.team_stats import team_stats
 from matchstats.plans.full_run import Schemas, load_matches, materialise_models, run
@@ -66,8 +66,9 @@ def table(frame):
 
 
 def test_csv_columns_are_matched_by_name(spark, tmp_path):
-    header = [*reversed(RAW_COLUMNS), "Referee"]
-    path = write_lines(tmp_path / "m.csv", header, [*reversed(values(HomeTeam="Reordered")), "M Dean"])
+    header = [*reversed(RAW_COLUMNS), "Referee", ""]
+    row = [*reversed(values(HomeTeam="Reordered")), "M Dean", "unnamed"]
+    path = write_lines(tmp_path / "m.csv", header, row)
     row = read_raw(spark, path).first()
     assert row.asDict() == BASE_MATCH | {"HomeTeam": "Reordered"}
 
@@ -102,9 +103,13 @@ def test_csv_short_long_and_malformed_lines(spark, tmp_path):
     assert rows["short"]["FullTimeAwayGoals"] == 0
     assert rows["short"]["FullTimeResult"] is None
     assert rows["long"].asDict() == BASE_MATCH | {"HomeTeam": "long"}
-    assert (rows["numbers"]["HomeShots"], rows["numbers"]["AwayShots"]) == (None, 5)
+    assert (rows["numbers"]["HomeShots"], rows["numbers"]["AwayShots"]) == (None, None)
+    assert rows["numbers"]["HomeShotsOnTarget"] == 4
     blanks = {r[0]: r[1] for r in profile_blanks(summarise(read_raw_text(spark, path))).collect()}
     assert (blanks["HomeShots"], blanks["HomeFouls"], blanks["Season"]) == (1, 2, 0)
+    summary = summarise(read_raw_text(spark, path))
+    malformed = {r[0]: r[1] for r in profile_malformed(summary).where("malformed > 0").collect()}
+    assert malformed == {"HomeShots": 1, "AwayShots": 1}
 
 
 def test_csv_roundtrip_keeps_nulls_and_padding(spark, tmp_path):
