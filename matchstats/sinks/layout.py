@@ -26,16 +26,25 @@ def balance_by_season(frame: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def write_task_size(spark: SparkSession) -> Iterator[None]:
-    """Larger tasks for the write inside, unless the session already names a size."""
-    if spark.conf.get(ADVISORY_SIZE, None) is not None:
-        yield
-        return
-    spark.conf.set(ADVISORY_SIZE, WRITE_TASK_BYTES)
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """The settings for the statements inside, then the former values again."""
+    former = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(ADVISORY_SIZE)
+        for key, value in former.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def write_settings(spark: SparkSession) -> dict[str, str]:
+    """Larger tasks for a write, unless the session already names a size."""
+    named = spark.conf.get(ADVISORY_SIZE, None) is not None
+    return {} if named else {ADVISORY_SIZE: WRITE_TASK_BYTES}
 
 
 def sort_matches(frame: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.staging import drop_incomplete, is_complete
-from .layout import balance_by_season, write_task_size
+from .layout import balance_by_season, session_settings, write_settings
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,8 @@ def write_staged(
     )
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    with write_task_size(staged.sparkSession):
+    spark = staged.sparkSession
+    with session_settings(spark, write_settings(spark)):
         writer.parquet(path)
 
 

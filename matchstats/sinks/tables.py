@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import WAREHOUSE_COLUMNS
-from .layout import balance_by_season, sort_matches, write_task_size
+from .layout import balance_by_season, session_settings, sort_matches, write_settings
+
+# Spark's name for the partition of rows without a value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def create_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
@@ -23,19 +26,42 @@ def create_matches_table(spark: SparkSession, table: str) -> None:
     )
 
 
+def _partition_values(spark: SparkSession, table: str) -> set[int | None]:
+    texts = [r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return {None if text == NULL_PARTITION else int(text) for text in texts}
+
+
+def _drop_partitions(spark: SparkSession, table: str, years: set[int | None]) -> None:
+    if years:
+        parts = ", ".join(
+            f"PARTITION (season_start_year = {'NULL' if year is None else year})" for year in years
+        )
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+
+
 def reload_matches(staged: DataFrame, table: str, balanced: bool = False) -> None:
     """Replace the whole content of the typed table with the staged matches.
 
-    One statement that matches columns by name: running it twice leaves the same
-    table, and a lost task is simply run again. ``balanced`` says that the rows come
-    from files split by season, as ``read_staged`` gives them; they are then written
-    by the tasks that read them, without a shuffle.
+    Columns are matched by name, and running it twice leaves the same table. Each
+    season is exchanged when the insert commits and seasons no longer staged are
+    dropped after that, so readers never find the table empty, and an insert that
+    fails leaves it as it was.
+
+    ``balanced`` says that the rows come from files split by season, as
+    ``read_staged`` gives them; they are then written by the tasks that read them,
+    without a shuffle.
     """
     spark = staged.sparkSession
     rows = staged.withColumn("ingested_at", F.col("ingested_at").cast("string"))
     rows = sort_matches(rows if balanced else balance_by_season(rows))
-    with write_task_size(spark):
+    former = _partition_values(spark, table)
+    settings = write_settings(spark) | {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+    with session_settings(spark, settings):
         spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
+    if former:
+        # Of staged Parquet this reads directory names and row counts, no column.
+        staged_years = staged.select("season_start_year").distinct().collect()
+        _drop_partitions(spark, table, former - {r["season_start_year"] for r in staged_years})
 
 
 def loader_frame(staged: DataFrame) -> DataFrame:

@@ -212,11 +212,31 @@ def test_reload_replaces_seasons_and_matches_by_name(spark, raw, schemas):
     assert isinstance(row["ingested_at"], str)
 
 
-def test_overlong_text_is_refused(spark, raw, schemas):
+def test_reload_drops_seasons_no_longer_staged(spark, raw, schemas):
     name = f"{schemas.raw}.matches"
     create_matches_table(spark, name)
+
+    def seasons():
+        return sorted(r["season"] for r in spark.table(name).select("season").distinct().collect())
+
+    reload_matches(stage_matches(raw({}, {"Season": "odd/16"}, {"Season": "2016/17"}), "2015,odd,2016"), name)
+    assert seasons() == ["2015/16", "2016/17", "odd/16"]
+    reload_matches(stage_matches(raw({"Season": "2016/17"}), "2016"), name)
+    assert seasons() == ["2016/17"]
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 1
+    reload_matches(stage_matches(raw({}), []), name)
+    assert spark.table(name).count() == 0
+
+
+def test_overlong_text_is_refused_and_leaves_the_table(spark, raw, schemas):
+    name = f"{schemas.raw}.matches"
+    create_matches_table(spark, name)
+    reload_matches(stage_matches(raw({}), "2015"), name)
+    before = table(spark.table(name))
     with pytest.raises(PySparkException, match="EXCEED_LIMIT_LENGTH|exceeds"):
         reload_matches(stage_matches(raw({"HomeTeam": "x" * 101}), "2015"), name)
+    assert table(spark.table(name)) == before
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
 def test_loader_frame(raw):
@@ -265,8 +285,10 @@ def test_full_run(spark, schemas, tmp_path):
     assert report.match_kpi.count() == 6
     assert report.quality.count() == 14
     assert report.quality.where("not passed").count() == 0
-    again = run(spark, source, FIXTURE_SEASONS, str(tmp_path / "work"), schemas)
-    assert again.load.collect() == report.load.collect()
+    loaded = report.load.collect()
+    with pytest.warns(UserWarning, match="dropped"):
+        again = run(spark, source, FIXTURE_SEASONS, str(tmp_path / "work"), schemas)
+    assert again.load.collect() == loaded
 
 
 def test_scratch_follows_the_session_setting(spark):
