@@ -127,10 +127,9 @@ def season_coverage(summary: DataFrame, seasons: str | Iterable[str]) -> DataFra
     """
     entries = parse_seasons(seasons)
     season = F.col("season")
-    counted = (
-        summary.where(season_condition(entries, season))
-        .select(F.explode(F.array_distinct(F.array(season, start_year_text(season)))).alias("season"), "matches")
-        .where(F.col("season").isin(entries))
+    names = F.array_distinct(F.array(season, start_year_text(season)))
+    counted = summary.select(F.explode(names).alias("season"), "matches").where(
+        F.col("season").isin(entries)
     )
     configured = summary.sparkSession.range(0, 1, 1, 1).select(
         F.explode(F.array(*[F.lit(e) for e in entries]).cast("array<string>")).alias("season"),
@@ -146,7 +145,12 @@ def season_coverage(summary: DataFrame, seasons: str | Iterable[str]) -> DataFra
 
 
 def covered_matches(summary: DataFrame, seasons: str | Iterable[str]) -> DataFrame:
-    """One row: matches of all configured seasons, each counted once."""
-    return summary.where(season_condition(seasons, F.col("season"))).agg(
-        F.coalesce(F.sum("matches"), F.lit(0)).alias("total_matches")
+    """One row: matches of all configured seasons, each counted once.
+
+    The test is made on the summary rows; as a filter it would move down to the scan
+    and trim the season of every match.
+    """
+    configured = season_condition(seasons, F.col("season"))
+    return summary.agg(
+        F.coalesce(F.sum(F.when(configured, F.col("matches"))), F.lit(0)).alias("total_matches")
     )
