@@ -11,6 +11,7 @@ from ..functions.ratios import percentage, ratio
 TOP_RANKS = 4
 RELEGATED_FROM = 18
 
+# The result's columns in order.
 LEAGUE_COLUMNS = [
     "season", "season_start_year", "team",
     "matches_played", "wins", "draws", "losses",

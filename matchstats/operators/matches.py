@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..schemas import STAGED_COLUMNS
 from .staging import drop_incomplete
 
+# Fixed value: goals that make a match high-scoring.
 HIGH_SCORING_GOALS = 5
+# The result's columns in order.
 FACT_COLUMNS = [
     "season", "season_start_year", "match_date", "home_team", "away_team",
     "home_goals", "away_goals", "total_goals",

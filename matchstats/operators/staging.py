@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from ..functions.seasons import season_condition, start_year
 from ..schemas import CRITICAL_COLUMNS, DATE_FORMAT, RAW_COLUMN_MAP, STAGED_COLUMNS
 
+# Points.
 POINTS_FOR_WIN = 3
 POINTS_FOR_DRAW = 1
+# The result's columns in order.
 SAMPLE_COLUMNS = [
     "season", "match_date", "home_team", "away_team",
     "home_goals", "away_goals", "result", "total_goals",

@@ -22,6 +22,7 @@ SIDE_MEASURES = (
     ("corners", "home_corners", "away_corners"),
     ("fouls", "home_fouls", "away_fouls"),
 )
+# The result's columns in order.
 TEAM_STATS_COLUMNS = [
     *TEAM_KEYS, "matches_played", "wins", "draws", "losses",
     "goals_scored", "goals_conceded", "goal_difference", "points",

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.staging import drop_incomplete, is_complete
+from ..operators.staging import count_dropped, drop_incomplete, is_complete
+from ..sources.staged import read_staged
 from .layout import balance_by_season, session_settings, write_settings
 
 
@@ -47,10 +49,21 @@ def write_staged(
         writer.parquet(path)
 
 
+def _observed(observation: Observation) -> dict[str, int] | None:
+    """The observed counts, or none where Spark knew beforehand that no row was left."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return None
+
+
 def write_enriched(enriched: DataFrame, path: str, **options) -> StagedCounts:
     """Drop incomplete rows, write the rest, and count both on the way.
 
-    The counts are observed while the write runs, so there is no second scan.
+    The counts are observed while the write runs, so there is no second scan. Tasks
+    repeated after an executor was lost are observed again; the counts are therefore
+    held against the rows in the files, a look at their footers, and taken anew from
+    the source if the two differ.
     """
     observation = Observation()
     observed = enriched.observe(
@@ -59,4 +72,8 @@ def write_enriched(enriched: DataFrame, path: str, **options) -> StagedCounts:
         F.count_if(is_complete()).alias("rows_after"),
     )
     write_staged(drop_incomplete(observed), path, **options)
-    return StagedCounts(**observation.get)
+    counts = _observed(observation)
+    written = read_staged(enriched.sparkSession, path).count()
+    if counts is None or counts["rows_after"] != written:
+        counts = count_dropped(enriched).drop("rows_dropped").first().asDict()
+    return StagedCounts(**counts)

@@ -8,12 +8,13 @@ from pathlib import Path
 import pytest
 from conftest import BASE_MATCH
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from matchstats.operators.league import league_table
 from matchstats.operators.matches import stg_matches
 from matchstats.operators.profile import profile_blanks, profile_malformed, summarise
-from matchstats.operators.staging import clean_and_enrich, stage_matches
+from matchstats.operators.staging import clean_and_enrich, filter_seasons, stage_matches
 from matchstats.operators.team_stats import team_stats
 from matchstats.plans.full_run import Schemas, load_matches, materialise_models, run
 from matchstats.schemas import RAW_COLUMNS, STAGED_SCHEMA, WAREHOUSE_COLUMNS
@@ -169,6 +170,21 @@ def test_counts_are_observed_during_the_write(spark, raw, tmp_path):
     assert read_staged(spark, str(tmp_path / "staged")).count() == 1
 
 
+def test_observed_counts_are_not_trusted_against_the_files(raw, tmp_path, monkeypatch):
+    """As after a lost executor, whose tasks are observed twice."""
+    rows = clean_and_enrich(raw({}, {"MatchDate": "bad"}))
+    monkeypatch.setattr(Observation, "get", {"rows_before": 4, "rows_after": 2})
+    counts = write_enriched(rows, str(tmp_path / "staged"))
+    assert (counts.rows_before, counts.rows_after) == (2, 1)
+
+
+def test_counts_of_no_rows(raw, tmp_path):
+    """Also where the optimizer knows that nothing is left."""
+    for name, rows in (("listed", filter_seasons(raw({}), [])), ("found", filter_seasons(raw({}), "1999"))):
+        counts = write_enriched(clean_and_enrich(rows), str(tmp_path / name))
+        assert (counts.rows_before, counts.rows_after) == (0, 0)
+
+
 def test_season_scan_keeps_rows_of_odd_labels(spark, raw, tmp_path):
     path = str(tmp_path / "staged")
     write_staged(stage_matches(raw({}, {"Season": "first/16"}), ["2015", "first/16"]), path)
