@@ -23,7 +23,6 @@ from .plans.full_run import (
     run,
     stage_source,
 )
-from .sinks.tables import create_schema
 from .sources.staged import read_staged
 
 
@@ -68,11 +67,11 @@ def main(arguments: Sequence[str] | None = None) -> None:
     if options.step in ("profile", "stage", "run") and not options.source:
         parser.error(f"{options.step} needs --source")
     spark = SparkSession.builder.appName("matchstats").getOrCreate()
-    schemas = Schemas(options.raw_schema, options.staging_schema, options.marts_schema)
-    staged_path, profile_path = f"{options.work_dir}/staged", f"{options.work_dir}/profile"
-    if options.step in ("load", "model"):
-        for schema in (schemas.raw, schemas.staging, schemas.marts):
-            create_schema(spark, schema)
+    work_dir = options.work_dir if ":" in options.work_dir else os.path.abspath(options.work_dir)
+    schemas = Schemas(
+        options.raw_schema, options.staging_schema, options.marts_schema, f"{work_dir}/tables"
+    )
+    staged_path, profile_path = f"{work_dir}/staged", f"{work_dir}/profile"
 
     if options.step == "profile":
         _show_profile(
@@ -82,14 +81,14 @@ def main(arguments: Sequence[str] | None = None) -> None:
         print(stage_source(spark, options.source, options.seasons, staged_path))
         _show_staged(read_staged(spark, staged_path))
     elif options.step == "load":
-        _show("Loaded", load_matches(spark, staged_path, f"{schemas.raw}.matches"))
+        _show("Loaded", load_matches(spark, staged_path, schemas))
     elif options.step == "model":
         models = materialise_models(spark, schemas)
-        quality = check_models(spark, models, f"{options.work_dir}/quality", options.severity)
+        quality = check_models(spark, models, f"{work_dir}/quality", options.severity)
         _show("Checks", quality)
     else:
         report = run(
-            spark, options.source, options.seasons, options.work_dir, schemas, options.severity
+            spark, options.source, options.seasons, work_dir, schemas, options.severity
         )
         _show_profile(report.profile, report.coverage, options.seasons)
         _show_staged(read_staged(spark, staged_path))

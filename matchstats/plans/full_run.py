@@ -29,11 +29,28 @@ from ..sources.staged import read_staged, read_table, require_rows
 
 @dataclass(frozen=True)
 class Schemas:
-    """Catalog schemas the run writes to."""
+    """Catalog schemas the run writes to.
+
+    ``location`` is the folder of their tables. Without it they lie where the catalog
+    puts them, which asks for a catalog that outlives the session.
+    """
 
     raw: str = "raw"
     staging: str = "staging"
     marts: str = "marts"
+    location: str | None = None
+
+    @property
+    def matches(self) -> str:
+        return f"{self.raw}.matches"
+
+    def path(self, table: str) -> str | None:
+        return f"{self.location}/{table.replace('.', '/')}" if self.location else None
+
+    def create(self, spark: SparkSession) -> None:
+        for schema in (self.raw, self.staging, self.marts):
+            create_schema(spark, schema)
+        create_matches_table(spark, self.matches, self.path(self.matches))
 
 
 @dataclass(frozen=True)
@@ -82,18 +99,18 @@ def stage_source(
     return counts
 
 
-def load_matches(spark: SparkSession, staged_path: str, table: str) -> DataFrame:
+def load_matches(spark: SparkSession, staged_path: str, schemas: Schemas) -> DataFrame:
     """Staged Parquet into the typed table; returns the verification row."""
     staged = require_rows(read_staged(spark, staged_path), staged_path)
-    create_matches_table(spark, table)
-    reload_matches(staged, table, balanced=True)
-    return verify_load(read_table(spark, table))
+    schemas.create(spark)
+    reload_matches(staged, schemas.matches, balanced=True)
+    return verify_load(read_table(spark, schemas.matches))
 
 
 def materialise_models(spark: SparkSession, schemas: Schemas) -> dict[str, DataFrame]:
     """Views for the two lower models, tables for the two marts; returns all four as read back."""
-    matches = f"{schemas.raw}.matches"
-    require_rows(read_table(spark, matches), matches)
+    schemas.create(spark)
+    require_rows(read_table(spark, schemas.matches), schemas.matches)
     views = create_model_views(spark, schemas.raw, schemas.staging)
     lower = {name: read_table(spark, view) for name, view in views.items()}
     marts = {
@@ -101,7 +118,8 @@ def materialise_models(spark: SparkSession, schemas: Schemas) -> dict[str, DataF
         "fct_match_kpi": match_kpi(match_facts(lower["stg_matches"])),
     }
     for name, frame in marts.items():
-        save_mart(frame, f"{schemas.marts}.{name}")
+        table = f"{schemas.marts}.{name}"
+        save_mart(frame, table, schemas.path(table))
     return lower | {name: read_table(spark, f"{schemas.marts}.{name}") for name in marts}
 
 
@@ -124,11 +142,9 @@ def run(
 ) -> RunReport:
     """All steps over one source; ``work_dir`` is a folder that all executors share."""
     seasons = seasons if isinstance(seasons, str) else list(seasons)
-    for schema in (schemas.raw, schemas.staging, schemas.marts):
-        create_schema(spark, schema)
     summary, coverage = profile_source(spark, source, seasons, f"{work_dir}/profile")
     counts = stage_source(spark, source, seasons, f"{work_dir}/staged", ingested_at)
-    load = load_matches(spark, f"{work_dir}/staged", f"{schemas.raw}.matches")
+    load = load_matches(spark, f"{work_dir}/staged", schemas)
     models = materialise_models(spark, schemas)
     quality = check_models(spark, models, f"{work_dir}/quality", severity)
     return RunReport(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import WAREHOUSE_COLUMNS
+from ..sources.staged import read_staged
 from .layout import balance_by_season, session_settings, sort_matches, write_settings
 
 # Spark's name for the partition of rows without a value.
@@ -17,13 +18,30 @@ def create_schema(spark: SparkSession, schema: str, location: str | None = None)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{where}")
 
 
-def create_matches_table(spark: SparkSession, table: str) -> None:
-    """The typed table, if absent; text longer than declared is refused on insert."""
+def _exists(spark: SparkSession, location: str) -> bool:
+    try:
+        read_staged(spark, location)
+    except FileNotFoundError:
+        return False
+    return True
+
+
+def create_matches_table(spark: SparkSession, table: str, location: str | None = None) -> None:
+    """The typed table, if absent; text longer than declared is refused on insert.
+
+    With a ``location`` the data stays in that folder whatever catalog the session
+    has, and a catalog that does not know the table picks up the seasons found there.
+    """
+    if spark.catalog.tableExists(table):
+        return
     columns = ", ".join(f"{name} {kind}" for name, kind in WAREHOUSE_COLUMNS)
+    where = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) "
-        "USING parquet PARTITIONED BY (season_start_year)"
+        f"USING parquet PARTITIONED BY (season_start_year){where}"
     )
+    if location and _exists(spark, location):
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
 def _partition_values(spark: SparkSession, table: str) -> set[int | None]:
@@ -31,12 +49,16 @@ def _partition_values(spark: SparkSession, table: str) -> set[int | None]:
     return {None if text == NULL_PARTITION else int(text) for text in texts}
 
 
-def _drop_partitions(spark: SparkSession, table: str, years: set[int | None]) -> None:
-    if years:
-        parts = ", ".join(
-            f"PARTITION (season_start_year = {'NULL' if year is None else year})" for year in years
-        )
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+def _empty_partitions(rows: DataFrame, table: str, years: set[int]) -> None:
+    """Overwrite with nothing, then drop: dropping alone keeps the files of a placed table."""
+    spark = rows.sparkSession
+    nothing = rows.where("false").select(
+        *[name for name, _ in WAREHOUSE_COLUMNS if name != "season_start_year"]
+    )
+    for year in years:
+        part = f"PARTITION (season_start_year = {year})"
+        spark.sql(f"INSERT OVERWRITE TABLE {table} {part} SELECT * FROM {{nothing}}", nothing=nothing)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {part}")
 
 
 def reload_matches(staged: DataFrame, table: str, balanced: bool = False) -> None:
@@ -44,8 +66,9 @@ def reload_matches(staged: DataFrame, table: str, balanced: bool = False) -> Non
 
     Columns are matched by name, and running it twice leaves the same table. Each
     season is exchanged when the insert commits and seasons no longer staged are
-    dropped after that, so readers never find the table empty, and an insert that
-    fails leaves it as it was.
+    removed after that, so readers never find the table empty, and an insert that
+    fails leaves it as it was. Only where rows without a readable start year are to
+    go, whose partition no statement can name, is the table replaced as a whole.
 
     ``balanced`` says that the rows come from files split by season, as
     ``read_staged`` gives them; they are then written by the tasks that read them,
@@ -54,14 +77,17 @@ def reload_matches(staged: DataFrame, table: str, balanced: bool = False) -> Non
     spark = staged.sparkSession
     rows = staged.withColumn("ingested_at", F.col("ingested_at").cast("string"))
     rows = sort_matches(rows if balanced else balance_by_season(rows))
-    former = _partition_values(spark, table)
-    settings = write_settings(spark) | {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+    stale = _partition_values(spark, table)
+    if stale:
+        # Of staged Parquet this reads directory names and row counts, no column.
+        years = staged.select("season_start_year").distinct().collect()
+        stale -= {r["season_start_year"] for r in years}
+    mode = "static" if None in stale else "dynamic"
+    settings = write_settings(spark) | {"spark.sql.sources.partitionOverwriteMode": mode}
     with session_settings(spark, settings):
         spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
-    if former:
-        # Of staged Parquet this reads directory names and row counts, no column.
-        staged_years = staged.select("season_start_year").distinct().collect()
-        _drop_partitions(spark, table, former - {r["season_start_year"] for r in staged_years})
+    if mode == "dynamic":
+        _empty_partitions(rows, table, stale)
 
 
 def loader_frame(staged: DataFrame) -> DataFrame:
@@ -88,6 +114,9 @@ def verify_load(matches: DataFrame) -> DataFrame:
     )
 
 
-def save_mart(frame: DataFrame, table: str) -> None:
+def save_mart(frame: DataFrame, table: str, location: str | None = None) -> None:
     """Materialise a model as a table, in the order of the frame."""
-    frame.write.mode("overwrite").saveAsTable(table)
+    writer = frame.write.mode("overwrite")
+    if location:
+        writer = writer.option("path", location)
+    writer.saveAsTable(table)

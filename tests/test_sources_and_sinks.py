@@ -206,9 +206,9 @@ def test_missing_or_empty_staged_data(spark, raw, tmp_path):
 def test_reload_is_idempotent_and_typed(spark, fixture_staged, schemas, tmp_path):
     path, name = str(tmp_path / "staged"), f"{schemas.raw}.matches"
     write_staged(fixture_staged, path)
-    first = load_matches(spark, path, name).collect()
+    first = load_matches(spark, path, schemas).collect()
     before = table(spark.table(name))
-    assert load_matches(spark, path, name).collect() == first
+    assert load_matches(spark, path, schemas).collect() == first
     assert table(spark.table(name)) == before
     assert first[0]["rows_loaded"] == fixture_staged.count()
     assert first[0]["seasons"] == 6
@@ -244,6 +244,18 @@ def test_reload_drops_seasons_no_longer_staged(spark, raw, schemas):
     assert spark.table(name).count() == 0
 
 
+def test_a_fresh_catalog_finds_the_table_again(spark, raw, schemas, tmp_path):
+    placed = Schemas(schemas.raw, schemas.staging, schemas.marts, str(tmp_path / "tables"))
+    both = stage_matches(raw({}, {"Season": "2016/17"}, {"Season": "odd/16"}), "2015,2016,odd")
+    for staged in (both, stage_matches(raw({"Season": "2016/17"}), "2016")):
+        write_staged(staged, str(tmp_path / "staged"))
+        load_matches(spark, str(tmp_path / "staged"), placed)
+        for table_name in (placed.matches, f"{placed.marts}.fct_match_kpi"):
+            spark.sql(f"DROP TABLE IF EXISTS {table_name}")
+        kpi = materialise_models(spark, placed)["fct_match_kpi"]
+        assert kpi.agg(F.sum("total_matches")).first()[0] == staged.count()
+
+
 def test_overlong_text_is_refused_and_leaves_the_table(spark, raw, schemas):
     name = f"{schemas.raw}.matches"
     create_matches_table(spark, name)
@@ -266,7 +278,7 @@ def test_loader_frame(raw):
 
 def test_views_and_marts_equal_the_frames(spark, fixture_staged, schemas, tmp_path):
     write_staged(fixture_staged, str(tmp_path / "staged"))
-    load_matches(spark, str(tmp_path / "staged"), f"{schemas.raw}.matches")
+    load_matches(spark, str(tmp_path / "staged"), schemas)
     built = materialise_models(spark, schemas)
     stg = stg_matches(spark.table(f"{schemas.raw}.matches"))
     assert table(built["stg_matches"]) == table(stg)
