@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,12 +28,10 @@ def local_session(cores: str | int = "*", app: str = "matchstats", **settings: s
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory that every executor can reach.
 
-    It lies in the shared folder the session names in ``spark.checkpoint.dir``. Only
-    a local session, whose executors share this machine, may do without that setting.
+    It lies in the shared folder the session names in ``spark.checkpoint.dir``, or else
+    beside the tables, in the warehouse folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return os.path.join(tempfile.mkdtemp(prefix="matchstats-"), name)
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
