@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstats.llm.chat_format import chat_digest, format_chats
+from matchstats.llm.language_id import fit_languages, identify_languages
 from matchstats.llm.mixing import mixture, mixture_digest
+from matchstats.llm.quality import THRESHOLD, fit_quality, score_quality
 from matchstats.llm.sharding import shard_digest, shuffle_into_shards
-from matchstats.llm.tables import read_table
+from matchstats.llm.tables import held_out, read_table
 
 SHARDS = 40
 PROBE = "</s>[INST] ok [/INST]"
@@ -21,6 +23,14 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(shuffle_into_shards(documents, SHARDS))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    predicted = identify_languages(documents.select("doc_id", "text"), fit_languages(documents))
+    return predicted.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     one = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"))
@@ -36,8 +46,21 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_digest(mixture(read_table(spark, sf_dir, "documents")))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(documents, read_table(spark, sf_dir, "labels"))
+    return score_quality(documents, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op7_chat_formatting, op9_mixing)}
+    return {f.__name__: f for f in (
+        op3_sharding, op4_language_id, op7_chat_formatting, op9_mixing, op10_quality,
+    )}
 
 
 _CHAT_LINES = f"""

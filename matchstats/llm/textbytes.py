@@ -16,7 +16,7 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES, CHUNK_ROWS = 1 << 20, 1 << 12
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -33,9 +33,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(
-    batches: Iterator[pa.RecordBatch], text: str, most: int = CHUNK_BYTES
+    batches: Iterator[pa.RecordBatch], text: str, most: int = CHUNK_BYTES, rows: int = CHUNK_ROWS
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of the batches with about ``most`` bytes of text (one row at least)."""
+    """Slices of the batches: at most ``rows``, of ``most`` bytes of text if over one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -43,6 +43,7 @@ def chunks(
         row = 0
         while row < batch.num_rows:
             stop = max(row + 1, int(np.searchsorted(ends, ends[row] + most, "right")) - 1)
+            stop = min(stop, row + rows)
             offsets = ends[row : stop + 1]
             yield batch.slice(row, stop - row), data[offsets[0] : offsets[-1]], offsets - offsets[0]
             row = stop
