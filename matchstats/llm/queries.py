@@ -12,12 +12,18 @@ from matchstats.llm.language_id import fit_languages, identify_languages
 from matchstats.llm.mixing import mixture, mixture_digest
 from matchstats.llm.quality import THRESHOLD, fit_quality, score_quality
 from matchstats.llm.sharding import shard_digest, shuffle_into_shards
+from matchstats.llm.simhash import near_duplicates, simhash_digest
 from matchstats.llm.tables import held_out, read_table
 
 SHARDS = 40
 PROBE = "</s>[INST] ok [/INST]"
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash_digest(near_duplicates(documents))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return shard_digest(shuffle_into_shards(documents, SHARDS))
@@ -59,7 +65,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_sharding, op4_language_id, op7_chat_formatting, op9_mixing, op10_quality,
+        op2_simhash, op3_sharding, op4_language_id, op7_chat_formatting, op9_mixing, op10_quality,
     )}
 
 
