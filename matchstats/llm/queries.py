@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstats.llm.chat_format import chat_digest, format_chats
+from matchstats.llm.decontamination import find_passages
 from matchstats.llm.language_id import fit_languages, identify_languages
 from matchstats.llm.mixing import mixture, mixture_digest
 from matchstats.llm.quality import THRESHOLD, fit_quality, score_quality
@@ -48,6 +49,12 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(format_chats(turns.unionByName(probe)))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of benchmark items; documents without one have no row."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_passages(documents, read_table(spark, sf_dir, "benchmark"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_digest(mixture(read_table(spark, sf_dir, "documents")))
 
@@ -65,7 +72,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_simhash, op3_sharding, op4_language_id, op7_chat_formatting, op9_mixing, op10_quality,
+        op2_simhash, op3_sharding, op4_language_id, op7_chat_formatting, op8_decontamination, op9_mixing,
+        op10_quality,
     )}
 
 
