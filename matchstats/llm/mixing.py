@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from matchstats.llm.tables import written
 
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK_UNITS = 50_000
+BLOCK_UNITS = 2_000
 FAN_IN = 1_000
 
 
