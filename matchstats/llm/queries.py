@@ -14,6 +14,7 @@ from matchstats.llm.mixing import mixture, mixture_digest
 from matchstats.llm.quality import THRESHOLD, fit_quality, score_quality
 from matchstats.llm.sharding import shard_digest, shuffle_into_shards
 from matchstats.llm.simhash import near_duplicates, simhash_digest
+from matchstats.llm.sketches import next_document_likeness
 from matchstats.llm.tables import held_out, read_table
 
 SHARDS = 40
@@ -38,6 +39,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return next_document_likeness(read_table(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     one = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"))
@@ -72,7 +77,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_simhash, op3_sharding, op4_language_id, op7_chat_formatting, op8_decontamination, op9_mixing,
+        op2_simhash, op3_sharding, op4_language_id, op6_sketches, op7_chat_formatting, op8_decontamination, op9_mixing,
         op10_quality,
     )}
 

@@ -137,8 +137,7 @@ def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     have, width, hashes = 0, 1, data.astype(np.uint64) + np.uint64(1)
     done = None
-    base = _MULTIPLIER
-    rest = size
+    base, rest = int(_MULTIPLIER), size
     while True:
         if rest & 1:
             if done is None:
@@ -151,9 +150,9 @@ def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
         rest >>= 1
         if not rest:
             return mixed(done[: len(data) - size + 1])
-        hashes = hashes[:-width] * base + hashes[width:]
+        hashes = hashes[:-width] * np.uint64(base) + hashes[width:]
         width *= 2
-        base = base * base
+        base = base * base % (1 << 64)
 
 
 def hex_strings(values: np.ndarray) -> pa.Array:
