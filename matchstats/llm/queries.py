@@ -12,6 +12,7 @@ from matchstats.llm.decontamination import find_passages
 from matchstats.llm.language_id import fit_languages, identify_languages
 from matchstats.llm.mixing import mixture, mixture_digest
 from matchstats.llm.quality import THRESHOLD, fit_quality, score_quality
+from matchstats.llm.repeats import repeats_digest, without_repeats
 from matchstats.llm.sharding import shard_digest, shuffle_into_shards
 from matchstats.llm.simhash import near_duplicates, simhash_digest
 from matchstats.llm.sketches import next_document_likeness
@@ -21,6 +22,10 @@ SHARDS = 40
 PROBE = "</s>[INST] ok [/INST]"
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_digest(without_repeats(read_table(spark, sf_dir, "documents")))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash_digest(near_duplicates(documents))
@@ -77,7 +82,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_simhash, op3_sharding, op4_language_id, op6_sketches, op7_chat_formatting, op8_decontamination, op9_mixing,
+        op1_repeats, op2_simhash, op3_sharding, op4_language_id, op6_sketches, op7_chat_formatting, op8_decontamination, op9_mixing,
         op10_quality,
     )}
 

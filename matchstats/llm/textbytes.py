@@ -121,9 +121,11 @@ def mixed(values: np.ndarray) -> np.ndarray:
 class SpanHash:
     """64-bit polynomial hashes of any spans of a buffer, from one pass over it."""
 
-    def __init__(self, buffer: np.ndarray):
-        inverse = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
-        terms = (buffer.astype(np.uint64) + np.uint64(1)) * _powers(_MULTIPLIER, len(buffer))
+    def __init__(self, buffer: np.ndarray, multiplier: int = int(_MULTIPLIER)):
+        inverse = np.uint64(pow(multiplier, -1, 1 << 64))
+        terms = (buffer.astype(np.uint64) + np.uint64(1)) * _powers(
+            np.uint64(multiplier), len(buffer)
+        )
         self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
         self._back = _powers(inverse, len(buffer) + 1)
 
