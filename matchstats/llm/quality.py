@@ -212,3 +212,11 @@ def score_quality(
             )
 
     return documents.mapInArrow(run, with_fields(documents, **{score: T.DoubleType()}))
+
+
+def accepted(documents: DataFrame, model: QualityModel | None, text: str = "text") -> DataFrame:
+    """The documents scored at the threshold or above; without a model, all of them."""
+    if model is None:
+        return documents
+    score = free_name(documents, "score")
+    return score_quality(documents, model, text).where(F.col(score) >= THRESHOLD).drop(score)
