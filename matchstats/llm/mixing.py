@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchstats.llm.tables import written
+from matchstats.llm.tables import free_name, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_UNITS = 2_000
@@ -200,16 +200,21 @@ def mix(
     **settings,
 ) -> DataFrame:
     """The documents of the mixture, each as often as it is taken, with their own columns."""
+    of, unit_of, copies, copy = (
+        free_name(documents, name) for name in ("_id", "_unit", "_copies", "_copy")
+    )
     taken = mixture(documents, doc_id, text, source, **settings).where("copies > 0")
-    taken = taken.select("unit", F.col("doc_id").alias("_id"), "copies")
-    unit = F.xxhash64(F.col(doc_id), F.col(source), F.col(text))
+    taken = taken.select(
+        F.col("unit").alias(unit_of), F.col("doc_id").alias(of), F.col("copies").alias(copies)
+    )
+    unit = F.xxhash64(*(documents[name] for name in (doc_id, source, text)))
     rows = documents.join(
-        taken, (unit == F.col("unit")) & F.col(doc_id).eqNullSafe(F.col("_id"))
+        taken, (unit == F.col(unit_of)) & documents[doc_id].eqNullSafe(F.col(of))
     ).select(
         *(documents[name] for name in documents.columns),
-        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"),
+        F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(copy),
     )
-    return rows.drop("_copy")
+    return rows.drop(copy)
 
 
 def mixture_digest(units: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchstats.llm.components import connected_components
-from matchstats.llm.tables import with_fields, written
+from matchstats.llm.tables import free_name, with_fields, written
 from matchstats.llm.textbytes import Words, bit_majority, chunks
 
 SHINGLE_WORDS, SEED, RADIUS = 4, 42, 4
@@ -82,7 +82,7 @@ def _tile_ranges(counts: dict[int, int], tile: int) -> list[tuple[int, int, int]
 
 
 def _parts(prints: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(prints.view("<u2").reshape(-1, 4)).astype(np.int16)
+    return np.bitwise_count(np.ascontiguousarray(prints).view("<u2").reshape(-1, 4)).astype(np.int16)
 
 
 def _blocks(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -240,18 +240,22 @@ def one_of_each(
     Rows that share this id and class, or have no id at all, are told apart by a hash of
     the whole row; of rows equal in everything one stays.
     """
+    tag, of, id_of = (free_name(documents, name) for name in ("_mark", "_of", "_id"))
     mark = F.xxhash64(*(F.col(f"`{name}`") for name in documents.columns))
-    marked = documents.select(F.struct(doc_id, mark.alias("mark")).alias("key"), text)
-    found = near_duplicates(marked, "key", text, **settings)
+    marked = documents.select(
+        F.struct(F.col(doc_id).alias("id"), mark.alias("mark")).alias("key"),
+        F.col(text).alias("text"),
+    )
+    found = near_duplicates(marked, "key", **settings)
     kept = written(
         found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id")[doc_id].alias("_id"), F.col("doc_id")["mark"].alias("_of"))
+        .groupBy(F.col("doc_id")["id"].alias(id_of), F.col("doc_id")["mark"].alias(of))
         .agg(F.count("*").alias("rows")),
         "kept",
     )
-    keyed = documents.withColumn("_mark", mark)
-    same = keyed[doc_id].eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of"))
-    stays = keyed.join(kept, same, "left_semi").drop("_mark")
+    keyed = documents.withColumn(tag, mark)
+    same = keyed[doc_id].eqNullSafe(F.col(id_of)) & (F.col(tag) == F.col(of))
+    stays = keyed.join(kept, same, "left_semi").drop(tag)
     # Only where a kept row is repeated must rows be compared whole.
     return stays.distinct() if kept.where("rows > 1").limit(1).count() else stays
 

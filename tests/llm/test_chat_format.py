@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+from hashlib import sha256
+
+import pytest
+
+from matchstats.llm.chat_format import chat_digest, format_chats, read_chats
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+TRICKY = [
+    (1, 0, "user", "a\\b<|x</s>[INST] \\<| <\\| [\\INST] <"),
+    (1, 1, "user", "|x"),
+    (1, 2, "a\n\\n\\\\n<|r", "z\n"),
+    (1, 3, "assistant", None),
+    (1, 4, "assistant", "é<|im_end|>\n😀"),
+    (2, 0, None, None),
+    (2, 0, "assistant", "x"),
+    (2, 0, "assistant", "x"),
+    (-1, 0, "user", "</s>[INST] ok [/INST]"),
+    (-1, 1, "assistant", "</s>[INST] ok [/INST]"),
+    (None, None, "user", "no id"),
+]
+
+
+def turns_of(conv_id):
+    own = [r for r in TRICKY if r[0] == conv_id]
+    own.sort(key=lambda r: (r[1] is not None, r[1], r[2] or "", r[3] or ""))
+    return [(role or "", text or "") for _, _, role, text in own]
+
+
+def test_turns_come_back_as_they_were(spark):
+    for row in read_chats(format_chats(spark.createDataFrame(TRICKY, SCHEMA))).collect():
+        turns = turns_of(row.conv_id)
+        assert [tuple(t) for t in row.turns] == turns
+        assert row.loss_texts == [text for role, text in turns if role == "assistant"]
+
+
+def test_adjacent_turns_of_a_role_share_a_message(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "assistant", "c")]
+    formatted = format_chats(spark.createDataFrame(rows, SCHEMA)).first()
+    assert formatted.formatted == (
+        "<|im_start|>user\na<|cont|>b<|im_end|>\n<|im_start|>assistant\nc<|im_end|>\n"
+    )
+    assert sum(r.chars for r in formatted.loss_mask) == len(formatted.formatted)
+    assert [r.chars for r in formatted.loss_mask if r.loss] == [1]
+
+
+def test_digest(spark):
+    frame = spark.createDataFrame(TRICKY, SCHEMA).withColumnsRenamed({}).selectExpr("*", "1 AS turns", "2 AS formatted")
+    for row in chat_digest(format_chats(frame)).collect():
+        turns = turns_of(row.conv_id)
+        loss = "".join(t for r, t in turns if r == "assistant")
+        assert row.n_turns == len(turns)
+        assert row.turns_sha256 == sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert (row.loss_chars, row.loss_sha256) == (len(loss), sha256(loss.encode()).hexdigest())
+
+
+def test_a_mask_that_does_not_fit_raises(spark):
+    formatted = format_chats(spark.createDataFrame(TRICKY[:2], SCHEMA))
+    broken = formatted.selectExpr("conv_id", "concat(formatted, ' ') AS formatted", "loss_mask")
+    with pytest.raises(Exception, match="loss mask"):
+        read_chats(broken).select("loss_texts").collect()
+
+
+def test_no_python_and_one_shuffle(spark):
+    digest = chat_digest(format_chats(spark.createDataFrame(TRICKY, SCHEMA)))
+    plan = digest._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_empty_table(spark):
+    assert chat_digest(format_chats(spark.createDataFrame([], SCHEMA))).count() == 0
