@@ -31,10 +31,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    """But for those of trained models and seeded draws, tested elsewhere."""
+    without = set(registered.queries()) - set(registered.oracle_sql())
+    assert not set(registered.oracle_sql()) - set(registered.queries())
+    assert all(name == "pipeline" or name.startswith("op") for name in without)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     frame = registered.queries()[name](spark, SF_DIR)
     relation = duck.sql(registered.oracle_sql()[name])
