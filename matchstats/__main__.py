@@ -36,6 +36,11 @@ def _parser() -> argparse.ArgumentParser:
         default=os.environ.get("SEASONS", ",".join(DEFAULT_SEASONS)),
         help="comma-separated labels (2015/16) or start years (2015)",
     )
+    parser.add_argument("--all-seasons", action="store_true", help="every season in the source")
+    parser.add_argument(
+        "--reading", action="append", default=[], metavar="OPTION=VALUE",
+        help="option of the CSV reader, such as sep=; or multiLine=true; may be repeated",
+    )
     parser.add_argument("--raw-schema", default="raw")
     parser.add_argument("--staging-schema", default="staging")
     parser.add_argument("--marts-schema", default="marts")
@@ -43,12 +48,13 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
-def _show(title: str, frame: DataFrame, rows: int = 100) -> None:
+def _show(title: str, frame: DataFrame) -> None:
+    """Prints a report whole; the reports hold a row per season, column or check."""
     print(title)
-    frame.show(rows, truncate=False)
+    frame.show(max(1, frame.count()), truncate=False)
 
 
-def _show_profile(summary: DataFrame, coverage: DataFrame, seasons: str) -> None:
+def _show_profile(summary: DataFrame, coverage: DataFrame, seasons: str | None) -> None:
     _show("Totals", profile_totals(summary))
     _show("Results", profile_frequency(summary, "result"))
     _show("Configured seasons", coverage)
@@ -58,7 +64,7 @@ def _show_profile(summary: DataFrame, coverage: DataFrame, seasons: str) -> None
 
 def _show_staged(staged: DataFrame) -> None:
     _show("Staged rows by season", rows_per_season(staged))
-    _show("Sample", sample_rows(staged))
+    _show("Sample", sample_rows(staged, ordered=False))
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -72,13 +78,15 @@ def main(arguments: Sequence[str] | None = None) -> None:
         options.raw_schema, options.staging_schema, options.marts_schema, f"{work_dir}/tables"
     )
     staged_path, profile_path = f"{work_dir}/staged", f"{work_dir}/profile"
+    seasons = None if options.all_seasons else options.seasons
+    reading = dict(option.split("=", 1) for option in options.reading)
 
     if options.step == "profile":
         _show_profile(
-            *profile_source(spark, options.source, options.seasons, profile_path), options.seasons
+            *profile_source(spark, options.source, seasons, profile_path, **reading), seasons
         )
     elif options.step == "stage":
-        print(stage_source(spark, options.source, options.seasons, staged_path))
+        print(stage_source(spark, options.source, seasons, staged_path, **reading))
         _show_staged(read_staged(spark, staged_path))
     elif options.step == "load":
         _show("Loaded", load_matches(spark, staged_path, schemas))
@@ -88,11 +96,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
         _show("Checks", quality)
     else:
         report = run(
-            spark, options.source, options.seasons, work_dir, schemas, options.severity
+            spark, options.source, seasons, work_dir, schemas, options.severity, **reading
         )
-        _show_profile(report.profile, report.coverage, options.seasons)
+        _show_profile(report.profile, report.coverage, seasons)
         _show_staged(read_staged(spark, staged_path))
         _show("Loaded", report.load)
+        _show("Gates", report.gates)
         _show("Checks", report.quality)
 
 

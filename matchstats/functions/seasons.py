@@ -39,26 +39,24 @@ def start_year(season: Column) -> Column:
     return start_year_text(season).try_cast("int")
 
 
-def season_condition(seasons: str | Iterable[str], season: Column) -> Column:
-    """True for rows of a listed season; an empty list keeps nothing."""
+def season_condition(seasons: str | Iterable[str] | None, season: Column) -> Column:
+    """True where the season, or the part before its slash, is one of the entries.
+
+    No list at all keeps every row with a season, an empty one keeps nothing.
+    """
+    if seasons is None:
+        return season.isNotNull()
     entries = parse_seasons(seasons)
-    labels = [e for e in entries if "/" in e]
-    years = [e for e in entries if "/" not in e]
-    tests = []
-    if labels:
-        tests.append(season.isin(labels))
-    if years:
-        tests.append(start_year_text(season).isin(years))
-    return reduce(or_, tests, F.lit(False))
+    return season.isin(entries) | start_year_text(season).isin(entries)
 
 
 def partition_condition(seasons: str | Iterable[str], year: Column) -> Column:
     """Test on the partition column that no row passing ``season_condition`` fails.
 
-    Alone it may keep too much; next to ``season_condition`` it lets the scan
-    skip whole directories. An entry without a plain year switches it off.
+    A row matches an entry only if both have the same text before the slash, and that
+    text decides the row's directory: the year it can be read as, or the one of rows
+    without a year. So each entry points at one directory, and the scan opens no other.
     """
-    prefixes = [e.split("/")[0].strip() for e in parse_seasons(seasons)]
-    if not all(p.isascii() and p.isdigit() and len(p) <= 9 for p in prefixes):
-        return F.lit(True)
-    return year.isin(sorted({int(p) for p in prefixes})) if prefixes else F.lit(False)
+    firsts = {entry.partition("/")[0] for entry in parse_seasons(seasons)}
+    tests = [year.eqNullSafe(F.lit(first).try_cast("int")) for first in sorted(firsts)]
+    return reduce(or_, tests, F.lit(False))

@@ -112,6 +112,61 @@ def quality_report(models: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [check_model(f, m) for m, f in models.items()])
 
 
+def row_tests(model: str) -> dict[str, Column]:
+    """A column name and a test of failing rows for each row check of a model."""
+    checks = enumerate(MODEL_CHECKS[model])
+    return {f"failing_{i}": c.failing() for i, c in checks if not isinstance(c, Unique)}
+
+
+def counted_report(counts: DataFrame, model: str) -> DataFrame:
+    """The report of a model's row checks from a frame that has already counted ``row_tests``."""
+    counted = dict(zip(row_tests(model), MODEL_CHECKS[model]))
+    return _report(counts.agg(*[F.sum(name).alias(name) for name in counted]), model, counted)
+
+
+def gate(model: str, check: str, column: str, failures: Column | int) -> Column:
+    """One report row of a run's own checks."""
+    failures = F.coalesce(F.lit(failures) if isinstance(failures, int) else failures, F.lit(0))
+    failures = failures.cast("long")
+    return F.struct(
+        F.lit(model).alias("model"),
+        F.lit(check).alias("check"),
+        F.lit(column).alias("column"),
+        failures.alias("failures"),
+        (failures == 0).alias("passed"),
+    )
+
+
+def header_report(columns: list[str], required: list[str], like: DataFrame) -> DataFrame:
+    """Is each required column in the header; ``like`` lends its session."""
+    rows = [gate("raw", "required_column", c, int(c not in columns)) for c in required]
+    return like.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+
+
+def coverage_report(coverage: DataFrame) -> DataFrame:
+    """Does each configured season have matches."""
+    return coverage.select(
+        F.lit("raw").alias("model"),
+        F.lit("season_coverage").alias("check"),
+        F.col("season").alias("column"),
+        (~F.col("found")).cast("long").alias("failures"),
+        F.col("found").alias("passed"),
+    )
+
+
+def load_report(verified: DataFrame, rows_staged: int) -> DataFrame:
+    """Does the table hold the staged rows, and any at all."""
+    loaded = F.col("rows_loaded")
+    return verified.select(
+        F.inline(
+            F.array(
+                gate("matches", "load_count", "rows", F.abs(loaded - rows_staged)),
+                gate("matches", "not_empty", "rows", (loaded == 0).cast("long")),
+            )
+        )
+    )
+
+
 def enforce(report: DataFrame, severity: str = "warn") -> DataFrame:
     """Warn about failed checks, or raise under severity ``error``; returns the report.
 

@@ -21,17 +21,24 @@ FACT_COLUMNS = [
 ]
 
 
+def stg_columns(stored_types: dict[str, str]) -> list[str]:
+    """SQL of the cleaned columns, for the frame and for the view alike.
+
+    The date is parsed only where it is stored as text.
+    """
+    changed = {team: f"trim({team}) AS {team}" for team in ("home_team", "away_team")}
+    if stored_types["match_date"] != "date":
+        changed["match_date"] = "try_to_date(match_date) AS match_date"
+    return [changed.get(c, c) for c in STAGED_COLUMNS]
+
+
 def stg_matches(matches: DataFrame) -> DataFrame:
     """Complete matches with trimmed team names.
 
     The null tests come first, on the stored columns, so that a Parquet scan can
-    evaluate them. The date is parsed only where it is stored as text.
+    evaluate them.
     """
-    stored_types = dict(matches.dtypes)
-    changed = {team: F.trim(team).alias(team) for team in ("home_team", "away_team")}
-    if stored_types["match_date"] != "date":
-        changed["match_date"] = F.try_to_date("match_date").alias("match_date")
-    return drop_incomplete(matches).select(*[changed.get(c, F.col(c)) for c in STAGED_COLUMNS])
+    return drop_incomplete(matches).selectExpr(*stg_columns(dict(matches.dtypes)))
 
 
 def match_facts(stg: DataFrame, high_scoring_goals: int = HIGH_SCORING_GOALS) -> DataFrame:

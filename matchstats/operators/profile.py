@@ -41,12 +41,14 @@ def summarise(raw: DataFrame) -> DataFrame:
     """Per season and result: rows, first and last date, present and parsed values by column.
 
     Takes the all-text scan, where blanks and bad numbers still differ, as well as
-    typed rows. Keys are grouped as written and trimmed once per group, so a key
-    written in several ways has several rows here; the roll-ups add them up.
+    typed rows. Keys are grouped as written (``written``) and trimmed once per group, so
+    a key written in several ways has several rows here; the roll-ups add them up.
 
     Dates compare as text. A minimum of text would make Spark sort all rows before it
     groups them; a date does not, and ISO dates order alike both ways. So readable
-    dates are compared as dates, and any other text becomes part of the key.
+    dates are compared as dates. Any other text is left out of the groups, whose number
+    it would blow up; its least and greatest come from an ungrouped aggregate over the
+    date column alone, as one more row without a season that holds nothing else.
 
     Plain counts keep the generated code in small methods, which the JVM compiles; as
     conditional counts over shared blank tests the same work ran four times longer.
@@ -56,11 +58,8 @@ def summarise(raw: DataFrame) -> DataFrame:
     dated = raw.withColumn("date_text", F.nullif(strip_whitespace(text), F.lit(""))).withColumn(
         "day", F.try_to_date("date_text", DATE_FORMAT)
     )
-    other_date = F.when(F.col("day").isNull(), F.col("date_text"))
     grouped = dated.groupBy(
-        F.col("Season").alias("season"),
-        F.col("FullTimeResult").alias("result"),
-        other_date.alias("other_date"),
+        F.col("Season").alias("written"), F.col("FullTimeResult").alias("result")
     ).agg(
         F.count("*").alias("matches"),
         F.min("day").alias("first_day"),
@@ -70,14 +69,23 @@ def summarise(raw: DataFrame) -> DataFrame:
         F.count(F.when(F.col("date_text") == text, F.col("day"))).alias("parsed_MatchDate"),
         *[_parsed(c, kinds[c]).alias(f"parsed_{c}") for c in RAW_INT_COLUMNS],
     )
-    return grouped.withColumns(
+    summary = grouped.withColumns(
         {
-            "season": _key("season"),
+            "season": _key("written"),
             "result": _key("result"),
-            "min_date": F.coalesce("other_date", F.col("first_day").cast("string")),
-            "max_date": F.coalesce("other_date", F.col("last_day").cast("string")),
+            "min_date": F.col("first_day").cast("string"),
+            "max_date": F.col("last_day").cast("string"),
         }
-    ).drop("other_date", "first_day", "last_day")
+    ).drop("first_day", "last_day")
+    other = dated.where(F.col("day").isNull()).agg(
+        F.min("date_text").alias("min_date"), F.max("date_text").alias("max_date")
+    )
+    return summary.unionByName(other, allowMissingColumns=True)
+
+
+def _groups(summary: DataFrame) -> DataFrame:
+    """The summary without the row of unreadable dates; Spark then skips their scan too."""
+    return summary.where(F.col("season").isNotNull())
 
 
 def profile_totals(summary: DataFrame) -> DataFrame:
@@ -92,14 +100,14 @@ def profile_totals(summary: DataFrame) -> DataFrame:
 
 def profile_frequency(summary: DataFrame, key: str) -> DataFrame:
     """Rows per ``season`` or per ``result``."""
-    return summary.groupBy(key).agg(F.sum("matches").alias("matches")).orderBy(key)
+    return _groups(summary).groupBy(key).agg(F.sum("matches").alias("matches")).orderBy(key)
 
 
 def _per_column(
     summary: DataFrame, whole: str, part: str, columns: list[str], name: str
 ) -> DataFrame:
     """(column, whole - part), both summed; ``{}`` stands for the column's name."""
-    totals = summary.agg(
+    totals = _groups(summary).agg(
         *[
             F.coalesce(F.sum(F.col(whole.format(c)) - F.col(part.format(c))), F.lit(0)).alias(c)
             for c in columns
@@ -121,14 +129,15 @@ def profile_malformed(summary: DataFrame) -> DataFrame:
 def season_coverage(summary: DataFrame, seasons: str | Iterable[str]) -> DataFrame:
     """Per configured entry: is it in the data, and with how many matches.
 
-    Entries are labels or start years, as in the season filter. They join the
-    matching seasons as rows of zero matches, so one small aggregation answers for
-    found and missing entries alike.
+    Entries are labels or start years and match seasons as they are written, as in the
+    season filter: a season with outer whitespace is not found, since it would not be
+    staged. Entries join the matching seasons as rows of zero matches, so one small
+    aggregation answers for found and missing entries alike.
     """
     entries = parse_seasons(seasons)
-    season = F.col("season")
+    season = F.col("written")
     names = F.array_distinct(F.array(season, start_year_text(season)))
-    counted = summary.select(F.explode(names).alias("season"), "matches").where(
+    counted = _groups(summary).select(F.explode(names).alias("season"), "matches").where(
         F.col("season").isin(entries)
     )
     configured = summary.sparkSession.range(0, 1, 1, 1).select(
@@ -147,10 +156,9 @@ def season_coverage(summary: DataFrame, seasons: str | Iterable[str]) -> DataFra
 def covered_matches(summary: DataFrame, seasons: str | Iterable[str]) -> DataFrame:
     """One row: matches of all configured seasons, each counted once.
 
-    The test is made on the summary rows; as a filter it would move down to the scan
-    and trim the season of every match.
+    The same rows pass as in the season filter.
     """
-    configured = season_condition(seasons, F.col("season"))
-    return summary.agg(
+    configured = season_condition(seasons, F.col("written"))
+    return _groups(summary).agg(
         F.coalesce(F.sum(F.when(configured, F.col("matches"))), F.lit(0)).alias("total_matches")
     )

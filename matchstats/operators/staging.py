@@ -23,8 +23,8 @@ SAMPLE_COLUMNS = [
 ]
 
 
-def filter_seasons(raw: DataFrame, seasons: str | Iterable[str]) -> DataFrame:
-    """Rows of the listed seasons; a null season is dropped, an empty list keeps nothing."""
+def filter_seasons(raw: DataFrame, seasons: str | Iterable[str] | None = None) -> DataFrame:
+    """Rows of the listed seasons, or of all; a null season is dropped, an empty list keeps nothing."""
     return raw.where(season_condition(seasons, F.col("Season")))
 
 
@@ -77,23 +77,31 @@ def drop_incomplete(enriched: DataFrame) -> DataFrame:
     return enriched.where(is_complete())
 
 
-def stage_matches(raw: DataFrame, seasons: str | Iterable[str], **options) -> DataFrame:
+def stage_matches(
+    raw: DataFrame, seasons: str | Iterable[str] | None = None, **options
+) -> DataFrame:
     """Filter, clean and drop in one pass over the raw rows."""
     return drop_incomplete(clean_and_enrich(filter_seasons(raw, seasons), **options))
 
 
-def count_dropped(enriched: DataFrame) -> DataFrame:
-    """One row: rows before the incomplete ones go, rows after, and the difference."""
-    counted = enriched.agg(
-        F.count("*").alias("rows_before"), F.count_if(is_complete()).alias("rows_after")
+def count_staged(raw: DataFrame, seasons: str | Iterable[str] | None = None) -> DataFrame:
+    """One row: rows read, rows of the chosen seasons, and those of them that are complete."""
+    selected = F.coalesce(season_condition(seasons, F.col("season")), F.lit(False))
+    return clean_and_enrich(raw).agg(
+        F.count("*").alias("rows_read"),
+        F.count_if(selected).alias("rows_selected"),
+        F.count_if(selected & is_complete()).alias("rows_kept"),
     )
-    return counted.withColumn("rows_dropped", F.col("rows_before") - F.col("rows_after"))
 
 
 def rows_per_season(staged: DataFrame) -> DataFrame:
     return staged.groupBy("season").agg(F.count("*").alias("matches")).orderBy("season")
 
 
-def sample_rows(staged: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` rows in order of all shown columns, so that re-runs agree."""
-    return staged.select(*SAMPLE_COLUMNS).orderBy(*SAMPLE_COLUMNS).limit(n)
+def sample_rows(staged: DataFrame, n: int = 5, ordered: bool = True) -> DataFrame:
+    """The first ``n`` rows in order of all shown columns, so that re-runs agree.
+
+    Not ``ordered``, any ``n`` rows: a look at the first files instead of all of them.
+    """
+    shown = staged.select(*SAMPLE_COLUMNS)
+    return (shown.orderBy(*SAMPLE_COLUMNS) if ordered else shown).limit(n)

@@ -30,49 +30,53 @@ TEAM_STATS_COLUMNS = [
 ]
 
 
-def _sum_by_team(sides: DataFrame, team: Column, measures: dict[str, Column]) -> DataFrame:
-    totals = sides.groupBy("season", "season_start_year", team.alias("team"), "venue").agg(
-        F.count("*").alias("matches_played"),
-        *[F.sum(value).alias(name) for name, value in measures.items()],
+def side_columns() -> list[str]:
+    """SQL of team and measures on a match's side named by ``venue``."""
+    sides = (("team", "home_team", "away_team"), *SIDE_MEASURES)
+    return [f"CASE venue WHEN 'home' THEN {home} ELSE {away} END AS {name}" for name, home, away in sides]
+
+
+def total_columns() -> dict[str, str]:
+    """SQL of each summed column over the sides."""
+    sums = {name: f"sum({name})" for name, _, _ in SIDE_MEASURES}
+    return sums | {
+        "matches_played": "count(*)",
+        "goal_difference": "sum(goals_scored) - sum(goals_conceded)",
+    }
+
+
+def _by_team(sides: DataFrame, counted: dict[str, Column]) -> DataFrame:
+    measured = sides.select(
+        "season", "season_start_year", "venue",
+        *[F.expr(sql) for sql in side_columns()],
+        *[test.alias(name) for name, test in counted.items()],
+    )
+    totals = measured.groupBy(*TEAM_KEYS).agg(
+        *[F.expr(sql).alias(name) for name, sql in total_columns().items()],
+        *[F.count_if(name).alias(name) for name in counted],
     )
-    return totals.withColumn(
-        "goal_difference", F.col("goals_scored") - F.col("goals_conceded")
-    ).select(*TEAM_STATS_COLUMNS)
+    return totals.select(*TEAM_STATS_COLUMNS, *counted)
 
 
-def team_stats(stg: DataFrame) -> DataFrame:
+def team_stats(stg: DataFrame, counted: dict[str, Column] | None = None) -> DataFrame:
     """One row per season, team and venue, from a single scan.
 
     Each match is doubled by a two-element venue array and every measure picks its
     side. Map-side aggregation then leaves one row per group and task, so what is
     shuffled grows with seasons and teams, not with matches, and a dominant season
     or team costs no more than any other.
+
+    ``counted`` adds columns that count the matches passing a test, on both sides.
     """
     sides = stg.withColumn("venue", F.explode(F.array(F.lit("home"), F.lit("away"))))
-
-    def pick(home: str, away: str) -> Column:
-        return F.when(F.col("venue") == "home", F.col(home)).otherwise(F.col(away))
-
-    return _sum_by_team(
-        sides,
-        pick("home_team", "away_team"),
-        {name: pick(home, away) for name, home, away in SIDE_MEASURES},
-    )
+    return _by_team(sides, counted or {})
 
 
 def home_stats(stg: DataFrame) -> DataFrame:
     """The home half alone."""
-    return _sum_by_team(
-        stg.withColumn("venue", F.lit("home")),
-        F.col("home_team"),
-        {name: F.col(home) for name, home, _ in SIDE_MEASURES},
-    )
+    return _by_team(stg.withColumn("venue", F.lit("home")), {})
 
 
 def away_stats(stg: DataFrame) -> DataFrame:
     """The away half alone."""
-    return _sum_by_team(
-        stg.withColumn("venue", F.lit("away")),
-        F.col("away_team"),
-        {name: F.col(away) for name, _, away in SIDE_MEASURES},
-    )
+    return _by_team(stg.withColumn("venue", F.lit("away")), {})

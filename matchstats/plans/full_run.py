@@ -14,16 +14,22 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.checks import enforce, quality_report
+from ..operators.checks import (
+    coverage_report,
+    enforce,
+    header_report,
+    load_report,
+    quality_report,
+)
 from ..operators.kpi import match_kpi
 from ..operators.league import league_table
 from ..operators.matches import match_facts
 from ..operators.profile import season_coverage, summarise
-from ..operators.staging import clean_and_enrich, filter_seasons
-from ..sinks.staged import StagedCounts, write_enriched
+from ..sinks.staged import StagedCounts, stage_and_write
 from ..sinks.tables import create_matches_table, create_schema, reload_matches, save_mart, verify_load
 from ..sinks.views import create_model_views
-from ..sources.raw_csv import read_raw, read_raw_text
+from ..schemas import RAW_COLUMNS
+from ..sources.raw_csv import header, read_raw, read_raw_text
 from ..sources.staged import read_staged, read_table, require_rows
 
 
@@ -64,19 +70,25 @@ class RunReport:
     league_table: DataFrame
     match_kpi: DataFrame
     quality: DataFrame
+    gates: DataFrame
 
 
 def profile_source(
-    spark: SparkSession, source: str, seasons: str | Iterable[str], summary_path: str
+    spark: SparkSession,
+    source: str,
+    seasons: str | Iterable[str] | None,
+    summary_path: str,
+    **reading,
 ) -> tuple[DataFrame, DataFrame]:
     """Profile summary and season coverage; warns about configured seasons without matches.
 
     The summary is written once, so that every report on it reads a small file
-    instead of the source.
+    instead of the source. ``reading`` are options of the CSV reader; ``multiLine=True``
+    accepts line breaks inside quoted fields, but no longer splits a file.
     """
-    summarise(read_raw_text(spark, source)).write.mode("overwrite").parquet(summary_path)
+    summarise(read_raw_text(spark, source, **reading)).write.mode("overwrite").parquet(summary_path)
     summary = spark.read.parquet(summary_path)
-    coverage = season_coverage(summary, seasons)
+    coverage = season_coverage(summary, [] if seasons is None else seasons)
     missing = [row["season"] for row in coverage.where(~F.col("found")).collect()]
     if missing:
         warnings.warn(f"missing seasons: {missing}", stacklevel=2)
@@ -86,14 +98,14 @@ def profile_source(
 def stage_source(
     spark: SparkSession,
     source: str,
-    seasons: str | Iterable[str],
+    seasons: str | Iterable[str] | None,
     staged_path: str,
     ingested_at: datetime | None = None,
+    **reading,
 ) -> StagedCounts:
     """Raw CSV to staged Parquet in one scan; warns about dropped rows."""
-    raw = filter_seasons(read_raw(spark, source), seasons)
-    enriched = clean_and_enrich(raw, ingested_at=ingested_at)
-    counts = write_enriched(enriched, staged_path)
+    raw = read_raw(spark, source, **reading)
+    counts = stage_and_write(raw, seasons, staged_path, ingested_at)
     if counts.rows_dropped:
         warnings.warn(f"dropped {counts.rows_dropped} incomplete rows", stacklevel=2)
     return counts
@@ -107,20 +119,26 @@ def load_matches(spark: SparkSession, staged_path: str, schemas: Schemas) -> Dat
     return verify_load(read_table(spark, schemas.matches))
 
 
-def materialise_models(spark: SparkSession, schemas: Schemas) -> dict[str, DataFrame]:
-    """Views for the two lower models, tables for the two marts; returns all four as read back."""
+MARTS = {
+    "fct_league_table": lambda lower: league_table(lower["int_team_stats"]),
+    "fct_match_kpi": lambda lower: match_kpi(match_facts(lower["stg_matches"])),
+}
+
+
+def materialise_models(
+    spark: SparkSession, schemas: Schemas, marts: Iterable[str] = tuple(MARTS)
+) -> dict[str, DataFrame]:
+    """Views for the two lower models, tables for the marts; returns all as read back."""
     schemas.create(spark)
     require_rows(read_table(spark, schemas.matches), schemas.matches)
     views = create_model_views(spark, schemas.raw, schemas.staging)
     lower = {name: read_table(spark, view) for name, view in views.items()}
-    marts = {
-        "fct_league_table": league_table(lower["int_team_stats"]),
-        "fct_match_kpi": match_kpi(match_facts(lower["stg_matches"])),
-    }
-    for name, frame in marts.items():
+    built = {}
+    for name in marts:
         table = f"{schemas.marts}.{name}"
-        save_mart(frame, table, schemas.path(table))
-    return lower | {name: read_table(spark, f"{schemas.marts}.{name}") for name in marts}
+        save_mart(MARTS[name](lower), table, schemas.path(table))
+        built[name] = read_table(spark, table)
+    return lower | built
 
 
 def check_models(
@@ -131,20 +149,38 @@ def check_models(
     return enforce(spark.read.parquet(report_path), severity)
 
 
+def gates(
+    spark: SparkSession,
+    source: str,
+    coverage: DataFrame,
+    counts: StagedCounts,
+    load: DataFrame,
+    **reading,
+) -> DataFrame:
+    """The run's own checks as report rows: header, seasons, load count, rows at all."""
+    return (
+        header_report(header(spark, source, **reading), RAW_COLUMNS, coverage)
+        .unionByName(coverage_report(coverage))
+        .unionByName(load_report(load, counts.rows_kept))
+    )
+
+
 def run(
     spark: SparkSession,
     source: str,
-    seasons: str | Iterable[str],
+    seasons: str | Iterable[str] | None,
     work_dir: str,
     schemas: Schemas = Schemas(),
     severity: str = "warn",
     ingested_at: datetime | None = None,
+    **reading,
 ) -> RunReport:
     """All steps over one source; ``work_dir`` is a folder that all executors share."""
-    seasons = seasons if isinstance(seasons, str) else list(seasons)
-    summary, coverage = profile_source(spark, source, seasons, f"{work_dir}/profile")
-    counts = stage_source(spark, source, seasons, f"{work_dir}/staged", ingested_at)
+    seasons = seasons if seasons is None or isinstance(seasons, str) else list(seasons)
+    summary, coverage = profile_source(spark, source, seasons, f"{work_dir}/profile", **reading)
+    counts = stage_source(spark, source, seasons, f"{work_dir}/staged", ingested_at, **reading)
     load = load_matches(spark, f"{work_dir}/staged", schemas)
+    gate_rows = gates(spark, source, coverage, counts, load, **reading)
     models = materialise_models(spark, schemas)
     quality = check_models(spark, models, f"{work_dir}/quality", severity)
     return RunReport(
@@ -155,4 +191,5 @@ def run(
         league_table=models["fct_league_table"],
         match_kpi=models["fct_match_kpi"],
         quality=quality,
+        gates=gate_rows,
     )

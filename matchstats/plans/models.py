@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 
+from ..operators.checks import check_model, counted_report, row_tests
 from ..operators.kpi import match_kpi
 from ..operators.league import league_table
 from ..operators.matches import match_facts, stg_matches
-from ..operators.team_stats import team_stats
+from ..operators.team_stats import TEAM_STATS_COLUMNS, team_stats
+from ..session import scratch_dir
 
 
 def build_models(matches: DataFrame) -> dict[str, DataFrame]:
@@ -20,3 +24,26 @@ def build_models(matches: DataFrame) -> dict[str, DataFrame]:
         "fct_league_table": league_table(stats),
         "fct_match_kpi": match_kpi(match_facts(stg)),
     }
+
+
+def check_all(matches: DataFrame) -> DataFrame:
+    """The checks of all four models over one match table, in two scans of it.
+
+    The pass that sums up teams counts the failing matches too; its few rows are written
+    once, and the league table is made and checked from them. The indicators are the
+    other pass.
+    """
+    spark = matches.sparkSession
+    stg = stg_matches(matches)
+    tests = row_tests("stg_matches")
+    path = scratch_dir(spark, "team-stats")
+    team_stats(stg, tests).write.parquet(path)
+    summed = spark.read.parquet(path)
+    stats = summed.select(*TEAM_STATS_COLUMNS)
+    reports = [
+        counted_report(summed.where("venue = 'home'"), "stg_matches"),
+        check_model(stats, "int_team_stats"),
+        check_model(league_table(stats), "fct_league_table"),
+        check_model(match_kpi(match_facts(stg)), "fct_match_kpi"),
+    ]
+    return reduce(DataFrame.unionByName, reports)

@@ -1,9 +1,11 @@
 """How rows are placed before they are written.
 
 Seasons are few and may be very uneven. Hashing rows by season would put a dominant
-season into one task, so writes ask for a rebalance instead: adaptive execution cuts
-a large season into several tasks and joins small ones. A small input gives one file
-per season, a large one gives evenly sized files.
+season into one task, so writes ask for a rebalance by season and month instead:
+adaptive execution cuts a large month into several tasks and joins small ones. A small
+input gives one file per season, a large one evenly sized files of a few months each,
+so that a date filter opens few of them. For that the session needs at least as many
+shuffle partitions as there are months.
 """
 
 from __future__ import annotations
@@ -17,12 +19,15 @@ from pyspark.sql import functions as F
 ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 # Shuffled bytes per write task. Staged rows take about a tenth of that as Parquet, so
-# Spark's own 64 MB would leave files of a few megabytes.
-WRITE_TASK_BYTES = "128m"
+# this gives files of some 128 MB.
+WRITE_TASK_BYTES = "1280m"
 
 
-def balance_by_season(frame: DataFrame) -> DataFrame:
-    return frame.hint("rebalance", F.col("season_start_year"))
+def place_by_month(frame: DataFrame) -> DataFrame:
+    """Rows of a season and month next to each other."""
+    months = F.year("match_date") * 12 + F.month("match_date")
+    placed = frame.withColumn("_month", months)
+    return placed.hint("rebalance", F.col("season_start_year"), F.col("_month")).drop("_month")
 
 
 @contextmanager
@@ -42,7 +47,10 @@ def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[
 
 
 def write_settings(spark: SparkSession) -> dict[str, str]:
-    """Larger tasks for a write, unless the session already names a size."""
+    """Larger tasks for a write, unless the session already names a size.
+
+    It holds for all queries of the session meanwhile; naming a size keeps it as it is.
+    """
     named = spark.conf.get(ADVISORY_SIZE, None) is not None
     return {} if named else {ADVISORY_SIZE: WRITE_TASK_BYTES}
 

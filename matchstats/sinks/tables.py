@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import WAREHOUSE_COLUMNS
 from ..sources.staged import read_staged
-from .layout import balance_by_season, session_settings, sort_matches, write_settings
+from .layout import place_by_month, session_settings, sort_matches, write_settings
+from .staged import observed
 
 # Spark's name for the partition of rows without a value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
+def _quoted(text: str) -> str:
+    """The text as a SQL literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def create_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {_quoted(location)}" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{where}")
 
 
@@ -35,7 +44,7 @@ def create_matches_table(spark: SparkSession, table: str, location: str | None =
     if spark.catalog.tableExists(table):
         return
     columns = ", ".join(f"{name} {kind}" for name, kind in WAREHOUSE_COLUMNS)
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {_quoted(location)}" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) "
         f"USING parquet PARTITIONED BY (season_start_year){where}"
@@ -49,16 +58,28 @@ def _partition_values(spark: SparkSession, table: str) -> set[int | None]:
     return {None if text == NULL_PARTITION else int(text) for text in texts}
 
 
-def _empty_partitions(rows: DataFrame, table: str, years: set[int]) -> None:
-    """Overwrite with nothing, then drop: dropping alone keeps the files of a placed table."""
-    spark = rows.sparkSession
-    nothing = rows.where("false").select(
-        *[name for name, _ in WAREHOUSE_COLUMNS if name != "season_start_year"]
-    )
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def _remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder in whatever file system it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _drop_partitions(spark: SparkSession, table: str, years: set[int | None]) -> None:
+    """Out of the catalog first, so that no reader looks for the files, then from the folder:
+    dropping alone keeps the files of a placed table."""
+    if not years:
+        return
+    location = _location(spark, table)
     for year in years:
-        part = f"PARTITION (season_start_year = {year})"
-        spark.sql(f"INSERT OVERWRITE TABLE {table} {part} SELECT * FROM {{nothing}}", nothing=nothing)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {part}")
+        value = "null" if year is None else year
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (season_start_year = {value})")
+        name = NULL_PARTITION if year is None else year
+        _remove_folder(spark, f"{location}/season_start_year={name}")
 
 
 def reload_matches(staged: DataFrame, table: str, balanced: bool = False) -> None:
@@ -67,27 +88,32 @@ def reload_matches(staged: DataFrame, table: str, balanced: bool = False) -> Non
     Columns are matched by name, and running it twice leaves the same table. Each
     season is exchanged when the insert commits and seasons no longer staged are
     removed after that, so readers never find the table empty, and an insert that
-    fails leaves it as it was. Only where rows without a readable start year are to
-    go, whose partition no statement can name, is the table replaced as a whole.
+    fails leaves it as it was.
 
     ``balanced`` says that the rows come from files split by season, as
     ``read_staged`` gives them; they are then written by the tasks that read them,
-    without a shuffle.
+    without a shuffle, and each file keeps the dates of the one it was read from.
+
+    The insert needs Spark's dynamic partition mode, which only a session setting can
+    name, so other inserts must not run in the same session meanwhile.
     """
     spark = staged.sparkSession
     rows = staged.withColumn("ingested_at", F.col("ingested_at").cast("string"))
-    rows = sort_matches(rows if balanced else balance_by_season(rows))
-    stale = _partition_values(spark, table)
-    if stale:
-        # Of staged Parquet this reads directory names and row counts, no column.
-        years = staged.select("season_start_year").distinct().collect()
-        stale -= {r["season_start_year"] for r in years}
-    mode = "static" if None in stale else "dynamic"
-    settings = write_settings(spark) | {"spark.sql.sources.partitionOverwriteMode": mode}
+    seen = Observation()
+    rows = rows.observe(
+        seen,
+        F.collect_set("season_start_year").alias("years"),
+        F.count_if(F.col("season_start_year").isNull()).alias("yearless"),
+    )
+    rows = sort_matches(rows if balanced else place_by_month(rows))
+    former = _partition_values(spark, table)
+    settings = write_settings(spark) | {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
     with session_settings(spark, settings):
         spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
-    if mode == "dynamic":
-        _empty_partitions(rows, table, stale)
+    if former:
+        values = observed(seen)
+        years = set(values["years"]) | ({None} if values["yearless"] else set()) if values else set()
+        _drop_partitions(spark, table, former - years)
 
 
 def loader_frame(staged: DataFrame) -> DataFrame:
@@ -114,9 +140,40 @@ def verify_load(matches: DataFrame) -> DataFrame:
     )
 
 
+def _schema_location(spark: SparkSession, table: str) -> str:
+    schema = table.rpartition(".")[0] or spark.catalog.currentDatabase()
+    return spark.catalog.getDatabase(schema).locationUri.rstrip("/")
+
+
 def save_mart(frame: DataFrame, table: str, location: str | None = None) -> None:
-    """Materialise a model as a table, in the order of the frame."""
-    writer = frame.write.mode("overwrite")
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(table)
+    """Materialise a model as a table, in the order of the frame.
+
+    Each build is written to a folder of its own, and the table is pointed at it once
+    it is complete. So a failing build leaves the former rows readable, and readers of
+    the former build can finish: its folder goes with the build after the next.
+    """
+    spark = frame.sparkSession
+    base = location or f"{_schema_location(spark, table)}/{table.rpartition('.')[2]}"
+    build = f"{base.rstrip('/')}/build-{uuid.uuid4().hex}"
+    frame.write.parquet(build)
+    former = None
+    if spark.catalog.tableExists(table):
+        former = _location(spark, table)
+        if spark.table(table).dtypes == frame.dtypes:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(build)}")
+            spark.catalog.refreshTable(table)
+        else:
+            spark.sql(f"DROP TABLE {table}")
+            spark.catalog.createTable(table, path=build, source="parquet")
+    else:
+        spark.catalog.createTable(table, path=build, source="parquet")
+    _remove_builds(spark, base, {build, former})
+
+
+def _remove_builds(spark: SparkSession, base: str, keep: set[str | None]) -> None:
+    names = {folder.rstrip("/").rpartition("/")[2] for folder in keep if folder}
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    for status in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("build-") and name not in names:
+            _remove_folder(spark, status.getPath().toString())

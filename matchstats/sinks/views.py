@@ -1,50 +1,42 @@
 """Catalog views over the typed match table.
 
-A stored view needs SQL text; these two say in SQL what ``operators.matches.stg_matches``
-and ``operators.team_stats.team_stats`` say over frames.
+A stored view needs SQL text; it is put together from the same expressions as the frames
+of ``operators.matches.stg_matches`` and ``operators.team_stats.team_stats``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..operators.team_stats import SIDE_MEASURES, TEAM_STATS_COLUMNS
-from ..schemas import CRITICAL_COLUMNS, STAGED_COLUMNS
+from ..operators.matches import stg_columns
+from ..operators.team_stats import TEAM_KEYS, TEAM_STATS_COLUMNS, side_columns, total_columns
+from ..schemas import CRITICAL_COLUMNS
 
-_TRIMMED = ("home_team", "away_team")
 
-
-def stg_matches_sql(matches: str) -> str:
-    columns = ", ".join(f"trim({c}) AS {c}" if c in _TRIMMED else c for c in STAGED_COLUMNS)
+def stg_matches_sql(matches: str, stored_types: dict[str, str]) -> str:
     complete = " AND ".join(f"{c} IS NOT NULL" for c in CRITICAL_COLUMNS)
-    return f"SELECT {columns} FROM {matches} WHERE {complete}"
+    return f"SELECT {', '.join(stg_columns(stored_types))} FROM {matches} WHERE {complete}"
 
 
 def team_stats_sql(stg: str) -> str:
-    sides = ", ".join(
-        f"CASE venue WHEN 'home' THEN {home} ELSE {away} END AS {name}"
-        for name, home, away in (("team", "home_team", "away_team"), *SIDE_MEASURES)
-    )
-    sums = {name: f"sum({name})" for name, _, _ in SIDE_MEASURES}
-    sums |= {
-        "matches_played": "count(*)",
-        "goal_difference": "sum(goals_scored) - sum(goals_conceded)",
-    }
-    columns = ", ".join(f"{sums[c]} AS {c}" if c in sums else c for c in TEAM_STATS_COLUMNS)
+    totals = total_columns()
+    columns = ", ".join(f"{totals[c]} AS {c}" if c in totals else c for c in TEAM_STATS_COLUMNS)
     return f"""
         SELECT {columns}
         FROM (
-            SELECT season, season_start_year, venue, {sides}
+            SELECT season, season_start_year, venue, {", ".join(side_columns())}
             FROM {stg} LATERAL VIEW explode(array('home', 'away')) AS venue
         )
-        GROUP BY season, season_start_year, team, venue
+        GROUP BY {", ".join(TEAM_KEYS)}
     """
 
 
 def create_model_views(spark: SparkSession, raw: str, staging: str) -> dict[str, str]:
     """Create or replace both views; returns model name -> view name."""
     views = {name: f"{staging}.{name}" for name in ("stg_matches", "int_team_stats")}
-    spark.sql(f"CREATE OR REPLACE VIEW {views['stg_matches']} AS {stg_matches_sql(f'{raw}.matches')}")
+    matches = f"{raw}.matches"
+    stored = dict(spark.table(matches).dtypes)
+    spark.sql(f"CREATE OR REPLACE VIEW {views['stg_matches']} AS {stg_matches_sql(matches, stored)}")
     spark.sql(
         f"CREATE OR REPLACE VIEW {views['int_team_stats']} AS {team_stats_sql(views['stg_matches'])}"
     )

@@ -59,6 +59,25 @@ COLUMN_EXPRESSIONS = {
     "AwayRedCards": "case when c % 29 = 0 then 1 else 0 end",
 }
 
+# Changes that make raw text dirty, over the columns above.
+DIRTY_EXPRESSIONS = {
+    "Season": "case when HomeCorners = 4 then concat(Season, chr(9)) else Season end",
+    "MatchDate": "case HomeCorners when 1 then concat(MatchDate, ' 15:00') when 2 then 'n/a' "
+    "when 3 then concat(' ', MatchDate) else MatchDate end",
+    "HomeTeam": "case when HomeCorners = 5 then concat(chr(9), ' ') else HomeTeam end",
+    "AwayTeam": "case when HomeCorners = 6 then '' else AwayTeam end",
+    "FullTimeAwayGoals": "case when AwayCorners = 0 then concat(cast(FullTimeAwayGoals as string), '.0') "
+    "else cast(FullTimeAwayGoals as string) end",
+    "HomeShots": "case when AwayCorners = 1 then ' ' else cast(HomeShots as string) end",
+}
+
+
+def dirty_text(raw: DataFrame) -> DataFrame:
+    """The raw matches with blanks, tabs, decimals and unreadable dates in some columns."""
+    return raw.selectExpr(
+        *[f"{DIRTY_EXPRESSIONS[c]} AS {c}" if c in DIRTY_EXPRESSIONS else c for c in raw.columns]
+    )
+
 
 def matches_from_orders(orders: DataFrame) -> DataFrame:
     """Raw matches; of ``orders`` only the two keys and the date are read."""

@@ -21,14 +21,19 @@ def _header(reader: DataFrameReader, path: str) -> list[str]:
         columns = reader.csv(path).columns
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"Source file not found: {path}") from error
+            raise FileNotFoundError(f"no raw matches at {path}") from error
         raise
     missing = missing_columns(columns)
     if missing:
-        raise ValueError(f"Missing columns in {path}: {missing}")
+        raise ValueError(f"{path} lacks the required columns {', '.join(missing)}")
     return columns
 
 
+def header(spark: SparkSession, path: str, **options) -> list[str]:
+    """Column names as the first file has them."""
+    return spark.read.options(header=True, **options).csv(path).columns
+
+
 def _read(spark: SparkSession, path: str, types: dict[str, str], options: dict) -> DataFrame:
     """The 22 required columns, matched to the file by header name.
 

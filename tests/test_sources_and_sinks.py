@@ -14,18 +14,19 @@ from pyspark.sql import functions as F
 from matchstats.operators.league import league_table
 from matchstats.operators.matches import stg_matches
 from matchstats.operators.profile import profile_blanks, profile_malformed, summarise
-from matchstats.operators.staging import clean_and_enrich, filter_seasons, stage_matches
+from matchstats.operators.staging import stage_matches
 from matchstats.operators.team_stats import team_stats
 from matchstats.plans.full_run import Schemas, load_matches, materialise_models, run
 from matchstats.schemas import RAW_COLUMNS, STAGED_SCHEMA, WAREHOUSE_COLUMNS
 from matchstats.session import scratch_dir
 from matchstats.sinks.raw_csv import write_raw
-from matchstats.sinks.staged import write_enriched, write_staged
+from matchstats.sinks.staged import StagedCounts, stage_and_write, write_staged
 from matchstats.sinks.tables import (
     create_matches_table,
     create_schema,
     loader_frame,
     reload_matches,
+    save_mart,
     verify_load,
 )
 from matchstats.sources.fixture import FIXTURE_SEASONS, read_fixture
@@ -76,7 +77,7 @@ def test_csv_columns_are_matched_by_name(spark, tmp_path):
 
 def test_csv_missing_columns_are_named(spark, tmp_path):
     path = write_lines(tmp_path / "m.csv", RAW_COLUMNS[2:], values()[2:])
-    with pytest.raises(ValueError, match=r"\['Season', 'MatchDate'\]"):
+    with pytest.raises(ValueError, match="columns Season, MatchDate"):
         read_raw(spark, path)
 
 
@@ -165,24 +166,34 @@ def test_overwrite_drops_old_seasons_unless_told_otherwise(spark, raw, tmp_path)
 
 def test_counts_are_observed_during_the_write(spark, raw, tmp_path):
     rows = raw({}, {"MatchDate": "bad"}, {"AwayTeam": None})
-    counts = write_enriched(clean_and_enrich(rows), str(tmp_path / "staged"))
-    assert (counts.rows_before, counts.rows_after, counts.rows_dropped) == (3, 1, 2)
+    rows = rows.union(raw({"Season": "1999/00"}, {"Season": None}))
+    counts = stage_and_write(rows, "2015", str(tmp_path / "staged"))
+    assert counts == StagedCounts(rows_read=5, rows_selected=3, rows_kept=1)
+    assert counts.rows_dropped == 2
     assert read_staged(spark, str(tmp_path / "staged")).count() == 1
 
 
+def test_a_partial_write_is_counted_against_its_own_seasons(spark, raw, tmp_path, monkeypatch):
+    path = str(tmp_path / "staged")
+    stage_and_write(raw({}, {"Season": "odd/16"}), None, path)
+    monkeypatch.setattr("matchstats.sinks.staged.count_staged", None)
+    counts = stage_and_write(raw({"Season": "2016/17"}), None, path, replace_all=False)
+    assert counts == StagedCounts(1, 1, 1) and read_staged(spark, path).count() == 3
+
+
 def test_observed_counts_are_not_trusted_against_the_files(raw, tmp_path, monkeypatch):
     """As after a lost executor, whose tasks are observed twice."""
-    rows = clean_and_enrich(raw({}, {"MatchDate": "bad"}))
-    monkeypatch.setattr(Observation, "get", {"rows_before": 4, "rows_after": 2})
-    counts = write_enriched(rows, str(tmp_path / "staged"))
-    assert (counts.rows_before, counts.rows_after) == (2, 1)
+    twice = {"rows_read": 4, "rows_selected": 4, "rows_kept": 2, "years": [2015], "yearless": 0}
+    monkeypatch.setattr(Observation, "get", twice)
+    counts = stage_and_write(raw({}, {"MatchDate": "bad"}), "2015", str(tmp_path / "staged"))
+    assert counts == StagedCounts(rows_read=2, rows_selected=2, rows_kept=1)
 
 
 def test_counts_of_no_rows(raw, tmp_path):
     """Also where the optimizer knows that nothing is left."""
-    for name, rows in (("listed", filter_seasons(raw({}), [])), ("found", filter_seasons(raw({}), "1999"))):
-        counts = write_enriched(clean_and_enrich(rows), str(tmp_path / name))
-        assert (counts.rows_before, counts.rows_after) == (0, 0)
+    for name, seasons in (("listed", []), ("found", "1999")):
+        assert stage_and_write(raw({}), seasons, str(tmp_path / name)) == StagedCounts(1, 0, 0)
+    assert stage_and_write(raw({}).where("false"), None, str(tmp_path / "none")) == StagedCounts(0, 0, 0)
 
 
 def test_season_scan_keeps_rows_of_odd_labels(spark, raw, tmp_path):
@@ -190,9 +201,33 @@ def test_season_scan_keeps_rows_of_odd_labels(spark, raw, tmp_path):
     write_staged(stage_matches(raw({}, {"Season": "first/16"}), ["2015", "first/16"]), path)
     assert read_staged(spark, path, ["2015/16"]).count() == 1
     assert read_staged(spark, path, "first/16,2015").count() == 2
+    assert read_staged(spark, path, ["2015/16", "first/16", "x/1"]).count() == 2
     assert read_staged(spark, path, []).count() == 0
 
 
+def test_each_entry_prunes_to_its_directory(spark, raw, tmp_path):
+    path = str(tmp_path / "staged")
+    rows = raw({}, {"Season": "2016/17"}, {"Season": "first/16"}, {"Season": "1995/96"})
+    write_staged(stage_matches(rows), path)
+
+    def opened(seasons):
+        scan = read_staged(spark, path, seasons)
+        assert "PartitionFilters: [" in scan._jdf.queryExecution().toString()
+        return {f.rpartition("season_start_year=")[2].split("/")[0] for f in scan.inputFiles()}, scan
+
+    folders, scan = opened(["1995/96", "x/1"])
+    filters = scan._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1]
+    assert "1995" in filters.split("]")[0]
+    assert scan.count() == 1
+    assert read_staged(spark, path, ["first/16"]).count() == 1
+
+
+def test_a_quoted_line_break_needs_the_reading_option(spark, tmp_path):
+    path = write_lines(tmp_path / "m.csv", RAW_COLUMNS, values(HomeTeam="two\nlines"))
+    assert read_raw(spark, path, multiLine=True).first()["HomeTeam"] == "two\nlines"
+    assert read_raw(spark, path).count() == 2
+
+
 def test_missing_or_empty_staged_data(spark, raw, tmp_path):
     with pytest.raises(FileNotFoundError, match="nothing"):
         read_staged(spark, str(tmp_path / "nothing"))
@@ -290,6 +325,58 @@ def test_views_and_marts_equal_the_frames(spark, fixture_staged, schemas, tmp_pa
     assert table(materialise_models(spark, schemas)["fct_match_kpi"]) == kpi
 
 
+def test_a_failing_build_leaves_the_former_mart(spark, schemas):
+    name = f"{schemas.marts}.numbers"
+    frame = spark.range(5).selectExpr("id", "id * 2 AS double")
+    for _ in range(3):
+        save_mart(frame, name)
+    assert spark.table(name).count() == 5
+    failing = frame.selectExpr("id", "CASE WHEN id = 3 THEN raise_error('no') ELSE id END AS double")
+    with pytest.raises(PySparkException):
+        save_mart(failing, name)
+    assert table(spark.table(name)) == table(frame)
+    save_mart(frame.limit(2), name)
+    assert spark.table(name).count() == 2
+    save_mart(frame.selectExpr("id", "'text' AS double"), name)
+    assert spark.table(name).dtypes == [("id", "bigint"), ("double", "string")]
+
+
+def test_a_quote_in_a_folder_name(spark, raw, schemas, tmp_path):
+    placed = Schemas(schemas.raw, schemas.staging, schemas.marts, str(tmp_path / "it's"))
+    write_staged(stage_matches(raw({}), None), str(tmp_path / "staged"))
+    load_matches(spark, str(tmp_path / "staged"), placed)
+    assert materialise_models(spark, placed)["fct_match_kpi"].count() == 1
+
+
+def test_a_dominant_season_is_written_by_date(spark, tmp_path):
+    """Files of one season hardly overlap in their dates, and a week opens few of them."""
+    hot = (
+        spark.range(0, 60_000, 1, 8)
+        .withColumns({c: F.lit(BASE_MATCH[c]) for c in RAW_COLUMNS})
+        .withColumn("MatchDate", F.expr("cast(date_add(date'2015-08-01', cast(id % 300 as int)) as string)"))
+        .withColumn("HomeTeam", F.sha2(F.col("id").cast("string"), 256))
+    )
+    key, parts = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
+    former = spark.conf.get(parts)
+    spark.conf.set(key, "64k")
+    spark.conf.set(parts, "64")
+    try:
+        write_staged(stage_matches(hot), str(tmp_path / "hot"))
+    finally:
+        spark.conf.unset(key)
+        spark.conf.set(parts, former)
+    files = [
+        (r["low"], r["high"])
+        for r in read_staged(spark, str(tmp_path / "hot"))
+        .groupBy(F.input_file_name())
+        .agg(F.min("match_date").alias("low"), F.max("match_date").alias("high"))
+        .collect()
+    ]
+    assert len(files) >= 4
+    week = (date(2015, 11, 2), date(2015, 11, 8))
+    assert sum(low <= week[1] and high >= week[0] for low, high in files) <= len(files) / 2
+
+
 def test_models_refuse_an_empty_table(spark, schemas):
     create_matches_table(spark, f"{schemas.raw}.matches")
     with pytest.raises(ValueError, match="holds no rows"):
@@ -308,7 +395,9 @@ def test_full_run(spark, schemas, tmp_path):
     assert "missing seasons: ['1890/91']" in messages
     assert f"dropped {report.counts.rows_dropped} incomplete rows" in messages
     assert report.counts.rows_dropped > 0
-    assert report.load.first()["rows_loaded"] == report.counts.rows_after
+    assert report.load.first()["rows_loaded"] == report.counts.rows_kept
+    failed = report.gates.where("not passed").collect()
+    assert [(r["check"], r["column"]) for r in failed] == [("season_coverage", "1890/91")]
     assert report.league_table.count() == 120
     assert report.match_kpi.count() == 6
     assert report.quality.count() == 14

@@ -8,7 +8,7 @@ from matchstats.functions.seasons import parse_seasons
 from matchstats.operators.matches import match_facts, stg_matches
 from matchstats.operators.staging import (
     clean_and_enrich,
-    count_dropped,
+    count_staged,
     drop_incomplete,
     filter_seasons,
     rows_per_season,
@@ -38,6 +38,7 @@ def many_seasons(raw):
         (["1999/00"], []),
         ([], []),
         ("", []),
+        (None, ["", "2015", "2015/15", "2015/16", "20151/16", "2016/17", "2017/18"]),
     ],
 )
 def test_season_filter(many_seasons, listed, kept):
@@ -72,25 +73,23 @@ def test_result_flags_and_points(raw, result, flags, points):
 
 
 def test_malformed_dates_and_seasons_become_null(raw):
-    frame = clean_and_enrich(
-        raw(
-            {"HomeTeam": "ok"},
-            {"HomeTeam": "slashes", "MatchDate": "08/08/2015"},
-            {"HomeTeam": "no such day", "MatchDate": "2015-02-30"},
-            {"HomeTeam": "one digit", "MatchDate": "2015-8-8"},
-            {"HomeTeam": "empty", "MatchDate": ""},
-            {"HomeTeam": "odd season", "Season": "first/16"},
-        )
+    source = raw(
+        {"HomeTeam": "ok"},
+        {"HomeTeam": "slashes", "MatchDate": "08/08/2015"},
+        {"HomeTeam": "no such day", "MatchDate": "2015-02-30"},
+        {"HomeTeam": "one digit", "MatchDate": "2015-8-8"},
+        {"HomeTeam": "empty", "MatchDate": ""},
+        {"HomeTeam": "odd season", "Season": "first/16"},
     )
+    frame = clean_and_enrich(source)
     found = {r["home_team"]: r for r in frame.collect()}
     assert found["ok"]["match_date"] == date(2015, 8, 8)
     assert [found[n]["match_date"] for n in ("slashes", "no such day", "one digit", "empty")] == [None] * 4
     assert found["ok"]["season_start_year"] == 2015
     assert found["odd season"]["season_start_year"] is None
     assert sorted(r["home_team"] for r in drop_incomplete(frame).collect()) == ["odd season", "ok"]
-    assert count_dropped(frame).first().asDict() == {
-        "rows_before": 6, "rows_after": 2, "rows_dropped": 4,
-    }
+    assert tuple(count_staged(source).first()) == (6, 6, 2)
+    assert tuple(count_staged(source, "2015").first()) == (6, 5, 1)
 
 
 def test_team_trim_removes_spaces_only(raw):
