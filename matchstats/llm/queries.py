@@ -16,9 +16,12 @@ from matchstats.llm.repeats import repeats_digest, without_repeats
 from matchstats.llm.sharding import shard_digest, shuffle_into_shards
 from matchstats.llm.simhash import near_duplicates, simhash_digest
 from matchstats.llm.sketches import next_document_likeness
+from matchstats.llm.surrogates import surrogate_digest, with_surrogates
 from matchstats.llm.tables import held_out, read_table
 
 SHARDS = 40
+#: Stands for a secret that a user brings; results are compared between runs.
+SURROGATE_KEY = b"a key for the registered query"
 PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -44,6 +47,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogate_digest(with_surrogates(documents, SURROGATE_KEY))
+
+
 def op6_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return next_document_likeness(read_table(spark, sf_dir, "documents"))
 
@@ -82,7 +90,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_repeats, op2_simhash, op3_sharding, op4_language_id, op6_sketches, op7_chat_formatting, op8_decontamination, op9_mixing,
+        op1_repeats, op2_simhash, op3_sharding, op4_language_id, op5_surrogates, op6_sketches, op7_chat_formatting, op8_decontamination, op9_mixing,
         op10_quality,
     )}
 
