@@ -44,6 +44,9 @@ _SYLLABLES = {
     "greek": ("βα δα θα κα λα λε μα μι να νε πα ρα ρο σα τα τε φι".split(), "ς", "α"),
 }
 
+#: After so many draws lengths may change, where short formats leave too few surrogates.
+PATIENCE = 6
+
 _PATTERNS = {
     "mail": r"(?<![\w.+%-])[\w.+%-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}",
     "account": r"\b[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?\b",
@@ -148,8 +151,8 @@ def _account(draws: _Draws, number: str) -> str:
     return f"{number[:2]}{98 - int(spread) % 97:02d}{body}"
 
 
-def _octet(draws: _Draws, octet: str) -> str:
-    low, high = {1: (1, 9), 2: (10, 99)}.get(len(octet), (100, 254))
+def _octet(draws: _Draws, octet: str, wide: bool) -> str:
+    low, high = (1, 254) if wide else {1: (1, 9), 2: (10, 99)}.get(len(octet), (100, 254))
     return str(low + draws.below(high - low + 1))
 
 
@@ -159,9 +162,9 @@ def _script(value: str) -> str:
     return "greek" if any("Ͱ" <= c <= "Ͽ" for c in value) else "latin"
 
 
-def _name(draws: _Draws, kind: str, value: str) -> str:
+def _name(draws: _Draws, kind: str, value: str, attempt: int) -> str:
     syllables, male, female = _SYLLABLES[_script(value)]
-    wanted = max(3, len(value) - 1)
+    wanted = max(3, len(value) - 1) + attempt // PATIENCE
     made = ""
     while len(made) < wanted:
         made += syllables[draws.below(len(syllables))]
@@ -185,7 +188,7 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
     if kind == "account":
         return _account(draws, entity)
     if kind == "network":
-        return ".".join(_octet(draws, o) for o in entity.split("."))
+        return ".".join(_octet(draws, o, attempt >= PATIENCE) for o in entity.split("."))
     if kind == "telephone":
         # The country code stays; without one, all digits change.
         code = 2 if entity.startswith("+") else 0
@@ -199,7 +202,7 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         return kept + _like(draws, rest)
     if kind == "identity":
         return _like(draws, entity)
-    return _name(draws, kind, entity)
+    return _name(draws, kind, entity, attempt)
 
 
 def _spelled(kind: str, value: str, made: str) -> str:
@@ -305,7 +308,7 @@ def with_surrogates(documents: DataFrame, key: bytes, text: str = "text") -> Dat
     of, drawn = free_name(documents, "_of"), free_name(documents, "_again")
     changes = changes.withColumnsRenamed({"row": of, "again": drawn})
     joined = keyed.join(changes, F.col(row) == F.col(of), "left").select(*documents.columns, drawn)
-    name = free_name(documents, "entities")
+    name, names = free_name(documents, "entities"), documents.columns
     place = T.StructType(
         [
             T.StructField("kind", T.StringType()),
@@ -327,7 +330,7 @@ def with_surrogates(documents: DataFrame, key: bytes, text: str = "text") -> Dat
             columns = [c for i, c in enumerate(batch.columns) if i != other]
             columns[at if at < other else at - 1] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(places, kind)], [*documents.columns, name]
+                [*columns, pa.array(places, kind)], [*names, name]
             )
 
     return joined.mapInArrow(replace, with_fields(documents, **{name: T.ArrayType(place)}))

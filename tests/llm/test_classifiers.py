@@ -6,7 +6,12 @@ import numpy as np
 import pytest
 
 from matchstats.llm.labelled import sampled_ids
-from matchstats.llm.language_id import fit_languages, gram_counts, identify_languages
+from matchstats.llm.language_id import (
+    fit_languages,
+    gram_counts,
+    identify_languages,
+    inverse_frequencies,
+)
 from matchstats.llm.quality import accepted, chunked, fit_quality, score_quality, train
 from matchstats.llm.queries import op4_language_id, op10_quality
 from matchstats.llm.tables import read_table
@@ -53,12 +58,19 @@ def test_no_model_without_training_rows(spark, documents):
     assert identify_languages(empty, None).count() == 0
 
 
-def test_grams_do_not_cross_texts_and_gaps_are_one():
+def test_grams_do_not_cross_texts():
     data = np.frombuffer(b"ab  cab 12 c", np.uint8)
     two = gram_counts(data, np.array([0, 5, 12]))
-    one = gram_counts(np.frombuffer(b"ab c", np.uint8), np.array([0, 4]))
-    assert (two[0] == one[0]).all()
-    assert (two[1] != gram_counts(np.frombuffer(b"cab 12 c", np.uint8), np.array([0, 8]))[0]).any()
+    for k, part in enumerate((data[:5], data[5:])):
+        assert (two[k] == gram_counts(part, np.array([0, len(part)]))[0]).all()
+    assert gram_counts(data[:2], np.array([0, 2])).sum() == 3
+
+
+def test_frequencies_cover_all_training_rows(spark, documents):
+    frame = documents([(i, "ab" if i % 4 else "xyz") for i in range(40)]).repartition(5)
+    weights = inverse_frequencies(frame)
+    assert weights.min() == pytest.approx(np.log(41 / 31) + 1)
+    assert sorted(set(weights.round(4)))[1] == pytest.approx(np.log(41 / 11) + 1, abs=1e-3)
 
 
 def test_quality_of_held_out_documents(spark):
