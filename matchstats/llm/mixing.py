@@ -208,8 +208,9 @@ def mix(
         F.col("unit").alias(unit_of), F.col("doc_id").alias(of), F.col("copies").alias(copies)
     )
     unit = F.xxhash64(*(documents[name] for name in (doc_id, source, text)))
+    # By a shuffle of the rows at every size; the other side grows with them.
     rows = documents.join(
-        taken, (unit == F.col(unit_of)) & documents[doc_id].eqNullSafe(F.col(of))
+        taken.hint("merge"), (unit == F.col(unit_of)) & documents[doc_id].eqNullSafe(F.col(of))
     ).select(
         *(documents[name] for name in documents.columns),
         F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(copy),

@@ -29,13 +29,22 @@ from matchstats.llm.tables import free_name, with_fields
 BUCKET_BYTES = 16 << 20
 
 
-def _shuffled(seed: int, bucket: str, order: str, position: str) -> Callable[[pa.Table], pa.Table]:
-    def shuffle(rows: pa.Table) -> pa.Table:
+def _shuffled(
+    seed: int, bucket: str, order: str, columns: list[str], added: list[str], shards: int
+) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def shuffle(rows: pa.Table, offset: pa.Table) -> pa.Table:
         number = rows.column(bucket)[0].as_py()
+        before, total = (offset.column(n)[0].as_py() for n in ("_before", "_all"))
         canonical = pc.sort_indices(rows, sort_keys=[(order, "ascending")]).to_numpy()
         places = np.random.Generator(np.random.Philox([seed, number])).permutation(len(canonical))
-        shuffled = rows.take(pa.array(canonical[places]))
-        return shuffled.append_column(position, pa.array(np.arange(len(canonical))))
+        # Shard s holds the places from the first at or after s * all / shards on.
+        place = before + np.arange(len(canonical))
+        shard = place * shards // total
+        slot = place - -(-shard * total // shards)
+        shuffled = rows.select(columns).take(pa.array(canonical[places]))
+        for name, values in zip(added, (pa.array(shard, pa.int32()), pa.array(slot, pa.int64()))):
+            shuffled = shuffled.append_column(name, values)
+        return shuffled
 
     return shuffle
 
@@ -54,7 +63,7 @@ def shuffle_into_shards(
     runs of a shard.
     """
     shard, slot = free_name(frame, "shard"), free_name(frame, "slot")
-    bucket, order, position = (free_name(frame, n) for n in ("_bucket", "_order", "_position"))
+    bucket, order = (free_name(frame, n) for n in ("_bucket", "_order"))
     size = F.coalesce(F.octet_length(text), F.lit(0))
     total = frame.agg(F.sum(size + F.lit(64)).alias("bytes")).first()["bytes"] or 0
     buckets = max(1, -(-total // bucket_bytes))
@@ -71,19 +80,14 @@ def shuffle_into_shards(
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
         F.sum("_rows").over(Window.partitionBy()).alias("_all"),
     )
-    shuffled = scattered.groupBy(bucket).applyInArrow(
-        _shuffled(seed, bucket, order, position),
-        with_fields(scattered, **{position: T.LongType()}),
-    )
-    placed = shuffled.join(offsets.withColumnRenamed(bucket, "_of"), F.col(bucket) == F.col("_of"))
-    placed = placed.withColumn(position, F.col("_before") + F.col(position))
-    # Shard s holds the places from the first at or after s * all / shards on.
-    number = f"({position} * {shards} div _all)"
-    start = f"(({number} * _all + {shards - 1}) div {shards})"
-    return placed.select(
-        *(F.col(f"`{name}`") for name in frame.columns),
-        F.expr(f"int({number})").alias(shard),
-        F.expr(f"{position} - {start}").alias(slot),
+    # Each bucket meets its offset where it is shuffled, so that rows move once.
+    return (
+        scattered.groupBy(bucket)
+        .cogroup(offsets.groupBy(bucket))
+        .applyInArrow(
+            _shuffled(seed, bucket, order, frame.columns, [shard, slot], shards),
+            with_fields(frame, **{shard: T.IntegerType(), slot: T.LongType()}),
+        )
     )
 
 
