@@ -61,12 +61,12 @@ COLUMN_EXPRESSIONS = {
 
 # Changes that make raw text dirty, over the columns above.
 DIRTY_EXPRESSIONS = {
-    "Season": "case when HomeCorners = 4 then concat(Season, chr(9)) else Season end",
-    "MatchDate": "case HomeCorners when 1 then concat(MatchDate, ' 15:00') when 2 then 'n/a' "
-    "when 3 then concat(' ', MatchDate) else MatchDate end",
-    "HomeTeam": "case when HomeCorners = 5 then concat(chr(9), ' ') else HomeTeam end",
+    "Season": "case when HomeCorners = 4 then Season || chr(9) else Season end",
+    "MatchDate": "case HomeCorners when 1 then MatchDate || ' 15:00' when 2 then 'n/a' "
+    "when 3 then ' ' || MatchDate else MatchDate end",
+    "HomeTeam": "case when HomeCorners = 5 then chr(9) || ' ' else HomeTeam end",
     "AwayTeam": "case when HomeCorners = 6 then '' else AwayTeam end",
-    "FullTimeAwayGoals": "case when AwayCorners = 0 then concat(cast(FullTimeAwayGoals as string), '.0') "
+    "FullTimeAwayGoals": "case when AwayCorners = 0 then cast(FullTimeAwayGoals as string) || '.0' "
     "else cast(FullTimeAwayGoals as string) end",
     "HomeShots": "case when AwayCorners = 1 then ' ' else cast(HomeShots as string) end",
 }
