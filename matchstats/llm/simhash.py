@@ -243,7 +243,9 @@ def one_of_each(
     tag, of, id_of = (free_name(documents, name) for name in ("_mark", "_of", "_id"))
     mark = F.xxhash64(*(F.col(f"`{name}`") for name in documents.columns))
     marked = documents.select(
-        F.struct(F.col(doc_id).alias("id"), mark.alias("mark")).alias("key"),
+        F.struct(
+            F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), mark.alias("mark")
+        ).alias("key"),
         F.col(text).alias("text"),
     )
     found = near_duplicates(marked, "key", **settings)
