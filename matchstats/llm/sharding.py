@@ -76,14 +76,14 @@ def shuffle_into_shards(
     counts = scattered.groupBy(bucket).agg(F.count("*").alias("_rows"))
     before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        bucket,
+        F.col(bucket).alias("_of"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
         F.sum("_rows").over(Window.partitionBy()).alias("_all"),
     )
     # Each bucket meets its offset where it is shuffled, so that rows move once.
     return (
         scattered.groupBy(bucket)
-        .cogroup(offsets.groupBy(bucket))
+        .cogroup(offsets.groupBy("_of"))
         .applyInArrow(
             _shuffled(seed, bucket, order, frame.columns, [shard, slot], shards),
             with_fields(frame, **{shard: T.IntegerType(), slot: T.LongType()}),
