@@ -51,6 +51,9 @@ MOST, AT_ONCE = 8_192, 4_096
 #: Strings of hot hashes that one task counts at once, about.
 HOT_STRINGS = 200_000
 
+#: Of an anchor: its hash was met once where it was found, or more often.
+ALONE, SPEAKS, SURE = 0, 1, 2
+_ANCHORS = "row long, place int, key long, kind int"
 _HELD = "key long, hot boolean, row long, place int, before int, held binary"
 _SPANS = "row long, first int, last int"
 _GROUPS = "repeat long, n_bytes int, row long, first int"
@@ -70,14 +73,14 @@ def _anchored(length: int):
             places, hashes = anchors(data, offsets, length)
             text = np.searchsorted(offsets, places, "right") - 1
             numbers = rows.column(rows.schema.get_field_index("row")).to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(numbers[text]),
-                    pa.array((places - offsets[text]).astype(np.int32)),
-                    pa.array(hashes.view(np.int64)),
-                ],
-                ["row", "place", "key"],
+            _, first, which, counts = np.unique(
+                hashes, return_index=True, return_inverse=True, return_counts=True
             )
+            # Hashes met twice here are repeated for sure; one of each speaks for them.
+            kind = np.where(counts[which] > 1, SURE, ALONE)
+            kind[first[counts > 1]] = SPEAKS
+            columns = [numbers[text], places - offsets[text], hashes.view(np.int64), kind]
+            yield _frame(columns, _ANCHORS)
 
     return run
 
@@ -280,22 +283,32 @@ def _to_groups(length: int):
 def _meeting(rows: DataFrame, copies: DataFrame, length: int, most: int) -> DataFrame:
     """Contexts and hot strings, each key's rows together and in order."""
     found = written(
-        rows.select("row", "text").mapInArrow(_anchored(length), "row long, place int, key long"),
-        "anchors",
+        rows.select("row", "text").mapInArrow(_anchored(length), _ANCHORS), "anchors"
     )
-    many = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # A hot hash has few rows here, one for each chunk of text at most: the others are
+    # known. Both sides of the join read one exchange.
+    asked = found.where(F.col("kind") < SURE).repartition("key")
+    many = asked.groupBy("key").agg(F.sum(F.col("kind") + 1).alias("n")).where("n > 1")
     second = copies.where(~F.col("stays")).select("row")
     repeated = written(
-        found.join(many, "key").join(second, "row", "left_anti").select("row", "place", "key"),
+        asked.join(many.select("key"), "key")
+        .select("row", "place", "key")
+        .unionByName(found.where(F.col("kind") == SURE).select("row", "place", "key"))
+        .join(second, "row", "left_anti"),
         "repeated-anchors",
     )
-    counts = repeated.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    hot = counts.where(F.col("n") > most).agg(F.sum("n")).first()[0] or 0
+    # Without second copies, some hashes have one anchor left, and few are hot.
+    counts = repeated.groupBy("key").agg(F.count("*").alias("n"))
+    odd = written(counts.where((F.col("n") == 1) | (F.col("n") > most)), "odd-hashes")
+    hot = odd.where(F.col("n") > most).agg(F.sum("n")).first()[0] or 0
     buckets = max(64, -(-hot * (length - GRAM + 1) // HOT_STRINGS))
     # A place and its kind in one number: twice the place, one more if its hash is hot.
-    mark = F.col("place").cast("long") * 2 + (F.col("n") > most).cast("long")
+    mark = F.col("place").cast("long") * 2 + F.col("n").isNotNull().cast("long")
     marks = (
-        repeated.join(counts, "key").groupBy("row").agg(F.collect_set(mark).alias("marks"))
+        repeated.join(odd, "key", "left")
+        .where("n IS NULL OR n > 1")
+        .groupBy("row")
+        .agg(F.collect_set(mark).alias("marks"))
     )
     held = rows.select("row", "text").join(marks, "row").mapInArrow(
         _surroundings(length, buckets), _HELD
