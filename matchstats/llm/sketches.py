@@ -152,8 +152,8 @@ def next_document_likeness(
 ) -> DataFrame:
     """How sketches see an edit: each text, its half replaced from the next document, and that one.
 
-    The next document is the next by descending id (null ids last, ties by text), after the
-    last the first. Texts are range-partitioned by that order once; each partition looks
+    The next document is the next by descending id (null ids last, ties by a hash of the
+    text), after the last the first. Texts are range-partitioned by that order once; each partition looks
     one row ahead, and only the first and last row of each partition meet in a second,
     small step. A single document is its own next one.
     """
@@ -161,7 +161,8 @@ def next_document_likeness(
     rows = documents.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")
     )
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
+    # Range boundaries are drawn from a sample of these, so no text is among them.
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     schema = _RESULT.format(id=rows.schema["doc_id"].dataType.simpleString())
@@ -211,8 +212,8 @@ def next_document_likeness(
     firsts = ends.select(F.col("place").alias("following"), "first_text")
     joined = (
         ends.select("place", "last_id", "last_text")
-        .join(following, "place")
-        .join(firsts, "following")
+        .join(following.hint("merge"), "place")
+        .join(firsts.hint("merge"), "following")
         .select(F.col("last_id").alias("doc_id"), F.col("last_text").alias("text"), "first_text")
     )
 

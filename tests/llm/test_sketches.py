@@ -48,7 +48,7 @@ def test_containment_of_unequal_documents(documents, words):
 @pytest.mark.parametrize("partitions", [1, 3, 40])
 def test_next_document(spark, documents, words, partitions):
     rows = [(i * 5 % 17, words(5 + 20 * i, i)) for i in range(17)]
-    rows += [(20, "é😀x"), (21, None), (22, ""), (None, "no id"), (20, "é😀x")]
+    rows += [(20, "é😀x"), (21, None), (22, ""), (None, "no id"), (20, "é😀x")]  # one tie, of equals
     frame = documents(rows).selectExpr("*", "1 AS fingerprint", "2 AS place")
     found = next_document_likeness(frame, partitions=partitions).collect()
     ordered = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
