@@ -310,9 +310,8 @@ def _meeting(rows: DataFrame, copies: DataFrame, length: int, most: int) -> Data
         .groupBy("row")
         .agg(F.collect_set(mark).alias("marks"))
     )
-    held = rows.select("row", "text").join(marks, "row").mapInArrow(
-        _surroundings(length, buckets), _HELD
-    )
+    # With the columns of the last join, so that both read one exchange of the texts.
+    held = rows.join(marks, "row").mapInArrow(_surroundings(length, buckets), _HELD)
     return held.repartition("key").sortWithinPartitions("key", "hot")
 
 
