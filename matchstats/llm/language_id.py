@@ -1,8 +1,9 @@
 """Language identification by the nearest of several centroids per language.
 
-A text's vector counts the 1- to 3-byte grams of its letters (other characters are one
-gap), hashed into a fixed number of cells, damped by logarithm, weighted by inverse
-document frequency and scaled to length one. Each language has several centroids,
+A text's vector counts the 1- to 3-byte grams of its letters (any other ASCII character
+is a gap), hashed into a fixed number of cells, damped by logarithm, weighted by inverse
+document frequency and scaled to length one. The frequencies are counted over all training
+rows; the clusters are made from a bounded sample of them. Each language has several centroids,
 clusters of its training vectors; the nearest by cosine gives the language. A text with
 no letter, or farther from every centroid than the limit, is rejected as ``und``.
 
@@ -55,7 +56,7 @@ def gram_counts(data: np.ndarray, offsets: np.ndarray, cells: int = CELLS) -> np
         count = max(0, len(folded) - size + 1)
         value = value[:count] * np.uint32(257) + folded[size - 1 :]
         kept = np.arange(size, count + size) <= last[:count]
-        # Runs of gaps count once, and gaps alone say nothing.
+        # A gap alone says nothing, nor what starts with two.
         kept &= ~blank[:count] if size == 1 else ~(blank[:count] & blank[1 : count + 1])
         cell = ((value * np.uint32(0x9E3779B1) + np.uint32(size)) >> np.uint32(15)) % cells
         counts += np.bincount(row[:count][kept] + cell[kept], minlength=len(counts))
@@ -98,6 +99,27 @@ class LanguageModel:
         return self.owners[best], np.clip(near[np.arange(len(near)), best], 0, 1)
 
 
+def inverse_frequencies(rows: DataFrame, text: str = "text") -> np.ndarray:
+    """Weight of each cell over all texts; one short row for each cell reaches the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last cell counts the texts themselves.
+        held = np.zeros(CELLS + 1, np.int64)
+        for _, data, offsets in chunks(batches, text, rows=ROWS_AT_ONCE):
+            held[:-1] += (gram_counts(data, offsets) > 0).sum(axis=0)
+            held[-1] += len(offsets) - 1
+        full = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(full.astype(np.int32)), pa.array(held[full])], ["cell", "texts"]
+        )
+
+    counted = rows.select(text).mapInArrow(count, "cell int, texts long")
+    held = np.zeros(CELLS + 1, np.int64)
+    for row in counted.groupBy("cell").agg(F.sum("texts").alias("texts")).collect():
+        held[row["cell"]] = row["texts"]
+    return np.log((1 + held[-1]) / (1 + held[:-1])).astype(np.float32) + 1
+
+
 def fit_languages(
     documents: DataFrame,
     doc_id: str = "doc_id",
@@ -110,7 +132,7 @@ def fit_languages(
     """Learns from rows with a language that are not held out; none of them: no model."""
     rows = documents.select(
         F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text")
-    ).where(~held_out(F.col("doc_id")))
+    ).where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     sample = dict(sampled_ids(rows.select("doc_id", "lang"), "lang", rows_per_language, LANGUAGES))
     if not sample:
         return None
@@ -125,7 +147,6 @@ def fit_languages(
 
     learned = (
         rows.where(F.col("doc_id").isin(list(sample)))
-        .where(F.col("lang").isNotNull())
         .mapInArrow(vectors, T.StructType([*rows.schema.fields[:2], T.StructField("counts", T.BinaryType())]))
         .orderBy("doc_id", "lang")
         .limit(2 * len(sample))
@@ -137,7 +158,7 @@ def fit_languages(
     counts, labels = counts[kept], labels[kept]
     if not len(counts):
         return None
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
+    idf = inverse_frequencies(rows)
     weights = _damped(counts, idf)
     languages = sorted(set(labels.tolist()))
     groups = [_clusters(weights[labels == name], clusters, seed) for name in languages]
