@@ -8,9 +8,16 @@ few that a copied item always holds a whole one at the alignment of one of its o
 Fingerprints within the radius are found by multi-index blocks: of four 16-bit blocks of
 two fingerprints at distance seven or less, one differs in at most one bit, so the items'
 blocks are indexed with all their one-bit changes and each document block is one lookup.
-A candidate gives the place of the item in the document. There the five-word shingles of
-passage and item, weighted by how often they occur, decide: sum of least over sum of most
-weights, at the best of the places and lengths nearby.
+
+Windows miss some passages that lack words, so shingles lead to an item as well. A passage
+of the least similarity holds that share of the item's shingle weight; so of an item's
+anchors, shingles that weigh more than the rest, it holds one. Every word of a document is
+looked up among the anchors, which leaves no passage out, wherever it lies and whatever it
+lacks.
+
+Whichever way an item was met, the five-word shingles of passage and item, weighted by how
+often they occur, decide: sum of least over sum of most weights, at the best of all places
+and lengths in the document.
 
 Items are searched for in blocks of a fixed number, each against all documents, so that
 what is sent to the tasks has a fixed bound. Null and empty texts hold and are no
@@ -20,8 +27,10 @@ matched like any other. Repeated rows match alike. An empty table matches nothin
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import ceil, floor
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +45,6 @@ SHINGLE_WORDS, SIMILARITY, RADIUS = 5, 0.8, 7
 WINDOW_SHARE = 0.75
 #: Most items, and most bytes of an item, sent to the tasks at once.
 ITEMS_AT_ONCE = 2_000
-#: Places and lengths tried around a candidate, in words.
-SLACK = (0, -1, 1, -2, 2)
-_AROUND = [(shift, more) for shift in SLACK for more in SLACK]
-#: Shingles that come or go at most when a passage's ends move that far.
-_MOVED = 6
 CHUNK_BYTES = 1 << 18
 
 _GAPS = np.ones(256, bool)
@@ -69,6 +73,10 @@ class BenchmarkIndex:
     lengths: np.ndarray
     shingles: list[dict[int, int]]
     classes: list[_Class]
+    #: By shingle length in words: anchors, ascending, and the item of each.
+    anchors: dict[int, tuple[np.ndarray, np.ndarray]]
+    #: The similarity that the anchors were chosen for.
+    similarity: float
 
 
 def _word_hashes(words: Words) -> np.ndarray:
@@ -94,15 +102,20 @@ class _Bits:
         return np.packbits(most, axis=1).view("<u8")[:, 0]
 
 
+def _shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The shingle from every word on, given by word hashes; those across texts are included."""
+    mark = np.zeros(max(0, len(hashes) - size + 1), np.uint64)
+    for k in range(size):
+        mark = mark * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + len(mark)]
+    return mark
+
+
 def _shingle_counts(hashes: np.ndarray) -> dict[int, int]:
     """Weighted shingles of a passage given by its word hashes."""
     size = min(SHINGLE_WORDS, len(hashes))
     if not size:
         return {}
-    mark = np.zeros(len(hashes) - size + 1, np.uint64)
-    for k in range(size):
-        mark = mark * np.uint64(0x9E3779B97F4A7C15) + hashes[k : len(hashes) - size + 1 + k]
-    values, counts = np.unique(mark, return_counts=True)
+    values, counts = np.unique(_shingle_hashes(hashes, size), return_counts=True)
     return dict(zip(values.tolist(), counts.tolist()))
 
 
@@ -115,7 +128,62 @@ def weighted_similarity(
     return least / most if most else 0.0, (least + moved) / max(1, most - moved)
 
 
-def index_items(items: list[tuple], radius: int = RADIUS) -> BenchmarkIndex:
+def _anchors(
+    shingles: list[dict[int, int]], lengths: np.ndarray, similarity: float
+) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Of each item the shingles of fewest items, until they weigh more than may be missing."""
+    holders = Counter(s for own in shingles for s in own)
+    found = defaultdict(list)
+    for item, own in enumerate(shingles):
+        weight = sum(own.values())
+        missing = weight - ceil(similarity * weight - 1e-9)
+        for shingle in sorted(own, key=lambda s: (holders[s], s)):
+            found[min(SHINGLE_WORDS, int(lengths[item]))].append((shingle, item))
+            missing -= own[shingle]
+            if missing < 0:
+                break
+    anchors = {}
+    for size, pairs in found.items():
+        values, numbers = zip(*sorted(pairs))
+        anchors[size] = np.array(values, np.uint64), np.array(numbers)
+    return anchors
+
+
+def best_passage(
+    item: dict[int, int], marks: list[int], similarity: float
+) -> tuple[float, int, int] | None:
+    """(similarity, first, shingles) of the best passage in a text given by its shingles.
+
+    The best passage begins and ends with a shingle of the item, and is no longer than the
+    item's weight over the similarity.
+    """
+    weight = sum(item.values())
+    least, most = ceil(similarity * weight - 1e-9), floor(weight / similarity + 1e-9)
+    places = [p for p, mark in enumerate(marks) if mark in item]
+    stops = np.searchsorted(places, np.array(places, np.int64) + most)
+    best, known = None, 0.0
+    for k in np.flatnonzero(stops - np.arange(len(places)) >= least).tolist():
+        first, left, shared = places[k], {}, 0
+        # Were every later shingle of the item shared, up to its weight.
+        if min(int(stops[k]) - k, weight) / weight <= known:
+            continue
+        for place in places[k : int(stops[k])]:
+            mark = marks[place]
+            rest = left.get(mark, item[mark])
+            if rest:
+                left[mark], shared = rest - 1, shared + 1
+            length = place - first + 1
+            alike = shared / (weight + length - shared)
+            if alike >= similarity and alike > known:
+                best, known = (alike, first, length), alike
+        if known == 1.0:
+            break
+    return best
+
+
+def index_items(
+    items: list[tuple], radius: int = RADIUS, similarity: float = SIMILARITY
+) -> BenchmarkIndex:
     """The index over (id, text) of a bounded block of items."""
     raw = [(text or "").encode() for _, text in items]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
@@ -146,9 +214,9 @@ def index_items(items: list[tuple], radius: int = RADIUS) -> BenchmarkIndex:
             made.begins.append(np.searchsorted(near[order], np.arange((1 << 16) + 1)))
             made.entries.append(order // len(changes))
         classes.append(made)
-    return BenchmarkIndex(
-        [i for i, _ in items], lengths, [_shingle_counts(h) for h in per_item], classes
-    )
+    shingles = [_shingle_counts(h) for h in per_item]
+    anchors = _anchors(shingles, lengths, similarity)
+    return BenchmarkIndex([i for i, _ in items], lengths, shingles, classes, anchors, similarity)
 
 
 def _candidates(made: _Class, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,6 +236,28 @@ def _candidates(made: _Class, prints: np.ndarray, radius: int) -> tuple[np.ndarr
     return pairs // len(made.prints), pairs % len(made.prints)
 
 
+def _met(
+    index: BenchmarkIndex, words: Words, marks: dict[int, np.ndarray]
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(texts, items) that share an anchor."""
+    for size, (anchors, items) in index.anchors.items():
+        here = marks[size]
+        if not len(here):
+            continue
+        # Most shingles are none of the anchors, which a table of their low bits tells.
+        table = np.zeros(1 << 16, bool)
+        table[anchors.view("<u2")[::4]] = True
+        hit = np.flatnonzero(table[here.view("<u2")[::4]])
+        begin = np.searchsorted(anchors, here[hit])
+        counts = np.searchsorted(anchors, here[hit], "right") - begin
+        hit, begin, counts = hit[counts > 0], begin[counts > 0], counts[counts > 0]
+        owner = np.searchsorted(words.first, hit, "right") - 1
+        inside = hit + size <= words.first[owner + 1]
+        owner, begin, counts = owner[inside], begin[inside], counts[inside]
+        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        yield np.repeat(owner, counts), items[np.repeat(begin, counts) + within]
+
+
 def passages(
     index: BenchmarkIndex,
     data: np.ndarray,
@@ -176,14 +266,18 @@ def passages(
     similarity: float = SIMILARITY,
 ) -> list[tuple[int, int, float, int, int]]:
     """(text, item, similarity, first word, words): the best place of each item in a text."""
+    if similarity < index.similarity:
+        raise ValueError("the items are indexed for a higher similarity")
     words = Words(data, offsets, _GAPS)
     if not len(words.starts):
         return []
     hashes = _word_hashes(words)
     bits = _Bits(hashes)
     lengths = np.diff(words.first)
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    tried: set[tuple[int, int]] = set()
+    marks = {size: _shingle_hashes(hashes, size) for size in index.anchors}
+    pairs: set[tuple[int, int]] = set()
+    for texts, items in _met(index, words, marks):
+        pairs.update(zip(texts.tolist(), items.tolist()))
     for made in index.classes:
         counts = np.maximum(0, (lengths - made.window) // made.stride + 1)
         owner = np.repeat(np.arange(len(lengths)), counts)
@@ -192,27 +286,20 @@ def passages(
         if not len(starts):
             continue
         window, entry = _candidates(made, bits.prints(starts, made.window), radius)
-        for w, e in zip(window.tolist(), entry.tolist()):
-            item, text = int(made.items[e]), int(owner[w])
-            place = int(starts[w]) - int(made.places[e])
-            if (item, place) in tried:
-                continue
-            tried.add((item, place))
+        pairs.update(zip(owner[window].tolist(), made.items[entry].tolist()))
+    found, held, listed = [], None, {}
+    for text, item in sorted(pairs):
+        size = min(SHINGLE_WORDS, int(index.lengths[item]))
+        if text != held:
+            held, listed = text, {}
+        if size not in listed:
             low, high = int(words.first[text]), int(words.first[text + 1])
-            length, own = int(index.lengths[item]), index.shingles[item]
-            known = best.get((text, item), (0.0,))[0]
-            for shift, more in _AROUND:
-                a, b = max(low, place + shift), min(high, place + shift + length + more)
-                if b <= a or known == 1.0:
-                    continue
-                there = _shingle_counts(hashes[a:b])
-                alike, reach = weighted_similarity(own, there, _MOVED)
-                if alike >= similarity and alike > known:
-                    known = alike
-                    best[text, item] = (alike, a - low, b - a)
-                if (shift, more) == (0, 0) and reach < similarity:
-                    break
-    return [(t, i, *found) for (t, i), found in sorted(best.items())]
+            listed[size] = marks[size][low : max(low, high - size + 1)].tolist()
+        best = best_passage(index.shingles[item], listed[size], similarity)
+        # A shorter shingle is one only where it is the whole passage.
+        if best and (size == SHINGLE_WORDS or best[2] == 1):
+            found.append((text, item, best[0], best[1], best[2] + size - 1))
+    return found
 
 
 def _item_blocks(benchmark: DataFrame, item_id: str, text: str, at_once: int) -> Iterator[list[tuple]]:
@@ -271,7 +358,7 @@ def find_passages(
 
     result = None
     for block in _item_blocks(items, "item_id", "item", at_once):
-        found = rows.mapInArrow(search(index_items(block, radius)), schema)
+        found = rows.mapInArrow(search(index_items(block, radius, similarity)), schema)
         result = found if result is None else result.unionByName(found)
     return result
 
@@ -299,5 +386,5 @@ def without_passages(
         return run
 
     for block in _item_blocks(items, "item_id", "item", at_once):
-        documents = documents.mapInArrow(keep(index_items(block, radius)), documents.schema)
+        documents = documents.mapInArrow(keep(index_items(block, radius, similarity)), documents.schema)
     return documents
