@@ -60,7 +60,8 @@ _PATTERNS = {
 }
 _NUMBERED = re.compile("|".join(f"(?P<{kind}>{p})" for kind, p in _PATTERNS.items() if kind != "mail"))
 _MAIL = re.compile(_PATTERNS["mail"])
-_DIGIT = re.compile(r"\d")
+#: In every text that a numbered pattern matches: a digit, or what a secret may begin with.
+_MAY_BE_NUMBERED = re.compile(r"\d|AKIA|ASIA|(?:sk|pk|ghp|gho|xoxb)[-_]")
 _ADDRESSED = re.compile(
     rf"\b({'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.?[  ]"
     r"([^\W\d_a-z]['\w-]+(?: [^\W\d_a-z]['\w-]+){0,2})"
@@ -77,7 +78,7 @@ def entities(text: str | None) -> list[tuple[str, int, int]]:
         return found
     if "@" in text:
         found += [("mail", m.start(), m.end()) for m in _MAIL.finditer(text)]
-    if _DIGIT.search(text) or "AKIA" in text:
+    if _MAY_BE_NUMBERED.search(text):
         found += [(m.lastgroup, m.start(), m.end()) for m in _NUMBERED.finditer(text)]
     for m in _ADDRESSED.finditer(text):
         parts = [p for p in re.finditer(r"\S+", m[2]) if p[0][0].isupper()]

@@ -132,3 +132,9 @@ def test_digest_and_empty(spark, documents):
     row = surrogate_digest(with_surrogates(documents([(1, "a@b.org 1.2.3.4 1.2.3.4")]), KEY)).first()
     assert (row.n_replaced, row.kinds) == (3, ["mail", "network"])
     assert with_surrogates(documents([]), KEY).count() == 0
+
+
+@pytest.mark.parametrize("start", ["AKIA", "ASIA", "sk-", "pk_", "ghp_", "gho_", "xoxb-"])
+def test_secrets_in_texts_without_digits(start):
+    secret = start + "ABCDEFGHIJKLMNOP"
+    assert entities(f"the key {secret} is ours") == [("secret", 8, 8 + len(secret))]
