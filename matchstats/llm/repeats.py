@@ -323,8 +323,8 @@ def maximal_repeats(
 
     Of texts that occur more than once, one stands for all. Repeats are seen as far as
     ``length`` bytes from an anchor, so a longer one is told in overlapping pieces, one
-    for each anchor in it. Hashes with over ``most`` anchors are left to
-    ``repeated_spans``, which covers them exactly.
+    for each anchor in it. Hashes with over ``most`` anchors are left out, and their
+    repeats with them; ``without_repeats`` covers those too.
     """
     rows = _rows(documents, doc_id, text)
     groups = _meeting(rows, written(_copies(rows), "copies"), length, most).mapInArrow(
