@@ -14,8 +14,7 @@ from matchstats.llm.mixing import mix
 from matchstats.llm.quality import accepted, fit_quality
 from matchstats.llm.queries import SHARDS
 from matchstats.llm.sharding import shuffle_into_shards
-from matchstats.llm.similar_texts import similar_documents
-from matchstats.llm.simhash import one_of_each
+from matchstats.llm.simhash import RADIUS, SHINGLE_WORDS, one_of_each
 from matchstats.llm.tables import read_table, written
 
 
@@ -27,9 +26,10 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the document with the least id.
 
-    Texts are near-duplicates from a similarity of 0.8 of their five-word shingles on.
+    Documents are near-duplicates where SimHash fingerprints of four-word shingles differ
+    in at most four bits, by a chain of such pairs.
     """
-    return one_of_each(docs, finder=similar_documents)
+    return one_of_each(docs, radius=RADIUS, size=SHINGLE_WORDS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
