@@ -19,7 +19,7 @@ tests on counts leave about a third of it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -236,10 +236,9 @@ def one_of_each(
     documents: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    finder: Callable[..., DataFrame] = near_duplicates,
     **settings,
 ) -> DataFrame:
-    """One document of each component that ``finder`` tells stays, the one with the least id.
+    """One document of each component of ``near_duplicates`` stays, the one with the least id.
 
     Rows that share this id and class, or have no id at all, are told apart by a hash of
     the whole row; of rows equal in everything one stays.
@@ -252,7 +251,7 @@ def one_of_each(
         ).alias("key"),
         F.col(text).alias("text"),
     )
-    found = finder(marked, "key", **settings)
+    found = near_duplicates(marked, "key", **settings)
     kept = written(
         found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy(F.col("doc_id")["id"].alias(id_of), F.col("doc_id")["mark"].alias(of))

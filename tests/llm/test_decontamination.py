@@ -28,7 +28,7 @@ def test_copied_passages_are_found_at_any_place(spark, documents, words, items):
             rows.append((i * 100 + place, f"{words(place, place)} {text} {words(30, i)}"))
     rows += [(5000, None), (5001, ""), (5002, words(4000, 7)), (None, items[0][1])]
     found = find_passages(documents(rows), spark.createDataFrame(items, ITEMS)).collect()
-    assert {(r.doc_id, r.item_id) for r in found} == {(d, d // 100) for d, _ in rows if d and d < 5000} | {(None, 0)}
+    assert {(r.doc_id, r.item_id) for r in found} == {(d, d // 100) for d, _ in rows if d is not None and d < 5000} | {(None, 0)}
     assert all(r.similarity == 1.0 for r in found)
     places = {r.doc_id: (r.first_word, r.n_words) for r in found}
     assert places[705] == (5, 59)
