@@ -7,6 +7,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from base_match import BASE_MATCH
+
 from matchstats.schemas import RAW_SCHEMA
 from matchstats.session import local_session
 
@@ -28,16 +30,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-BASE_MATCH = {
-    "Season": "2015/16", "MatchDate": "2015-08-08", "HomeTeam": "A", "AwayTeam": "B",
-    "FullTimeHomeGoals": 1, "FullTimeAwayGoals": 0, "FullTimeResult": "H",
-    "HalfTimeHomeGoals": 0, "HalfTimeAwayGoals": 0, "HalfTimeResult": "D",
-    "HomeShots": 10, "AwayShots": 8, "HomeShotsOnTarget": 4, "AwayShotsOnTarget": 3,
-    "HomeCorners": 5, "AwayCorners": 4, "HomeFouls": 9, "AwayFouls": 11,
-    "HomeYellowCards": 1, "AwayYellowCards": 2, "HomeRedCards": 0, "AwayRedCards": 0,
-}
-
-
 @pytest.fixture
 def raw(spark):
     """Builds raw matches from the base match and the given changes, one row per dict."""

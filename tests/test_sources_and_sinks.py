@@ -6,7 +6,7 @@ from datetime import date, datetime
 from pathlib import Path
 
 import pytest
-from conftest import BASE_MATCH
+from base_match import BASE_MATCH
 from pyspark.errors import PySparkException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
