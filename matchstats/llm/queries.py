@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstats.llm.chat_format import chat_digest, format_chats
+from matchstats.llm.conversation_trie import prefix_trie, with_shared_heads
 from matchstats.llm.decontamination import find_passages
 from matchstats.llm.language_id import fit_languages, identify_languages
 from matchstats.llm.mixing import mixture, mixture_digest
@@ -88,10 +89,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over rebuilt conversations, of which many share an opening."""
+    conversations = read_table(spark, sf_dir, "conversations")
+    return prefix_trie(with_shared_heads(conversations), conversations.select("conv_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_repeats, op2_simhash, op3_sharding, op4_language_id, op5_surrogates, op6_sketches, op7_chat_formatting, op8_decontamination, op9_mixing,
-        op10_quality,
+        op1_repeats, op2_simhash, op3_sharding, op4_language_id, op5_surrogates, op6_sketches,
+        op7_chat_formatting, op8_decontamination, op9_mixing, op10_quality,
+        op13_conversation_trie,
     )}
 
 
@@ -126,5 +134,72 @@ FROM escaped GROUP BY conv_id
 """
 
 
+# The checksum's table comes from its rule, 8 steps a byte; ids are digested digit by digit.
+# A node is named by all its turns, each with its lengths. A node's descendants are found
+# through one member each, by walking up that member's openings.
+_TRIE_SQL = r"""
+WITH RECURSIVE
+steps(byte, value, step) AS (
+    SELECT range, range, 0 FROM range(256)
+    UNION ALL
+    SELECT byte, CASE WHEN value % 2 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END, step + 1
+    FROM steps WHERE step < 8
+),
+crc_table AS (SELECT byte, value FROM steps WHERE step = 8),
+ids AS (SELECT DISTINCT conv_id, cast(conv_id AS varchar) AS digits FROM conversations WHERE conv_id IS NOT NULL),
+crcs(conv_id, digits, place, value) AS (
+    SELECT conv_id, digits, 0, cast(4294967295 AS bigint) FROM ids
+    UNION ALL
+    SELECT conv_id, digits, place + 1, xor(crcs.value >> 8, crc_table.value)
+    FROM crcs JOIN crc_table ON byte = xor(crcs.value, ord(substr(digits, place + 1, 1))) & 255
+    WHERE place < length(digits)
+),
+heads AS (SELECT conv_id, xor(value, 4294967295) % 6 AS h FROM crcs WHERE place = length(digits)),
+turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id
+            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+rebuilt AS (
+    SELECT conv_id, place + 6 AS place, role, text FROM turns JOIN heads USING (conv_id) WHERE place > h
+    UNION ALL
+    SELECT heads.conv_id, place, role, text FROM heads JOIN turns
+    ON turns.conv_id = heads.conv_id - heads.conv_id % 100 AND place <= h
+),
+openings AS (
+    SELECT conv_id, row_number() OVER w AS depth, length(text) AS chars,
+        sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER w) AS id
+    FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+    UNION ALL SELECT conv_id, 0, 0, 'root' FROM ids
+),
+nodes AS (
+    SELECT id, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars
+    FROM openings GROUP BY id, depth
+),
+up AS (
+    SELECT n.id, o.id AS parent FROM nodes n JOIN openings o ON o.conv_id = n.conv_id AND o.depth = n.depth - 1
+),
+children AS (SELECT parent AS id, count(*) AS n_children FROM up GROUP BY parent),
+below AS (
+    SELECT o.id, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves,
+        sum((n.n_convs - 1) * n.chars) AS saved_tokens
+    FROM nodes n LEFT JOIN children c USING (id)
+    JOIN openings o ON o.conv_id = n.conv_id AND o.depth <= n.depth
+    GROUP BY o.id
+),
+ends AS (
+    SELECT id, string_agg(cast(conv_id AS varchar), ',' ORDER BY conv_id) AS ids FROM (
+        SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM openings
+    ) WHERE last GROUP BY id
+)
+SELECT n.conv_id, cast(n.depth AS bigint) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+    coalesce(n_children, 0) AS n_children, cast(n_leaves AS bigint) AS n_leaves,
+    cast(saved_tokens AS bigint) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n JOIN below USING (id) LEFT JOIN children USING (id) LEFT JOIN ends USING (id)
+LEFT JOIN up USING (id) LEFT JOIN nodes p ON p.id = up.parent
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat_formatting": _CHAT_SQL}
+    return {"op7_chat_formatting": _CHAT_SQL, "op13_conversation_trie": _TRIE_SQL}
