@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstats.llm.chat_format import chat_digest, format_chats
+from matchstats.llm.collocations import best_collocations
 from matchstats.llm.conversation_trie import prefix_trie, with_shared_heads
 from matchstats.llm.decontamination import find_passages
 from matchstats.llm.language_id import fit_languages, identify_languages
@@ -89,6 +90,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over rebuilt conversations, of which many share an opening."""
     conversations = read_table(spark, sf_dir, "conversations")
@@ -99,7 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_repeats, op2_simhash, op3_sharding, op4_language_id, op5_surrogates, op6_sketches,
         op7_chat_formatting, op8_decontamination, op9_mixing, op10_quality,
-        op13_conversation_trie,
+        op12_collocations, op13_conversation_trie,
     )}
 
 
@@ -134,6 +139,53 @@ FROM escaped GROUP BY conv_id
 """
 
 
+_PHRASE_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL
+),
+listed AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS words FROM pieces
+),
+totals AS (SELECT lang, cast(sum(len(words)) AS bigint) AS n FROM listed GROUP BY lang),
+grams AS (
+    SELECT lang, 1 AS size, unnest(words) AS phrase FROM listed
+    UNION ALL
+    SELECT lang, 2, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) FROM listed
+    UNION ALL
+    SELECT lang, 3, unnest(list_transform(range(1, len(words) - 1),
+        lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) FROM listed
+),
+counts AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY lang, size, phrase HAVING count(*) >= 10),
+cuts AS (
+    SELECT lang, size, phrase, f, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+    FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM counts WHERE size > 1)
+),
+scored AS (
+    SELECT c.lang, c.size, c.phrase, c.f AS a, k, l.f AS l, r.f AS r,
+        cast(cast(1000000 AS hugeint) * c.f * c.f // (cast(l.f AS hugeint) * r.f) AS bigint) AS score
+    FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = first
+    JOIN counts r ON r.lang = c.lang AND r.phrase = rest
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (
+    SELECT lang, part, max(f) AS f FROM (
+        SELECT lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part
+        FROM (SELECT lang, f, string_split(phrase, ' ') AS w FROM counts WHERE size = 3)
+    ) GROUP BY lang, part
+),
+alone AS (
+    SELECT lowest.* FROM lowest LEFT JOIN around ON around.lang = lowest.lang AND part = phrase AND size = 2
+    WHERE around.f IS NULL OR 100 * around.f < 50 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, n, score
+FROM alone JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
 # The checksum's table comes from its rule, 8 steps a byte; ids are digested digit by digit.
 # A node is named by all its turns, each with its lengths. A node's descendants are found
 # through one member each, by walking up that member's openings.
@@ -202,4 +254,5 @@ LEFT JOIN up USING (id) LEFT JOIN nodes p ON p.id = up.parent
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat_formatting": _CHAT_SQL, "op13_conversation_trie": _TRIE_SQL}
+    return {"op7_chat_formatting": _CHAT_SQL, "op12_collocations": _PHRASE_SQL,
+            "op13_conversation_trie": _TRIE_SQL}
