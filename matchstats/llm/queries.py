@@ -20,6 +20,7 @@ from matchstats.llm.simhash import near_duplicates, simhash_digest
 from matchstats.llm.sketches import next_document_likeness
 from matchstats.llm.surrogates import surrogate_digest, with_surrogates
 from matchstats.llm.tables import held_out, read_table
+from matchstats.llm.vector_index import linked_vectors
 
 SHARDS = 40
 #: Stands for a secret that a user brings; results are compared between runs.
@@ -90,6 +91,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_collocations(read_table(spark, sf_dir, "documents"))
 
@@ -104,7 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_repeats, op2_simhash, op3_sharding, op4_language_id, op5_surrogates, op6_sketches,
         op7_chat_formatting, op8_decontamination, op9_mixing, op10_quality,
-        op12_collocations, op13_conversation_trie,
+        op11_vector_links, op12_collocations, op13_conversation_trie,
     )}
 
 
