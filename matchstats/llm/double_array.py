@@ -1,7 +1,8 @@
 """Double-array tries over byte strings, walked by numpy from many places at once.
 
 A state is a cell. From state s the byte b leads to cell base[s] + b, if check there
-names s. Cell 0 is the root. ``accept`` numbers the states that end a key, -1 elsewhere.
+names s. Cell 0 is the root. ``ends`` are the states that end a key, ascending, and
+``numbers`` their keys' numbers.
 """
 
 from __future__ import annotations
@@ -10,14 +11,23 @@ from dataclasses import dataclass
 
 import numpy as np
 
-_WINDOW = 1 << 12
+#: Nodes that look for their cells together.
+_AT_ONCE = 1 << 14
 
 
 @dataclass(frozen=True)
 class DoubleArray:
     base: np.ndarray
     check: np.ndarray
-    accept: np.ndarray
+    ends: np.ndarray
+    numbers: np.ndarray
+
+    def accepted(self, states: np.ndarray) -> np.ndarray:
+        """The numbers of the keys that end in these states; others end none."""
+        if not len(self.ends):
+            return self.numbers
+        at = np.minimum(np.searchsorted(self.ends, states), len(self.ends) - 1)
+        return self.numbers[at[self.ends[at] == states]]
 
     def step(self, states: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The next states and whether each exists."""
@@ -66,64 +76,79 @@ def _tree(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate([empty, *parents]), np.concatenate([empty, *symbols]).astype(np.int64), ends
 
 
-def build(keys: list[bytes]) -> DoubleArray:
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places starts[k] to starts[k] + lengths[k] of all k, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
+
+
+def build(keys: list[bytes], seed: int = 0) -> DoubleArray:
     """The trie of sorted distinct keys; a key's number is its place in the list.
 
-    Nodes with several children are placed first, the widest first, each at the first
-    base where all its children's cells are free; a single child goes to any free cell.
+    Nodes with several children are placed first, the widest first, in rounds: all that
+    are left propose a base each, at drawn free cells of the part in use and a little
+    beyond, and those whose children's cells are free and claimed by no other stay. A
+    single child goes to any free cell.
     """
     parents, symbols, ends = _tree(keys)
     count = len(parents) + 1
+    draw = np.random.default_rng(seed)
     # Children of one node follow each other: a level lists them by parent.
     order = np.argsort(parents, kind="stable")
-    sorted_parents = parents[order]
-    first = np.flatnonzero(np.r_[True, sorted_parents[1:] != sorted_parents[:-1]]) if len(parents) else order
+    of = parents[order]
+    first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(parents) else order
     width = np.diff(np.r_[first, len(parents)])
-    size = 2 * count + 4 * _WINDOW + 1024
-    used = np.zeros(size, bool)
-    used[0] = True
-    cell = np.zeros(count, np.int64)
-    base = np.zeros(count, np.int64)
-    low = 256
+    used = np.zeros(4 * count + 4096, bool)
+    used[:256] = True
+    cell, base = np.zeros(count, np.int64), np.zeros(count, np.int64)
+    claims = np.zeros(len(used), np.int64)
+    top = 512
     wide = np.flatnonzero(width > 1)
-    for k in wide[np.argsort(-width[wide], kind="stable")]:
-        kids = order[first[k] : first[k] + width[k]]
-        bytes_of = symbols[kids]
-        at = low
-        while True:
-            if at + _WINDOW + 512 > len(used):
-                used = np.concatenate([used, np.zeros(len(used), bool)])
-            free = np.flatnonzero(~used[at : at + _WINDOW]) + at
-            fits = free
-            for symbol in bytes_of[1:] - bytes_of[0]:
-                fits = fits[~used[fits + symbol]]
-                if not len(fits):
-                    break
-            if len(fits):
-                break
-            at += _WINDOW
-        start = int(fits[0]) - int(bytes_of[0])
-        used[start + bytes_of] = True
-        base[sorted_parents[first[k]]] = start
-        cell[kids + 1] = start + bytes_of
-        while low + _WINDOW < len(used) and used[low : low + _WINDOW].mean() > 0.95:
-            low += _WINDOW
+    wide = wide[np.argsort(-width[wide], kind="stable")]
+    for at in range(0, len(wide), _AT_ONCE):
+        left = wide[at : at + _AT_ONCE]
+        while len(left):
+            free = np.flatnonzero(~used[256:top]) + 256
+            if len(free) < 2 * len(left) or len(left) > 0.8 * _AT_ONCE:
+                top += int(width[left].sum()) + 256
+            else:
+                top += 256 + top // 64
+            if top + 512 > len(used):
+                used = np.concatenate([used, np.zeros(top + 512, bool)])
+                claims = np.zeros(len(used), np.int64)
+            free = np.flatnonzero(~used[256:top]) + 256
+            anchors = draw.choice(free, min(len(free), len(left)), replace=False)
+            tried = left[: len(anchors)]
+            kids = order[_spans(first[tried], width[tried])]
+            owner = np.repeat(np.arange(len(tried)), width[tried])
+            start = anchors - symbols[order[first[tried]]]
+            cells = start[owner] + symbols[kids]
+            claims[cells] = owner
+            fits = np.bincount(owner, (claims[cells] != owner) | used[cells], len(tried)) == 0
+            fits &= start >= 0
+            stays = fits[owner]
+            used[cells[stays]] = True
+            cell[kids[stays] + 1] = cells[stays]
+            base[of[first[tried[fits]]]] = start[fits]
+            left = np.concatenate([tried[~fits], left[len(anchors):]])
     single = order[first[width == 1]] if len(parents) else order
-    if len(single):
-        free = np.flatnonzero(~used[256:]) + 256
-        if len(free) < len(single):
-            more = len(single) - len(free)
-            free = np.concatenate([free, len(used) + np.arange(more)])
-        cell[single + 1] = free[: len(single)]
-        base[parents[single]] = cell[single + 1] - symbols[single]
+    free = np.flatnonzero(~used[256:]) + 256
+    if len(free) < len(single):
+        free = np.concatenate([free, len(used) + np.arange(len(single) - len(free))])
+    cell[single + 1] = free[: len(single)]
+    base[parents[single]] = cell[single + 1] - symbols[single]
     cells = int(cell.max()) + 257
-    result = DoubleArray(*(np.full(cells, fill, np.int32) for fill in (0, -1, -1)))
+    result = DoubleArray(np.zeros(cells, np.int32), np.full(cells, -1, np.int32), *_numbered(cell[ends]))
     result.base[cell] = base
     result.check[cell[1:]] = cell[parents]
-    result.accept[cell[ends]] = np.arange(len(keys))
     return result
 
 
+def _numbered(states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(states)
+    return states[order].astype(np.int32), order.astype(np.int32)
+
+
 def counted(
     trie: DoubleArray, buffer: np.ndarray, places: np.ndarray, states: np.ndarray,
     closing: int, last: np.ndarray, keys: int,
@@ -139,8 +164,7 @@ def counted(
         states, exists = trie.step(states, symbols.astype(np.int32))
         places, states, symbols = places[exists], states[exists], symbols[exists]
         closed = symbols == closing
-        found = trie.accept[states[closed]]
-        counts += np.bincount(found[found >= 0], minlength=keys)
+        counts += np.bincount(trie.accepted(states[closed]), minlength=keys)
         if closed.any():
             on = ~(closed & last[places])
             places, states = places[on], states[on]
