@@ -45,11 +45,14 @@ MOST_WORDS, LEAST_COUNT, BEST = 3, 10, 2000
 INSIDE_PERCENT = 50
 #: One bit each: the filter of a level takes 8 MB.
 BUCKETS = 1 << 26
-#: Bytes of keys in a trie. It has at most one node a byte, and 12 bytes a cell.
-TRIE_BYTES = 8 << 20
+#: Bytes of keys in a trie. It has at most one node a byte, and 8 bytes a cell.
+TRIE_BYTES = 4 << 20
+#: Tries that one pass over the texts counts by; a task holds them all.
+TRIES_AT_ONCE = 4
 CHUNK = 4 << 20
 _UNKNOWN = "und"
 _SPACE, _BREAK = 0x20, 0x0A
+_ARRAYS = ("base", "check", "ends", "numbers")
 
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -81,18 +84,28 @@ class Pieces:
             whole &= np.concatenate([self.joined[k:], np.zeros(k, bool)])
         return np.flatnonzero(whole)
 
-    def buckets(self, size: int, of: np.ndarray, buckets: int) -> np.ndarray:
+    def hashes(self, size: int, of: np.ndarray) -> np.ndarray:
         hashes = SpanHash(self.words.buffer)(self.words.starts[of], self.words.ends[of + size - 1])
         seeds = np.array([xxhash.xxh64_intdigest(lang.encode()) for lang in self.langs], np.uint64)
-        return mixed(hashes ^ seeds[self.lang[of]]) % np.uint64(buckets)
+        return mixed(hashes ^ seeds[self.lang[of]]) if len(of) else hashes
 
-    def texts(self, size: int, of: np.ndarray) -> list[tuple[str, str]]:
-        """(lang, phrase) of each, once."""
-        raw = self.words.buffer.tobytes()
-        starts, ends = self.words.starts[of].tolist(), self.words.ends[of + size - 1].tolist()
-        langs = self.lang[of].tolist()
-        found = {(lang, raw[a:b]) for lang, a, b in zip(langs, starts, ends)}
-        return [(self.langs[lang], phrase.decode()) for lang, phrase in found]
+    def buckets(self, size: int, of: np.ndarray, buckets: int) -> np.ndarray:
+        return self.hashes(size, of) % np.uint64(buckets)
+
+    def rows(self, size: int, of: np.ndarray) -> pa.RecordBatch:
+        """(lang, phrase, words) of the phrases that begin there."""
+        starts, ends = self.words.starts[of], self.words.ends[of + size - 1]
+        lengths = ends - starts
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        places = np.arange(before[-1]) + np.repeat(starts - before[:-1], lengths)
+        phrases = pa.LargeStringArray.from_buffers(
+            len(of), pa.py_buffer(before.astype(np.int64)), pa.py_buffer(self.words.buffer[places])
+        )
+        langs = pa.array(self.langs, pa.string()).take(pa.array(self.lang[of]))
+        return pa.RecordBatch.from_arrays(
+            [langs, phrases.cast(pa.string()), pa.array(np.full(len(of), size, np.int32))],
+            ["lang", "phrase", "words"],
+        )
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Pieces]:
@@ -145,19 +158,22 @@ def _candidates(texts: DataFrame, sizes: int, filters: list, buckets: int) -> Da
     """(lang, phrase, words), each once."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = [np.zeros(0, np.uint64)] * sizes
         for pieces in _pieces(batches):
-            for size in range(1, sizes + 1):
-                of = _may_be_frequent(pieces, size, filters, buckets)
-                of = of[_set(filters[size - 1].value, pieces.buckets(size, of, buckets))]
-                found = pieces.texts(size, of)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang for lang, _ in found], pa.string()),
-                        pa.array([phrase for _, phrase in found], pa.string()),
-                        pa.array(np.full(len(found), size, np.int32)),
-                    ],
-                    ["lang", "phrase", "words"],
-                )
+            needed = np.zeros(len(pieces.joined), bool)
+            for size in range(sizes, 0, -1):
+                if size > 1:
+                    of = _may_be_frequent(pieces, size, filters, buckets)
+                    of = of[_set(filters[size - 1].value, pieces.buckets(size, of, buckets))]
+                    for k in range(size):
+                        needed[of + k] = True
+                else:
+                    # Words are counted where they are part of a candidate.
+                    of = np.flatnonzero(needed)
+                hashes, at = np.unique(pieces.hashes(size, of), return_index=True)
+                new = ~np.isin(hashes, seen[size - 1], assume_unique=True)
+                seen[size - 1] = np.concatenate([seen[size - 1], hashes[new]])
+                yield pieces.rows(size, of[at[new]])
 
     return texts.mapInArrow(find, "lang string, phrase string, words int").distinct()
 
@@ -177,48 +193,77 @@ def _tries(candidates: DataFrame, trie_bytes: int) -> tuple[DataFrame, int]:
         keyed = sorted(zip(map(_key, *(table.column(n).to_pylist() for n in ("lang", "phrase"))), range(len(table))))
         table = table.take([row for _, row in keyed])
         trie = build([key for key, _ in keyed])
-        arrays = [[a.tobytes(), *[None] * (len(table) - 1)] for a in (trie.base, trie.check, trie.accept)]
-        return pa.table({
-            "slice": table.column("slice"), "number": np.arange(len(table)),
-            "lang": table.column("lang"), "phrase": table.column("phrase"), "words": table.column("words"),
-            "base": pa.array(arrays[0], pa.binary()), "check": pa.array(arrays[1], pa.binary()),
-            "accept": pa.array(arrays[2], pa.binary()),
-        })
+        arrays = [trie.base, trie.check, trie.ends, trie.numbers]
+        held = [pa.array([a.tobytes(), *[None] * (len(table) - 1)], pa.binary()) for a in arrays]
+        return pa.table(
+            [table.column("slice"), pa.array(np.arange(len(table))), *(table.column(n) for n in ("lang", "phrase", "words")), *held],
+            ["slice", "number", "lang", "phrase", "words", *_ARRAYS],
+        )
 
     sliced = candidates.withColumn("slice", F.pmod(F.xxhash64("lang", "phrase"), F.lit(slices)))
     packed = sliced.groupBy("slice").applyInArrow(
         pack,
-        "slice long, number long, lang string, phrase string, words int,"
-        " base binary, check binary, accept binary",
+        "slice long, number long, lang string, phrase string, words int, "
+        + ", ".join(f"{name} binary" for name in _ARRAYS),
     )
     return written(packed, "tries"), slices
 
 
-def _counts(texts: DataFrame, broadcast, keys: int) -> DataFrame:
-    """(number, n): how often the keys of one trie occur, task by task."""
+def _fetched(tries: DataFrame, number: int):
+    """One trie, broadcast. Its arrays come as Arrow data, at most some 10 bytes a node."""
+    arrays = tries.where((F.col("slice") == number) & F.col("base").isNotNull()).select(*_ARRAYS).toArrow()
+    if not len(arrays):
+        return None
+    held = [np.frombuffer(arrays.column(n)[0].as_buffer(), np.int32) for n in _ARRAYS]
+    return tries.sparkSession.sparkContext.broadcast(held)
+
+
+def _counts(texts: DataFrame, tries: dict, with_totals: bool) -> DataFrame:
+    """(slice, number, lang, n): how often the keys of the tries occur, task by task.
+
+    With totals, rows of a language without slice and number count its words.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = DoubleArray(*broadcast.value)
-        total = np.zeros(keys, np.int64)
+        held = {k: DoubleArray(*trie.value) for k, trie in tries.items()}
+        totals = {k: np.zeros(len(trie.ends), np.int64) for k, trie in held.items()}
+        all_words: dict[str, int] = {}
         for pieces in _pieces(batches):
             words = pieces.words
             last = np.zeros(len(words.buffer), bool)
             last[words.ends[~pieces.joined]] = True
-            roots = np.array([trie.walk(lang.encode() + bytes([_BREAK])) for lang in pieces.langs], np.int32)
-            states = roots[pieces.lang] if len(roots) else np.zeros(0, np.int32)
-            known = states >= 0
-            total += counted(trie, words.buffer, words.starts[known], states[known], _SPACE, last, keys)
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["number", "n"])
+            for lang, n in zip(pieces.langs, np.bincount(pieces.lang, minlength=len(pieces.langs)).tolist()):
+                all_words[lang] = all_words.get(lang, 0) + n
+            for k, trie in held.items():
+                roots = np.array([trie.walk(lang.encode() + bytes([_BREAK])) for lang in pieces.langs], np.int32)
+                states = roots[pieces.lang] if len(roots) else roots
+                known = states >= 0
+                totals[k] += counted(
+                    trie, words.buffer, words.starts[known], states[known], _SPACE, last, len(totals[k])
+                )
+        for k, total in totals.items():
+            found = np.flatnonzero(total)
+            yield _count_rows(np.full(len(found), k), found, [None] * len(found), total[found])
+        if with_totals:
+            yield _count_rows([None] * len(all_words), [None] * len(all_words), list(all_words), list(all_words.values()))
+
+    rows = texts.mapInArrow(count, "slice long, number long, lang string, n long")
+    return rows.groupBy("slice", "number", "lang").agg(F.sum("n").alias("n"))
 
-    return texts.mapInArrow(count, "number long, n long").groupBy("number").agg(F.sum("n").alias("n"))
+
+def _count_rows(*columns) -> pa.RecordBatch:
+    types = (pa.int64(), pa.int64(), pa.string(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["slice", "number", "lang", "n"])
 
 
 def phrase_counts(
     documents: DataFrame, lang: str = "lang", text: str = "text", most_words: int = MOST_WORDS,
     least: int = LEAST_COUNT, buckets: int = BUCKETS, trie_bytes: int = TRIE_BYTES,
 ) -> DataFrame:
-    """(lang, phrase, words, n) of every phrase, single words too, with n >= least."""
+    """(lang, phrase, words, n): every phrase with n >= least, and the words of such phrases.
+
+    The empty phrase of no words has one row a language that counts all its words.
+    """
     spark = documents.sparkSession
     texts = documents.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     filters = []
@@ -228,33 +273,20 @@ def phrase_counts(
     candidates = written(_candidates(texts, most_words, filters, buckets), "candidates")
     for bits in filters:
         bits.unpersist()
-    tries, slices = _tries(candidates, trie_bytes)
+    named, slices = _tries(candidates, trie_bytes)
     counts = []
-    for k in range(slices):
-        of_slice = tries.where(F.col("slice") == k)
-        arrays = of_slice.where("base IS NOT NULL").select("base", "check", "accept").first()
-        if arrays is None:
-            continue
-        trie = spark.sparkContext.broadcast([np.frombuffer(a, np.int32) for a in arrays])
-        counts.append(written(_counts(texts, trie, of_slice.count()).withColumn("slice", F.lit(k).cast("long")), "trie-counts"))
-        trie.unpersist()
-    if not counts:
-        return candidates.withColumn("n", F.lit(0).cast("long"))
-    named = tries.select("slice", "number", "lang", "phrase", "words")
-    whole = named.join(reduce(DataFrame.union, counts), ["slice", "number"])
-    return written(whole.where(F.col("n") >= least).select("lang", "phrase", "words", "n"), "phrase-counts")
-
-
-def word_totals(documents: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
-    """(lang, n): all words of each language."""
-    texts = documents.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for pieces in _pieces(batches):
-            n = np.bincount(pieces.lang, minlength=len(pieces.langs))
-            yield pa.RecordBatch.from_arrays([pa.array(pieces.langs, pa.string()), pa.array(n)], ["lang", "n"])
-
-    return texts.mapInArrow(count, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
+    for at in range(0, slices, TRIES_AT_ONCE):
+        tries = {k: trie for k in range(at, min(slices, at + TRIES_AT_ONCE)) if (trie := _fetched(named, k))}
+        counts.append(written(_counts(texts, tries, at == 0), "trie-counts"))
+        for trie in tries.values():
+            trie.unpersist()
+    found = reduce(DataFrame.union, counts)
+    of_phrases = named.select("slice", "number", "lang", "phrase", "words").join(
+        found.drop("lang"), ["slice", "number"]
+    )
+    totals = found.where("slice IS NULL").select("lang", F.lit("").alias("phrase"), F.lit(0).alias("words"), "n")
+    frequent = of_phrases.where(F.col("n") >= least).select("lang", "phrase", "words", "n")
+    return written(frequent.union(totals), "phrase-counts")
 
 
 def _cuts(counts: DataFrame, most_words: int) -> DataFrame:
@@ -287,16 +319,12 @@ def _inner(counts: DataFrame) -> DataFrame:
     )
 
 
-def collocations(
-    documents: DataFrame, lang: str = "lang", text: str = "text", most_words: int = MOST_WORDS,
-    least: int = LEAST_COUNT, inside_percent: int = INSIDE_PERCENT, **sizes: int,
-) -> DataFrame:
-    """(lang, phrase, a, l, r, score): candidates that lie in no longer one of like frequency.
+def score_phrases(counts: DataFrame, most_words: int = MOST_WORDS, inside_percent: int = INSIDE_PERCENT) -> DataFrame:
+    """(lang, phrase, a, l, r, score): phrases that lie in no longer one of like frequency.
 
     ``score`` is floor(1000000 a a / (l r)) for the lowest-scoring cut of the phrase, the
     first of equals. Products take up to 38 digits and are exact for counts under 10^15.
     """
-    counts = phrase_counts(documents, lang, text, most_words, least, **sizes)
     cuts = written(_cuts(counts, most_words), "cuts")
     of = lambda side, name: counts.select("lang", F.col("phrase").alias(side), F.col("n").alias(name))
     left = written(looked_up(cuts, of("left", "l"), ["lang", "left"]), "left-counts")
@@ -314,12 +342,17 @@ def collocations(
 
 
 def best_collocations(
-    documents: DataFrame, best: int = BEST, lang: str = "lang", text: str = "text", **settings: int
+    documents: DataFrame, best: int = BEST, lang: str = "lang", text: str = "text",
+    most_words: int = MOST_WORDS, inside_percent: int = INSIDE_PERCENT, **settings: int,
 ) -> DataFrame:
-    """(lang, rank, phrase, a, l, r, n, score): each language's best, by score, count and text."""
+    """(lang, rank, phrase, a, l, r, n, score): each language's best, by score, count and text.
+
+    ``n`` counts all words of the language.
+    """
+    counts = phrase_counts(documents, lang, text, most_words, **settings)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = collocations(documents, lang, text, **settings).withColumn("rank", F.row_number().over(order))
-    few = ranked.where(F.col("rank") <= best)
-    return few.join(word_totals(documents, lang, text), "lang").select(
+    ranked = score_phrases(counts, most_words, inside_percent).withColumn("rank", F.row_number().over(order))
+    totals = counts.where("words = 0").select("lang", "n")
+    return ranked.where(F.col("rank") <= best).join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from matchstats.llm.collocations import best_collocations, collocations, phrase_counts
+from matchstats.llm.collocations import best_collocations, phrase_counts, score_phrases
 from matchstats.llm.double_array import build, counted
 
 SCHEMA = "doc_id long, text string, lang string, n string"
@@ -58,17 +58,20 @@ def rows():
 @pytest.mark.parametrize(("buckets", "trie_bytes"), [(1 << 16, 1 << 20), (64, 1 << 20), (1 << 12, 300)])
 def test_all_sizes_give_the_same_counts(spark, rows, buckets, trie_bytes):
     """Also where nearly all phrases share a bucket, and where candidates fill many tries."""
-    counts, _, scored = brute(rows)
+    counts, totals, scored = brute(rows)
     frame = spark.createDataFrame(rows, SCHEMA)
     found = phrase_counts(frame, buckets=buckets, trie_bytes=trie_bytes)
-    assert {(r.lang, tuple(r.phrase.split(" "))): r.n for r in found.collect()} == counts
-    best = collocations(frame, buckets=buckets, trie_bytes=trie_bytes)
+    phrases = {(r.lang, tuple(r.phrase.split(" "))): r.n for r in found.collect() if r.words}
+    assert {r.lang: r.n for r in found.collect() if not r.words} == totals
+    assert {k: n for k, n in phrases.items() if len(k[1]) > 1} == {k: n for k, n in counts.items() if len(k[1]) > 1}
+    assert phrases.items() <= counts.items()
+    best = score_phrases(found)
     assert {(r.lang, r.phrase): (r.a, r.l, r.r, r.score) for r in best.collect()} == scored
 
 
 def test_longer_phrases(spark, rows):
     _, _, scored = brute(rows, most=5, least=3)
-    found = collocations(spark.createDataFrame(rows, SCHEMA), most_words=5, least=3, buckets=1 << 14)
+    found = score_phrases(phrase_counts(spark.createDataFrame(rows, SCHEMA), most_words=5, least=3, buckets=1 << 14), 5)
     assert {(r.lang, r.phrase): (r.a, r.l, r.r, r.score) for r in found.collect()} == scored
 
 
@@ -83,16 +86,12 @@ def test_ranks_and_totals(spark, rows):
         assert [r["rank"] for r in mine] == list(range(1, len(mine) + 1))
 
 
-def test_scores_are_exact_beyond_64_bits(spark, monkeypatch):
-    import matchstats.llm.collocations as module
-
+def test_scores_are_exact_beyond_64_bits(spark):
     big = 3_000_000_000_000
     counts = spark.createDataFrame(
         [("en", "a b", 2, big), ("en", "a", 1, big + 1), ("en", "b", 1, 3 * big)], "lang string, phrase string, words int, n long"
     )
-    monkeypatch.setattr(module, "phrase_counts", lambda *a, **b: counts)
-    row = collocations(counts).first()
-    assert row.score == 1000000 * big * big // ((big + 1) * 3 * big)
+    assert score_phrases(counts).first().score == 1000000 * big * big // ((big + 1) * 3 * big)
 
 
 def test_empty_and_long_texts(spark):
