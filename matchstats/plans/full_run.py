@@ -26,7 +26,8 @@ from ..operators.league import league_table
 from ..operators.matches import match_facts
 from ..operators.profile import season_coverage, summarise
 from ..sinks.staged import StagedCounts, stage_and_write
-from ..sinks.tables import create_matches_table, create_schema, reload_matches, save_mart, verify_load
+from ..sinks.tables import create_matches_table, create_schema, reload_matches, save_mart
+from ..sinks.versions import verify_version
 from ..sinks.views import create_model_views
 from ..schemas import RAW_COLUMNS
 from ..sources.raw_csv import header, read_raw, read_raw_text
@@ -112,11 +113,11 @@ def stage_source(
 
 
 def load_matches(spark: SparkSession, staged_path: str, schemas: Schemas) -> DataFrame:
-    """Staged Parquet into the typed table; returns the verification row."""
+    """Staged Parquet into the typed table; returns the verification row, from its summary."""
     staged = require_rows(read_staged(spark, staged_path), staged_path)
     schemas.create(spark)
     reload_matches(staged, schemas.matches, balanced=True)
-    return verify_load(read_table(spark, schemas.matches))
+    return verify_version(spark, schemas.matches)
 
 
 MARTS = {

@@ -4,58 +4,28 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import WAREHOUSE_COLUMNS
-from ..sources.staged import read_staged
-from .layout import place_by_month, session_settings, sort_matches, write_settings
-from .staged import observed
+from ..files import Files
+from .versions import exchange, open_table, quoted, table_folder
 
-# Spark's name for the partition of rows without a value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _quoted(text: str) -> str:
-    """The text as a SQL literal."""
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
+#: Seconds after which a claim on a build is taken for that of a builder that is gone.
+CLAIM_SECONDS = 24 * 3600
 
 
 def create_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
-    where = f" LOCATION {_quoted(location)}" if location else ""
+    where = f" LOCATION {quoted(location)}" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{where}")
 
 
-def _exists(spark: SparkSession, location: str) -> bool:
-    try:
-        read_staged(spark, location)
-    except FileNotFoundError:
-        return False
-    return True
-
-
 def create_matches_table(spark: SparkSession, table: str, location: str | None = None) -> None:
     """The typed table, if absent; text longer than declared is refused on insert.
 
     With a ``location`` the data stays in that folder whatever catalog the session
-    has, and a catalog that does not know the table picks up the seasons found there.
+    has, and a catalog that does not know the table picks up its newest version there.
     """
-    if spark.catalog.tableExists(table):
-        return
-    columns = ", ".join(f"{name} {kind}" for name, kind in WAREHOUSE_COLUMNS)
-    where = f" LOCATION {_quoted(location)}" if location else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) "
-        f"USING parquet PARTITIONED BY (season_start_year){where}"
-    )
-    if location and _exists(spark, location):
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-
-
-def _partition_values(spark: SparkSession, table: str) -> set[int | None]:
-    texts = [r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    return {None if text == NULL_PARTITION else int(text) for text in texts}
+    open_table(spark, table, location)
 
 
 def _location(spark: SparkSession, table: str) -> str:
@@ -63,57 +33,18 @@ def _location(spark: SparkSession, table: str) -> str:
     return rows[0]["data_type"]
 
 
-def _remove_folder(spark: SparkSession, folder: str) -> None:
-    """Deletes a folder in whatever file system it lies."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def _drop_partitions(spark: SparkSession, table: str, years: set[int | None]) -> None:
-    """Out of the catalog first, so that no reader looks for the files, then from the folder:
-    dropping alone keeps the files of a placed table."""
-    if not years:
-        return
-    location = _location(spark, table)
-    for year in years:
-        value = "null" if year is None else year
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (season_start_year = {value})")
-        name = NULL_PARTITION if year is None else year
-        _remove_folder(spark, f"{location}/season_start_year={name}")
-
-
 def reload_matches(staged: DataFrame, table: str, balanced: bool = False) -> None:
     """Replace the whole content of the typed table with the staged matches.
 
-    Columns are matched by name, and running it twice leaves the same table. Each
-    season is exchanged when the insert commits and seasons no longer staged are
-    removed after that, so readers never find the table empty, and an insert that
-    fails leaves it as it was.
+    Columns are matched by name, and running it twice leaves the same table. Readers see
+    the old content, whole, until one catalog entry is changed, and then the new; a reload
+    that fails leaves the table as it was. Seasons that did not change are not written.
 
     ``balanced`` says that the rows come from files split by season, as
     ``read_staged`` gives them; they are then written by the tasks that read them,
     without a shuffle, and each file keeps the dates of the one it was read from.
-
-    The insert needs Spark's dynamic partition mode, which only a session setting can
-    name, so other inserts must not run in the same session meanwhile.
     """
-    spark = staged.sparkSession
-    rows = staged.withColumn("ingested_at", F.col("ingested_at").cast("string"))
-    seen = Observation()
-    rows = rows.observe(
-        seen,
-        F.collect_set("season_start_year").alias("years"),
-        F.count_if(F.col("season_start_year").isNull()).alias("yearless"),
-    )
-    rows = sort_matches(rows if balanced else place_by_month(rows))
-    former = _partition_values(spark, table)
-    settings = write_settings(spark) | {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
-    with session_settings(spark, settings):
-        spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
-    if former:
-        values = observed(seen)
-        years = set(values["years"]) | ({None} if values["yearless"] else set()) if values else set()
-        _drop_partitions(spark, table, former - years)
+    exchange(staged, table, balanced)
 
 
 def loader_frame(staged: DataFrame) -> DataFrame:
@@ -140,40 +71,58 @@ def verify_load(matches: DataFrame) -> DataFrame:
     )
 
 
-def _schema_location(spark: SparkSession, table: str) -> str:
-    schema = table.rpartition(".")[0] or spark.catalog.currentDatabase()
-    return spark.catalog.getDatabase(schema).locationUri.rstrip("/")
-
-
 def save_mart(frame: DataFrame, table: str, location: str | None = None) -> None:
     """Materialise a model as a table, in the order of the frame.
 
     Each build is written to a folder of its own, and the table is pointed at it once
     it is complete. So a failing build leaves the former rows readable, and readers of
     the former build can finish: its folder goes with the build after the next.
+
+    Builders of one table may meet: each claims its folder before it writes, and nobody
+    removes a folder under a claim that is younger than CLAIM_SECONDS. The build that ends
+    last is the one that readers see.
     """
     spark = frame.sparkSession
-    base = location or f"{_schema_location(spark, table)}/{table.rpartition('.')[2]}"
-    build = f"{base.rstrip('/')}/build-{uuid.uuid4().hex}"
-    frame.write.parquet(build)
-    former = None
-    if spark.catalog.tableExists(table):
-        former = _location(spark, table)
-        if spark.table(table).dtypes == frame.dtypes:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(build)}")
-            spark.catalog.refreshTable(table)
-        else:
-            spark.sql(f"DROP TABLE {table}")
-            spark.catalog.createTable(table, path=build, source="parquet")
+    files = Files(spark)
+    base = table_folder(spark, table, location)
+    name = f"build-{uuid.uuid4().hex}"
+    build, claim = f"{base}/{name}", f"{base}/_claims/{name}"
+    files.create(claim)
+    try:
+        frame.write.parquet(build)
+        former = _switch(frame, table, build)
+    except BaseException:
+        files.remove(build)
+        files.remove(claim)
+        raise
+    files.remove(claim)
+    _remove_builds(spark, base, {build, former, _location(spark, table)})
+
+
+def _switch(frame: DataFrame, table: str, build: str) -> str | None:
+    """Points the table at a complete build; returns the folder it had before."""
+    spark = frame.sparkSession
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=build, source="parquet")
+        return None
+    former = _location(spark, table)
+    if spark.table(table).dtypes == frame.dtypes:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(build)}")
+        spark.catalog.refreshTable(table)
     else:
+        spark.sql(f"DROP TABLE {table}")
         spark.catalog.createTable(table, path=build, source="parquet")
-    _remove_builds(spark, base, {build, former})
+    return former
 
 
 def _remove_builds(spark: SparkSession, base: str, keep: set[str | None]) -> None:
+    """Removes builds that no table, reader or builder has a use for, and claims left behind."""
+    files = Files(spark)
     names = {folder.rstrip("/").rpartition("/")[2] for folder in keep if folder}
-    path = spark._jvm.org.apache.hadoop.fs.Path(base)
-    for status in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path):
-        name = status.getPath().getName()
-        if name.startswith("build-") and name not in names:
-            _remove_folder(spark, status.getPath().toString())
+    claims = files.ages(f"{base}/_claims")
+    claimed = {name for name, age in claims.items() if age < CLAIM_SECONDS}
+    for name in files.ages(base):
+        if name.startswith("build-") and name not in names | claimed:
+            files.remove(f"{base}/{name}")
+    for name in claims.keys() - claimed:
+        files.remove(f"{base}/_claims/{name}")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
+from ..files import Files
 from ..schemas import RAW_COLUMNS, RAW_SCHEMA
 
 
@@ -17,12 +17,7 @@ def missing_columns(columns: list[str]) -> list[str]:
 
 def _header(reader: DataFrameReader, path: str) -> list[str]:
     """Column names of the first file; only its first line is read."""
-    try:
-        columns = reader.csv(path).columns
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no raw matches at {path}") from error
-        raise
+    columns = reader.csv(path).columns
     missing = missing_columns(columns)
     if missing:
         raise ValueError(f"{path} lacks the required columns {', '.join(missing)}")
@@ -42,6 +37,8 @@ def _read(spark: SparkSession, path: str, types: dict[str, str], options: dict)
     every file's header with it and raise on a difference, where the default would
     silently shift the columns. A short line gives nulls, an unreadable number too.
     """
+    if not Files(spark).exists(path):
+        raise FileNotFoundError(f"no raw matches at {path}")
     reader = spark.read.options(header=True, enforceSchema=False, **options)
     schema = T.StructType(
         [T.StructField(c, types.get(c, T.StringType())) for c in _header(reader, path)]

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.seasons import partition_condition, season_condition
+from ..files import Files
 from ..schemas import STAGED_SCHEMA
 
 
@@ -20,13 +20,9 @@ def read_staged(
     With ``seasons`` the rows are filtered and directories of other start years
     are never opened. The schema is given, so no file footer is read to infer it.
     """
-    try:
-        frame = spark.read.schema(STAGED_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"No staged Parquet found at {path}") from error
-        raise
-    frame = frame.select(*STAGED_SCHEMA.names)
+    if not Files(spark).exists(path):
+        raise FileNotFoundError(f"{path} has no staged matches")
+    frame = spark.read.schema(STAGED_SCHEMA).parquet(path).select(*STAGED_SCHEMA.names)
     if seasons is None:
         return frame
     seasons = list(seasons.split(",") if isinstance(seasons, str) else seasons)

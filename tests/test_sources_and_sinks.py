@@ -29,6 +29,7 @@ from matchstats.sinks.tables import (
     save_mart,
     verify_load,
 )
+from matchstats.sinks.versions import current_version
 from matchstats.sources.fixture import FIXTURE_SEASONS, read_fixture
 from matchstats.sources.raw_csv import read_raw, read_raw_text
 from matchstats.sources.staged import read_staged, require_rows
@@ -274,7 +275,8 @@ def test_reload_drops_seasons_no_longer_staged(spark, raw, schemas):
     assert seasons() == ["2015/16", "2016/17", "odd/16"]
     reload_matches(stage_matches(raw({"Season": "2016/17"}), "2016"), name)
     assert seasons() == ["2016/17"]
-    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 1
+    version = f"{name}__{current_version(spark, name)[0]}"
+    assert spark.sql(f"SHOW PARTITIONS {version}").count() == 1
     reload_matches(stage_matches(raw({}), []), name)
     assert spark.table(name).count() == 0
 
@@ -285,8 +287,10 @@ def test_a_fresh_catalog_finds_the_table_again(spark, raw, schemas, tmp_path):
     for staged in (both, stage_matches(raw({"Season": "2016/17"}), "2016")):
         write_staged(staged, str(tmp_path / "staged"))
         load_matches(spark, str(tmp_path / "staged"), placed)
-        for table_name in (placed.matches, f"{placed.marts}.fct_match_kpi"):
-            spark.sql(f"DROP TABLE IF EXISTS {table_name}")
+        spark.sql(f"DROP VIEW {placed.matches}")
+        spark.sql(f"DROP TABLE IF EXISTS {placed.marts}.fct_match_kpi")
+        for kept in spark.catalog.listTables(schemas.raw):
+            spark.sql(f"DROP TABLE {schemas.raw}.{kept.name}")
         kpi = materialise_models(spark, placed)["fct_match_kpi"]
         assert kpi.agg(F.sum("total_matches")).first()[0] == staged.count()
 
