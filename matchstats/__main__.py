@@ -23,6 +23,7 @@ from .plans.full_run import (
     run,
     stage_source,
 )
+from .plans.models import WriteChecks
 from .sources.staged import read_staged
 
 
@@ -91,8 +92,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     elif options.step == "load":
         _show("Loaded", load_matches(spark, staged_path, schemas))
     elif options.step == "model":
-        models = materialise_models(spark, schemas)
-        quality = check_models(spark, models, f"{work_dir}/quality", options.severity)
+        checks = WriteChecks()
+        models = materialise_models(spark, schemas, checks=checks)
+        quality = check_models(spark, models, f"{work_dir}/quality", options.severity, checks)
         _show("Checks", quality)
     else:
         report = run(

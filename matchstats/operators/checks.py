@@ -6,7 +6,7 @@ import warnings
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,10 @@ MODEL_CHECKS = {
 }
 
 
+#: The columns of every report.
+REPORT_SCHEMA = "model string, check string, column string, failures long, passed boolean"
+
+
 class QualityError(ValueError):
     """A check failed under severity ``error``."""
 
@@ -118,10 +122,14 @@ def row_tests(model: str) -> dict[str, Column]:
     return {f"failing_{i}": c.failing() for i, c in checks if not isinstance(c, Unique)}
 
 
-def counted_report(counts: DataFrame, model: str) -> DataFrame:
-    """The report of a model's row checks from a frame that has already counted ``row_tests``."""
-    counted = dict(zip(row_tests(model), MODEL_CHECKS[model]))
-    return _report(counts.agg(*[F.sum(name).alias(name) for name in counted]), model, counted)
+def failures_report(spark: SparkSession, failures: dict[str, list[int]]) -> DataFrame:
+    """The report of models whose failures are counted, in the order of their checks."""
+    rows = [
+        (model, check.name, check.column, int(n), n == 0)
+        for model, counts in failures.items()
+        for check, n in zip(MODEL_CHECKS[model], counts, strict=True)
+    ]
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
 def gate(model: str, check: str, column: str, failures: Column | int) -> Column:

@@ -7,7 +7,8 @@ asks for only the measures the report uses.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from ..functions.text import is_present, strip_whitespace
 from ..schemas import DATE_FORMAT, RAW_COLUMNS, RAW_INT_COLUMNS
 
 PARSED_COLUMNS = ["MatchDate", *RAW_INT_COLUMNS]
+#: Bytes of a text that are compared as one decimal.
+CODE_BYTES = 14
 
 
 def _key(name: str) -> Column:
@@ -45,31 +48,33 @@ def summarise(raw: DataFrame) -> DataFrame:
     a key written in several ways has several rows here; the roll-ups add them up.
 
     Dates compare as text. A minimum of text would make Spark sort all rows before it
-    groups them; a date does not, and ISO dates order alike both ways. So readable
-    dates are compared as dates. Any other text is left out of the groups, whose number
-    it would blow up; its least and greatest come from an ungrouped aggregate over the
-    date column alone, as one more row without a season that holds nothing else.
+    groups them; a date or a number does not. ISO dates order alike as dates and as text, so
+    readable dates are compared as dates. Of any other text the first bytes are compared, as
+    a number of the same order (``low_code``, ``high_code``); ``date_range`` and ``settled``
+    make whole texts of them.
 
     Plain counts keep the generated code in small methods, which the JVM compiles; as
     conditional counts over shared blank tests the same work ran four times longer.
     """
     kinds = dict(raw.dtypes)
     text = F.col("MatchDate").cast("string")
-    dated = raw.withColumn("date_text", F.nullif(strip_whitespace(text), F.lit(""))).withColumn(
-        "day", F.try_to_date("date_text", DATE_FORMAT)
-    )
+    odd = F.when(F.col("day").isNull(), F.col("date_text"))
+    dated = _dated(raw)
     grouped = dated.groupBy(
         F.col("Season").alias("written"), F.col("FullTimeResult").alias("result")
     ).agg(
         F.count("*").alias("matches"),
         F.min("day").alias("first_day"),
         F.max("day").alias("last_day"),
+        F.min(_code(odd)).alias("low_code"),
+        F.max(_code(odd)).alias("high_code"),
+        F.count_if(F.instr(odd, "\0") > 0).alias("odd_zeros"),
         *[_present(c, kinds[c]).alias(f"present_{c}") for c in RAW_COLUMNS],
         # Staging reads the date as it stands, so outer whitespace makes it unreadable there.
         F.count(F.when(F.col("date_text") == text, F.col("day"))).alias("parsed_MatchDate"),
         *[_parsed(c, kinds[c]).alias(f"parsed_{c}") for c in RAW_INT_COLUMNS],
     )
-    summary = grouped.withColumns(
+    return grouped.withColumns(
         {
             "season": _key("written"),
             "result": _key("result"),
@@ -77,19 +82,86 @@ def summarise(raw: DataFrame) -> DataFrame:
             "max_date": F.col("last_day").cast("string"),
         }
     ).drop("first_day", "last_day")
-    other = dated.where(F.col("day").isNull()).agg(
-        F.min("date_text").alias("min_date"), F.max("date_text").alias("max_date")
-    )
-    return summary.unionByName(other, allowMissingColumns=True)
+
+
+def _dated(raw: DataFrame) -> DataFrame:
+    text = F.nullif(strip_whitespace(F.col("MatchDate").cast("string")), F.lit(""))
+    return raw.withColumn("date_text", text).withColumn("day", F.try_to_date("date_text", DATE_FORMAT))
+
+
+def _code(text: Column) -> Column:
+    """The first CODE_BYTES bytes as a number; texts order alike, as far as these bytes go."""
+    half = CODE_BYTES // 2
+    part = lambda at: F.conv(
+        F.rpad(F.hex(F.substring(text.cast("binary"), at, half)), 2 * half, "0"), 16, 10
+    ).cast("decimal(20,0)")
+    return (part(1) * F.lit(1 << (8 * half)).cast("decimal(17,0)") + part(half + 1)).cast("decimal(38,0)")
+
+
+def _whole_text(raw: DataFrame, code: Decimal | None, pick: Callable, zeros: bool) -> str | None:
+    """The text of a winning code. Only one that may go on behind it is looked up, among the
+    few rows of that code."""
+    if code is None:
+        return None
+    first = int(code).to_bytes(CODE_BYTES, "big")
+    if not first[-1] and not zeros:
+        return first.rstrip(b"\0").decode()
+    tied = _dated(raw).where(F.col("day").isNull() & (_code(F.col("date_text")) == F.lit(code)))
+    return tied.agg(pick("date_text")).first()[0]
+
+
+def _outer(texts: Iterable[str | None], pick: Callable) -> str | None:
+    return pick((t for t in texts if t is not None), key=str.encode, default=None)
+
+
+def date_range(summary: DataFrame, raw: DataFrame) -> tuple[str | None, str | None]:
+    """Least and greatest date text of the rows that ``summary`` sums up."""
+    return _totals(summary, raw)[2:]
+
+
+def _totals(summary: DataFrame, raw: DataFrame) -> tuple:
+    row = summary.agg(
+        F.coalesce(F.sum("matches"), F.lit(0)),
+        F.count_distinct("season"),
+        F.min("min_date"), F.max("max_date"), F.min("low_code"), F.max("high_code"),
+        F.coalesce(F.sum("odd_zeros"), F.lit(0)) > 0,
+    ).first()
+    matches, seasons, first, last, low, high, zeros = row
+    low, high = _whole_text(raw, low, F.min, zeros), _whole_text(raw, high, F.max, zeros)
+    return matches, seasons, _outer((first, low), min), _outer((last, high), max)
+
+
+def settled(summary: DataFrame, raw: DataFrame, path: str) -> DataFrame:
+    """The summary written to ``path`` in one scan, with whole texts in place of codes.
+
+    They are one more row, without a season, that holds nothing else.
+    """
+    spark = summary.sparkSession
+    codes = ("low_code", "high_code", "odd_zeros")
+    summary.write.mode("overwrite").parquet(path)
+    kept = spark.read.schema(summary.schema).parquet(path)
+    ends = spark.createDataFrame([date_range(kept, raw)], "min_date string, max_date string")
+    row = kept.drop(*codes).limit(0).unionByName(ends, allowMissingColumns=True)
+    row.coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema(row.schema).parquet(path)
 
 
 def _groups(summary: DataFrame) -> DataFrame:
-    """The summary without the row of unreadable dates; Spark then skips their scan too."""
+    """The summary without the row of whole date texts."""
     return summary.where(F.col("season").isNotNull())
 
 
-def profile_totals(summary: DataFrame) -> DataFrame:
-    """One row: rows, distinct seasons (blank is one), first and last date or null."""
+def profile_totals(summary: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """One row: rows, distinct seasons (blank is one), first and last date or null.
+
+    With ``raw``, the rows that were summed up, in one scan of them. Without it the summary
+    must be a settled one.
+    """
+    schema = "total_rows long, total_seasons long, min_date string, max_date string"
+    if raw is not None:
+        return summary.sparkSession.createDataFrame([_totals(summary, raw)], schema)
+    if "low_code" in summary.columns:
+        raise ValueError("date texts are not settled; give the raw rows, or settle the summary")
     return summary.agg(
         F.coalesce(F.sum("matches"), F.lit(0)).alias("total_rows"),
         F.count_distinct("season").alias("total_seasons"),

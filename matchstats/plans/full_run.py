@@ -21,10 +21,7 @@ from ..operators.checks import (
     load_report,
     quality_report,
 )
-from ..operators.kpi import match_kpi
-from ..operators.league import league_table
-from ..operators.matches import match_facts
-from ..operators.profile import season_coverage, summarise
+from ..operators.profile import season_coverage, settled, summarise
 from ..sinks.staged import StagedCounts, stage_and_write
 from ..sinks.tables import create_matches_table, create_schema, reload_matches, save_mart
 from ..sinks.versions import verify_version
@@ -32,6 +29,7 @@ from ..sinks.views import create_model_views
 from ..schemas import RAW_COLUMNS
 from ..sources.raw_csv import header, read_raw, read_raw_text
 from ..sources.staged import read_staged, read_table, require_rows
+from .models import MARTS, WriteChecks, build_mart
 
 
 @dataclass(frozen=True)
@@ -87,8 +85,8 @@ def profile_source(
     instead of the source. ``reading`` are options of the CSV reader; ``multiLine=True``
     accepts line breaks inside quoted fields, but no longer splits a file.
     """
-    summarise(read_raw_text(spark, source, **reading)).write.mode("overwrite").parquet(summary_path)
-    summary = spark.read.parquet(summary_path)
+    raw = read_raw_text(spark, source, **reading)
+    summary = settled(summarise(raw), raw, summary_path)
     coverage = season_coverage(summary, [] if seasons is None else seasons)
     missing = [row["season"] for row in coverage.where(~F.col("found")).collect()]
     if missing:
@@ -120,16 +118,16 @@ def load_matches(spark: SparkSession, staged_path: str, schemas: Schemas) -> Dat
     return verify_version(spark, schemas.matches)
 
 
-MARTS = {
-    "fct_league_table": lambda lower: league_table(lower["int_team_stats"]),
-    "fct_match_kpi": lambda lower: match_kpi(match_facts(lower["stg_matches"])),
-}
-
-
 def materialise_models(
-    spark: SparkSession, schemas: Schemas, marts: Iterable[str] = tuple(MARTS)
+    spark: SparkSession,
+    schemas: Schemas,
+    marts: Iterable[str] = tuple(MARTS),
+    checks: WriteChecks | None = None,
 ) -> dict[str, DataFrame]:
-    """Views for the two lower models, tables for the marts; returns all as read back."""
+    """Views for the two lower models, tables for the marts; returns all as read back.
+
+    ``checks`` watches the rows that the marts are made of while they are written.
+    """
     schemas.create(spark)
     require_rows(read_table(spark, schemas.matches), schemas.matches)
     views = create_model_views(spark, schemas.raw, schemas.staging)
@@ -137,16 +135,24 @@ def materialise_models(
     built = {}
     for name in marts:
         table = f"{schemas.marts}.{name}"
-        save_mart(MARTS[name](lower), table, schemas.path(table))
+        save_mart(build_mart(name, lower, checks), table, schemas.path(table))
         built[name] = read_table(spark, table)
     return lower | built
 
 
 def check_models(
-    spark: SparkSession, models: dict[str, DataFrame], report_path: str, severity: str = "warn"
+    spark: SparkSession,
+    models: dict[str, DataFrame],
+    report_path: str,
+    severity: str = "warn",
+    checks: WriteChecks | None = None,
 ) -> DataFrame:
-    """The checks of all models; written once, so that reading the report scans no model again."""
-    quality_report(models).write.mode("overwrite").parquet(report_path)
+    """The checks of all models; written once, so that reading the report scans no model again.
+
+    ``checks`` that watched the marts being written have counted already.
+    """
+    report = checks.report(models) if checks else quality_report(models)
+    report.write.mode("overwrite").parquet(report_path)
     return enforce(spark.read.parquet(report_path), severity)
 
 
@@ -182,8 +188,9 @@ def run(
     counts = stage_source(spark, source, seasons, f"{work_dir}/staged", ingested_at, **reading)
     load = load_matches(spark, f"{work_dir}/staged", schemas)
     gate_rows = gates(spark, source, coverage, counts, load, **reading)
-    models = materialise_models(spark, schemas)
-    quality = check_models(spark, models, f"{work_dir}/quality", severity)
+    checks = WriteChecks()
+    models = materialise_models(spark, schemas, checks=checks)
+    quality = check_models(spark, models, f"{work_dir}/quality", severity, checks)
     return RunReport(
         profile=summary,
         coverage=coverage,

@@ -64,13 +64,26 @@ DIRTY_EXPRESSIONS = {
     "Season": "case when HomeCorners = 4 then Season || chr(9) else Season end",
     "MatchDate": "case HomeCorners when 1 then MatchDate || ' 15:00' when 2 then 'n/a' "
     "when 3 then ' ' || MatchDate else MatchDate end",
-    "HomeTeam": "case when HomeCorners = 5 then chr(9) || ' ' else HomeTeam end",
+    "HomeTeam": "case when HomeCorners = 5 then chr(9) || ' ' when HomeCorners = 9 then chr(160) "
+    "when HomeCorners = 10 then chr(160) || HomeTeam else HomeTeam end",
     "AwayTeam": "case when HomeCorners = 6 then '' else AwayTeam end",
     "FullTimeAwayGoals": "case when AwayCorners = 0 then cast(FullTimeAwayGoals as string) || '.0' "
     "else cast(FullTimeAwayGoals as string) end",
     "HomeShots": "case when AwayCorners = 1 then ' ' else cast(HomeShots as string) end",
 }
 
+# Results that are missing or unknown, over the columns above.
+FAULTY_RESULT = "case HomeCorners when 7 then null when 8 then 'X' else FullTimeResult end"
+# Columns that a faulty file lacks.
+LACKING = ("HomeFouls", "AwayFouls")
+
+
+def faulty_results(raw: DataFrame) -> DataFrame:
+    """The raw matches with some results null and some unknown."""
+    return raw.selectExpr(
+        *[f"{FAULTY_RESULT} AS {c}" if c == "FullTimeResult" else c for c in raw.columns]
+    )
+
 
 def dirty_text(raw: DataFrame) -> DataFrame:
     """The raw matches with blanks, tabs, decimals and unreadable dates in some columns."""

@@ -14,10 +14,15 @@ from matchstats.operators.profile import (
     profile_malformed,
     profile_totals,
     season_coverage,
+    settled,
     summarise,
 )
 
 
+def totals(raw):
+    return profile_totals(summarise(raw), raw).first()
+
+
 @pytest.fixture
 def text(raw):
     """Raw matches as text, as the profile scan reads them."""
@@ -77,16 +82,40 @@ def test_frequencies_trim_and_count_blanks_as_a_key(text):
 
 def test_totals_compare_dates_as_text(text):
     rows = ({}, {"MatchDate": "2016-01-02"}, {"MatchDate": "2014-12-31 "}, {"MatchDate": " "})
-    total = profile_totals(summarise(text(*rows))).first()
+    total = totals(text(*rows))
     assert tuple(total) == (4, 1, "2014-12-31", "2016-01-02")
     odd = ({"MatchDate": "08/08/2015"}, {"MatchDate": "unknown"}, {"Season": None})
-    total = profile_totals(summarise(text(*rows, *odd))).first()
+    total = totals(text(*rows, *odd))
     assert tuple(total) == (7, 2, "08/08/2015", "unknown")
 
 
+@pytest.mark.parametrize(
+    "dates",
+    [
+        ["2015-08-08 15:00:01", "2015-08-08 15:00:00", "2015-08-08 15:00:10", "2015-08-08"],
+        ["unknown", "unknown day", "unknown day of the month", "unknown day of a month"],
+        ["é", "e", "日本語日本語", "日本語日本", "z\u00e9"], ["a\0b", "a", "a\0", "a\0\0c"],
+        ["01234567890123", "012345678901234", "0123456789012"], [None, " "], ["x", None],
+    ],
+)
+def test_extremes_of_any_text_are_exact(text, tmp_path, dates):
+    rows = text(*[{"MatchDate": d} for d in dates])
+    present = sorted((d for d in dates if d and d.strip()), key=str.encode)
+    expected = (present[0], present[-1]) if present else (None, None)
+    assert tuple(totals(rows))[2:] == expected
+    summary = settled(summarise(rows), rows, str(tmp_path / "summary"))
+    assert tuple(profile_totals(summary).first()) == (len(dates), 1, *expected)
+    assert pairs(profile_frequency(summary, "season")) == {"2015/16": len(dates)}
+
+
+def test_unsettled_dates_are_refused(text):
+    with pytest.raises(ValueError, match="settle"):
+        profile_totals(summarise(text({})))
+
+
 def test_totals_of_no_rows(text):
     empty = text({}).where("false")
-    assert tuple(profile_totals(summarise(empty)).first()) == (0, 0, None, None)
+    assert tuple(totals(empty)) == (0, 0, None, None)
     assert set(pairs(profile_blanks(summarise(empty))).values()) == {0}
 
 
