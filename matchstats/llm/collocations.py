@@ -49,8 +49,9 @@ BUCKETS = 1 << 26
 TRIE_BYTES = 4 << 20
 #: Tries that one pass over the texts counts by; a task holds them all.
 TRIES_AT_ONCE = 4
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 _UNKNOWN = "und"
+_FOLD = np.uint64(0x9E3779B97F4A7C15)
 _SPACE, _BREAK = 0x20, 0x0A
 _ARRAYS = ("base", "check", "ends", "numbers")
 
@@ -76,6 +77,10 @@ class Pieces:
         langs = pc.fill_null(rows.column("lang"), _UNKNOWN).dictionary_encode()
         self.langs = langs.dictionary.to_pylist()
         self.lang = langs.indices.to_numpy(zero_copy_only=False)[text]
+        seeds = np.array([xxhash.xxh64_intdigest(lang.encode()) for lang in self.langs], np.uint64)
+        self._hashes = SpanHash(self.words.buffer)(self.words.starts, self.words.ends)
+        if count:
+            self._hashes = mixed(self._hashes ^ seeds[self.lang])
 
     def grams(self, size: int) -> np.ndarray:
         """The first words of all phrases of so many words."""
@@ -85,9 +90,11 @@ class Pieces:
         return np.flatnonzero(whole)
 
     def hashes(self, size: int, of: np.ndarray) -> np.ndarray:
-        hashes = SpanHash(self.words.buffer)(self.words.starts[of], self.words.ends[of + size - 1])
-        seeds = np.array([xxhash.xxh64_intdigest(lang.encode()) for lang in self.langs], np.uint64)
-        return mixed(hashes ^ seeds[self.lang[of]]) if len(of) else hashes
+        """Of phrases, from those of their words."""
+        hashes = self._hashes[of]
+        for k in range(1, size):
+            hashes = mixed(hashes * _FOLD + self._hashes[of + k])
+        return hashes
 
     def buckets(self, size: int, of: np.ndarray, buckets: int) -> np.ndarray:
         return self.hashes(size, of) % np.uint64(buckets)
