@@ -10,8 +10,8 @@ last word may be frequent, and it may be itself. What may be frequent is kept as
 for each of a fixed number of hash buckets, set where the bucket's phrases occur often
 enough together; so the filter of a level is broadcast at a fixed size, no frequent phrase
 is ever left out, and others that share a bucket are found out by their exact counts.
-Candidates are cut by hash into tries of a bounded number of bytes, one pass over the
-texts for each.
+Candidates are cut into tries of a bounded number of bytes by a hash of their first word,
+so that each place is read in one trie only; a pass over the texts counts by several.
 
 A null text is empty, a null language is ``und``. Texts without words add nothing; an empty
 table gives no rows. Repeated rows count again. Ids and other columns are not read.
@@ -19,8 +19,8 @@ table gives no rows. Repeated rows count again. Ids and other columns are not re
 Keys that many rows share (a common word, a language) are counted on the map side first,
 looked up by broadcast where they are heavy, and cut to the rows wanted before a language's
 best phrases meet. With far more frequent phrases than buckets the filter lets most
-phrases pass, and with very many candidates there are as many passes as tries: choose
-both sizes by the memory of a task.
+phrases pass, and with very many candidates there are many passes: choose the sizes by
+the memory of a task.
 """
 
 from __future__ import annotations
@@ -48,7 +48,8 @@ BUCKETS = 1 << 26
 #: Bytes of keys in a trie. It has at most one node a byte, and 8 bytes a cell.
 TRIE_BYTES = 4 << 20
 #: Tries that one pass over the texts counts by; a task holds them all.
-TRIES_AT_ONCE = 4
+TRIES_AT_ONCE = 6
+_SHARE = 4
 CHUNK = 2 << 20
 _UNKNOWN = "und"
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -110,10 +111,15 @@ class Pieces:
         )
         langs = pa.array(self.langs, pa.string()).take(pa.array(self.lang[of]))
         return pa.RecordBatch.from_arrays(
-            [langs, phrases.cast(pa.string()), pa.array(np.full(len(of), size, np.int32))],
-            ["lang", "phrase", "words"],
+            [langs, phrases.cast(pa.string()), pa.array(np.full(len(of), size, np.int32)),
+             pa.array(self.first_words(of))],
+            ["lang", "phrase", "words", "first"],
         )
 
+    def first_words(self, of: np.ndarray) -> np.ndarray:
+        """A number for the word, and its language, that is there."""
+        return self._hashes[of].view(np.int64)
+
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Pieces]:
     for rows, data, offsets in chunks(batches, "text", CHUNK):
@@ -182,7 +188,7 @@ def _candidates(texts: DataFrame, sizes: int, filters: list, buckets: int) -> Da
                 seen[size - 1] = np.concatenate([seen[size - 1], hashes[new]])
                 yield pieces.rows(size, of[at[new]])
 
-    return texts.mapInArrow(find, "lang string, phrase string, words int").distinct()
+    return texts.mapInArrow(find, "lang string, phrase string, words int, first long").distinct()
 
 
 def _key(lang: str, phrase: str) -> bytes:
@@ -190,11 +196,20 @@ def _key(lang: str, phrase: str) -> bytes:
     return lang.encode() + bytes([_BREAK]) + phrase.encode() + bytes([_SPACE])
 
 
-def _tries(candidates: DataFrame, trie_bytes: int) -> tuple[DataFrame, int]:
-    """Candidates with their trie and number in it; the first of each trie carries the arrays."""
+def _tries(candidates: DataFrame, trie_bytes: int) -> tuple[DataFrame, int, np.ndarray]:
+    """Candidates with their trie and number in it; the first of each trie carries the arrays.
+
+    A phrase's trie follows from its first word, so that a place is read in one trie, however
+    many there are. Only phrases of a word that has a great part of a trie to itself are
+    spread over all; those few words come third.
+    """
     size = F.octet_length("lang") + F.octet_length("phrase") + F.lit(2)
     total = candidates.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
     slices = max(1, -(-total // trie_bytes))
+    # At most _SHARE for each trie.
+    of_words = candidates.groupBy("first").agg(F.sum(size).alias("bytes"))
+    heavy = of_words.where(F.col("bytes") > trie_bytes // _SHARE).select("first").collect() if slices > 1 else []
+    spread = np.sort(np.array([r["first"] for r in heavy], np.int64))
 
     def pack(table: pa.Table) -> pa.Table:
         keyed = sorted(zip(map(_key, *(table.column(n).to_pylist() for n in ("lang", "phrase"))), range(len(table))))
@@ -207,13 +222,15 @@ def _tries(candidates: DataFrame, trie_bytes: int) -> tuple[DataFrame, int]:
             ["slice", "number", "lang", "phrase", "words", *_ARRAYS],
         )
 
-    sliced = candidates.withColumn("slice", F.pmod(F.xxhash64("lang", "phrase"), F.lit(slices)))
+    wide = F.broadcast(candidates.sparkSession.createDataFrame([(int(w), True) for w in spread], "first long, wide boolean"))
+    number = F.when(F.col("wide"), F.xxhash64("lang", "phrase")).otherwise(F.col("first"))
+    sliced = candidates.join(wide, "first", "left").withColumn("slice", F.pmod(number, F.lit(slices)))
     packed = sliced.groupBy("slice").applyInArrow(
         pack,
         "slice long, number long, lang string, phrase string, words int, "
         + ", ".join(f"{name} binary" for name in _ARRAYS),
     )
-    return written(packed, "tries"), slices
+    return written(packed, "tries"), slices, spread
 
 
 def _fetched(tries: DataFrame, number: int):
@@ -225,7 +242,7 @@ def _fetched(tries: DataFrame, number: int):
     return tries.sparkSession.sparkContext.broadcast(held)
 
 
-def _counts(texts: DataFrame, tries: dict, with_totals: bool) -> DataFrame:
+def _counts(texts: DataFrame, tries: dict, slices: int, spread: np.ndarray, with_totals: bool) -> DataFrame:
     """(slice, number, lang, n): how often the keys of the tries occur, task by task.
 
     With totals, rows of a language without slice and number count its words.
@@ -241,10 +258,12 @@ def _counts(texts: DataFrame, tries: dict, with_totals: bool) -> DataFrame:
             last[words.ends[~pieces.joined]] = True
             for lang, n in zip(pieces.langs, np.bincount(pieces.lang, minlength=len(pieces.langs)).tolist()):
                 all_words[lang] = all_words.get(lang, 0) + n
+            first = pieces.first_words(np.arange(len(words.starts)))
+            own, wide = first % slices, np.isin(first, spread)
             for k, trie in held.items():
                 roots = np.array([trie.walk(lang.encode() + bytes([_BREAK])) for lang in pieces.langs], np.int32)
                 states = roots[pieces.lang] if len(roots) else roots
-                known = states >= 0
+                known = (states >= 0) & ((own == k) | wide)
                 totals[k] += counted(
                     trie, words.buffer, words.starts[known], states[known], _SPACE, last, len(totals[k])
                 )
@@ -280,11 +299,11 @@ def phrase_counts(
     candidates = written(_candidates(texts, most_words, filters, buckets), "candidates")
     for bits in filters:
         bits.unpersist()
-    named, slices = _tries(candidates, trie_bytes)
+    named, slices, spread = _tries(candidates, trie_bytes)
     counts = []
     for at in range(0, slices, TRIES_AT_ONCE):
         tries = {k: trie for k in range(at, min(slices, at + TRIES_AT_ONCE)) if (trie := _fetched(named, k))}
-        counts.append(written(_counts(texts, tries, at == 0), "trie-counts"))
+        counts.append(written(_counts(texts, tries, slices, spread, at == 0), "trie-counts"))
         for trie in tries.values():
             trie.unpersist()
     found = reduce(DataFrame.union, counts)
