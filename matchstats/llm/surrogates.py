@@ -22,7 +22,9 @@ from __future__ import annotations
 
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
+from string import ascii_lowercase
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -117,6 +119,20 @@ class _Draws:
         return number % limit
 
 
+def _neighbour(draws: _Draws, letter: str) -> str:
+    """A letter of the same kind from the same stretch of its script."""
+    first = ord(letter) & ~31
+    kind = unicodedata.category(letter)
+    same = [chr(c) for c in range(first, first + 32) if unicodedata.category(chr(c)) == kind]
+    return same[draws.below(len(same))]
+
+
+def _widened(draws: _Draws, made: str, attempt: int, alphabet: str = "0123456789") -> str:
+    """Longer after many draws, so that there is always a surrogate left."""
+    more = max(0, attempt - PATIENCE + 1) // 2
+    return made + "".join(alphabet[draws.below(len(alphabet))] for _ in range(more))
+
+
 def _like(draws: _Draws, value: str, digits: str = "0123456789", letters: bool = True) -> str:
     """Characters of the same kind: digits, letters of the same case; others as they are."""
     made = []
@@ -125,6 +141,8 @@ def _like(draws: _Draws, value: str, digits: str = "0123456789", letters: bool =
             made.append(digits[draws.below(len(digits))])
         elif letters and c.isascii() and c.isalpha():
             made.append(chr((65 if c.isupper() else 97) + draws.below(26)))
+        elif letters and c.isalpha():
+            made.append(_neighbour(draws, c))
         else:
             made.append(c)
     return "".join(made)
@@ -183,26 +201,29 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         labels = domain.split(".")
         # A domain keeps its own draw, so that two addresses of one domain stay so.
         site = _like(_Draws(key, "domain", domain), ".".join(labels[:-1]))
-        return f"{_like(draws, local)}@{site}.{labels[-1]}"
+        return f"{_widened(draws, _like(draws, local), attempt, ascii_lowercase)}@{site}.{labels[-1]}"
     if kind == "card":
-        return _card(draws, entity)
+        return _widened(draws, _card(draws, entity), attempt)
     if kind == "account":
-        return _account(draws, entity)
+        return _widened(draws, _account(draws, entity), attempt)
     if kind == "network":
-        return ".".join(_octet(draws, o, attempt >= PATIENCE) for o in entity.split("."))
+        made = ".".join(_octet(draws, o, attempt >= PATIENCE) for o in entity.split("."))
+        # All addresses are four octets; only a corpus that holds most of them gets here.
+        return _widened(draws, made, attempt - 4 * PATIENCE)
     if kind == "telephone":
         # The country code stays; without one, all digits change.
         code = 2 if entity.startswith("+") else 0
-        return entity[:code] + _like(draws, entity[code:])
+        return entity[:code] + _widened(draws, _like(draws, entity[code:]), attempt)
     if kind == "secret":
         kept = re.match(r"AKIA|ASIA|(?:sk|pk|ghp|gho|xoxb)[-_]|", entity)[0]
         rest = entity[len(kept) :]
         if re.fullmatch("[0-9a-f]+|[0-9A-F]+", entity):
             made = "".join("0123456789abcdef"[draws.below(16)] for _ in rest)
+            made = _widened(draws, made, attempt, "0123456789abcdef")
             return made.upper() if rest.isupper() else made
-        return kept + _like(draws, rest)
+        return kept + _widened(draws, _like(draws, rest), attempt)
     if kind == "identity":
-        return _like(draws, entity)
+        return _widened(draws, _like(draws, entity), attempt)
     return _name(draws, kind, entity, attempt)
 
 
@@ -212,7 +233,8 @@ def _spelled(kind: str, value: str, made: str) -> str:
         return "".join(m.upper() if c.isupper() else m for c, m in zip(value, made)) + made[len(value) :]
     if kind in ("card", "account", "telephone", "identity"):
         rest = iter(made)
-        return "".join(next(rest) if re.match(r"[0-9A-Za-z+]", c) else c for c in value)
+        spelled = "".join(next(rest) if re.match(r"[0-9A-Za-z+]", c) else c for c in value)
+        return spelled + "".join(rest)
     return made
 
 

@@ -138,3 +138,17 @@ def test_digest_and_empty(spark, documents):
 def test_secrets_in_texts_without_digits(start):
     secret = start + "ABCDEFGHIJKLMNOP"
     assert entities(f"the key {secret} is ours") == [("secret", 8, 8 + len(secret))]
+
+
+def test_drawing_always_ends(spark):
+    """Addresses without ASCII letters or digits, a used-up format, and domains that meet."""
+    known = [("mail", m) for m in ("иван@почта.com", "иван@mail.com", "_@a.com", "_@b.com", "_@c.com", "λόγος@日本.com")]
+    known += [("mail", f"_@{c}.com") for c in "defghijklmnopqrstuvwxyz"]
+    known += [("telephone", f"+1{n:02d}") for n in range(100)] + [("secret", "sk-________________")]
+    frame = spark.createDataFrame(known, "kind string, entity string")
+    attempts = {(r.kind, r.entity): r.attempt for r in distinct_draws(frame, b"key").collect()}
+    made = [(kind, surrogate(b"key", kind, entity, attempts.get((kind, entity), 0))) for kind, entity in known]
+    assert len(set(made)) == len(made) and not set(made) & set(known)
+    assert max(attempts.values()) < 20
+    text, _ = replaced(b"key", "write to иван@mail.com now", attempts)
+    assert "иван" not in text and "mail" not in text
