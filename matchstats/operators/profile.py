@@ -175,6 +175,22 @@ def profile_frequency(summary: DataFrame, key: str) -> DataFrame:
     return _groups(summary).groupBy(key).agg(F.sum("matches").alias("matches")).orderBy(key)
 
 
+def profile_rollup(summary: DataFrame) -> DataFrame:
+    """Rows of each season, of each result and of all, in one pass over the summary.
+
+    ``report`` names the set a row belongs to, ``key`` is its season or result.
+    """
+    sets = _groups(summary).groupingSets(
+        [[F.col("season")], [F.col("result")], []], F.col("season"), F.col("result")
+    )
+    rolled = sets.agg(F.sum("matches").alias("matches"), F.grouping_id().alias("_set"))
+    report = F.when(F.col("_set") == 1, "season").when(F.col("_set") == 2, "result").otherwise("total")
+    # Without rows there is no total to sum up.
+    return rolled.where("matches IS NOT NULL").select(
+        report.alias("report"), F.coalesce("season", "result").alias("key"), "matches"
+    )
+
+
 def _per_column(
     summary: DataFrame, whole: str, part: str, columns: list[str], name: str
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from matchstats.operators.profile import (
     profile_blanks,
     profile_frequency,
     profile_malformed,
+    profile_rollup,
     profile_totals,
     season_coverage,
     settled,
@@ -80,6 +81,18 @@ def test_frequencies_trim_and_count_blanks_as_a_key(text):
     assert pairs(profile_frequency(summary, "result")) == {"": 1, "H": 4}
 
 
+def test_rollup_is_all_three_reports(text):
+    summary = summarise(text({}, {"Season": " 2016/17"}, {"Season": None}, {"FullTimeResult": "X"}))
+    rows = {(r.report, r.key): r.matches for r in profile_rollup(summary).collect()}
+    assert rows == {
+        ("season", "2015/16"): 2, ("season", "2016/17"): 1, ("season", ""): 1,
+        ("result", "H"): 3, ("result", "X"): 1, ("total", None): 4,
+    }
+    plan = profile_rollup(summary)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1
+    assert profile_rollup(summarise(text({}).where("false"))).collect() == []
+
+
 def test_totals_compare_dates_as_text(text):
     rows = ({}, {"MatchDate": "2016-01-02"}, {"MatchDate": "2014-12-31 "}, {"MatchDate": " "})
     total = totals(text(*rows))
