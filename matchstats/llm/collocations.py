@@ -50,7 +50,7 @@ TRIE_BYTES = 4 << 20
 #: Tries that one pass over the texts counts by; a task holds them all.
 TRIES_AT_ONCE = 6
 _SHARE = 4
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 _UNKNOWN = "und"
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 _SPACE, _BREAK = 0x20, 0x0A
