@@ -35,7 +35,7 @@ from .layout import place_by_month, sort_matches
 
 #: Seconds that replaced versions and their folders are kept for their readers.
 GRACE = 24 * 3600
-VERSION, FOLDER = "matchstats.version", "matchstats.folder"
+FOLDER = "matchstats.folder"
 SUMMARY_SCHEMA = (
     "season_start_year int, folder string, rows long, checksum decimal(38,0), "
     "first_date date, last_date date, seasons array<string>"
@@ -66,7 +66,10 @@ def current_version(spark: SparkSession, table: str) -> tuple[str, str] | tuple[
     if not spark.catalog.tableExists(table):
         return None, None
     held = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    return (held[VERSION], held[FOLDER]) if VERSION in held else (None, None)
+    if FOLDER not in held:
+        return None, None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'View Text'").first()
+    return described["data_type"].rpartition("__")[2].strip("` "), held[FOLDER]
 
 
 def _new_name() -> str:
@@ -83,7 +86,11 @@ def _mark(folder: str, version: str) -> str:
 
 
 def read_summary(spark: SparkSession, folder: str, version: str) -> DataFrame:
-    return spark.read.schema(SUMMARY_SCHEMA).parquet(_summary_path(folder, version))
+    """The seasons of a version; one that began empty has no summary written."""
+    path = _summary_path(folder, version)
+    if not Files(spark).exists(path):
+        return spark.createDataFrame([], SUMMARY_SCHEMA)
+    return spark.read.schema(SUMMARY_SCHEMA).parquet(path)
 
 
 def summarise_seasons(rows: DataFrame) -> DataFrame:
@@ -152,11 +159,12 @@ def _record(spark: SparkSession, folder: str, version: str, seasons: list[Row])
 
 def _point(spark: SparkSession, table: str, folder: str, version: str) -> None:
     """The one change that readers see."""
-    name = _version_table(table, version)
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES "
-        f"({quoted(VERSION)} = {quoted(version)}, {quoted(FOLDER)} = {quoted(folder)}) AS SELECT {', '.join(_COLUMNS)} FROM {name}"
-    )
+    selection = f"SELECT {', '.join(_COLUMNS)} FROM {_version_table(table, version)}"
+    if spark.catalog.tableExists(table):
+        # Replacing a view would drop and make it anew; this alters its entry in place.
+        spark.sql(f"ALTER VIEW {table} AS {selection}")
+    else:
+        spark.sql(f"CREATE VIEW {table} TBLPROPERTIES ({quoted(FOLDER)} = {quoted(folder)}) AS {selection}")
 
 
 def _version_table(table: str, version: str) -> str:
@@ -183,8 +191,6 @@ def open_table(spark: SparkSession, table: str, location: str | None = None) ->
         _create_version(spark, name, f"{folder}/load-{version}")
     if found:
         _carry(spark, name, read_summary(spark, folder, version).collect())
-    else:
-        _record(spark, folder, version, [])
     _point(spark, table, folder, version)
     Files(spark).create(_mark(folder, version))
 
@@ -243,9 +249,14 @@ def exchange(staged: DataFrame, table: str, balanced: bool = False, grace: float
 def clean_up(spark: SparkSession, table: str, folder: str, keep: set[str | None], grace: float = GRACE) -> None:
     """Removes versions past their time of grace, and load folders that no other one names."""
     files = Files(spark)
-    ages = files.ages(f"{folder}/_versions")
-    versions = {n: age for n, age in ages.items() if not n.endswith(".seen")}
+    versions: dict[str, float] = {}
+    for name, age in files.ages(f"{folder}/_versions").items():
+        version = name.removesuffix(".seen")
+        versions[version] = min(age, versions.get(version, age))
     going = {v for v, age in versions.items() if v not in keep and age >= grace}
+    loads = {n for n, age in files.ages(folder).items() if n.startswith("load-") and age >= grace}
+    if not going and not loads:
+        return
     named = set()
     for version in versions.keys() - going:
         places = read_summary(spark, folder, version).select("folder").collect()
@@ -254,9 +265,8 @@ def clean_up(spark: SparkSession, table: str, folder: str, keep: set[str | None]
         spark.sql(f"DROP TABLE IF EXISTS {_version_table(table, version)}")
         files.remove(_mark(folder, version))
         files.remove(_summary_path(folder, version))
-    for load, age in files.ages(folder).items():
-        if load.startswith("load-") and load not in named and age >= grace:
-            files.remove(f"{folder}/{load}")
+    for load in loads - named:
+        files.remove(f"{folder}/{load}")
 
 
 def verify_version(spark: SparkSession, table: str) -> DataFrame:
