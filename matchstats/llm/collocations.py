@@ -26,7 +26,7 @@ the memory of a task.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from matchstats.llm.double_array import DoubleArray, build, counted
 from matchstats.llm.joins import looked_up
 from matchstats.llm.tables import written
-from matchstats.llm.textbytes import SpanHash, Words, chunks, mixed
+from matchstats.llm.textbytes import SpanHash, Words, chunks, mixed, powers
 
 MOST_WORDS, LEAST_COUNT, BEST = 3, 10, 2000
 #: A candidate goes if a longer one around it has this share of its count, in hundredths.
@@ -48,8 +48,13 @@ BUCKETS = 1 << 26
 #: Bytes of keys in a trie. It has at most one node a byte, and 8 bytes a cell.
 TRIE_BYTES = 4 << 20
 #: Tries that one pass over the texts counts by; a task holds them all.
-TRIES_AT_ONCE = 6
+TRIES_AT_ONCE = 12
 _SHARE = 4
+#: Parts of a filter, of 65,536 buckets each, that a task tells in one batch.
+_PARTS_AT_ONCE = 32
+_TOLD = pa.schema([("part", pa.int64()), ("places", pa.binary()), ("counts", pa.binary())])
+#: Phrases that a task remembers to have named; one that takes another's place is named again.
+_REMEMBERED = 1 << 21
 CHUNK = 1 << 20
 _UNKNOWN = "und"
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -62,6 +67,18 @@ _GAPS = _BREAKS.copy()
 _GAPS[[0x20, 0x09]] = True
 
 
+@cache
+def _powers(base: int) -> np.ndarray:
+    return powers(np.uint64(base), 2 * CHUNK)
+
+
+class ChunkHash(SpanHash):
+    """Hashes of spans of a buffer; the powers for buffers of a chunk's length are kept."""
+
+    def _powers(self, base: int, count: int) -> np.ndarray:
+        return _powers(base)[:count] if count <= 2 * CHUNK else super()._powers(base, count)
+
+
 class Pieces:
     """Words of a chunk, which of them are followed by another in their piece, and languages."""
 
@@ -79,7 +96,7 @@ class Pieces:
         self.langs = langs.dictionary.to_pylist()
         self.lang = langs.indices.to_numpy(zero_copy_only=False)[text]
         seeds = np.array([xxhash.xxh64_intdigest(lang.encode()) for lang in self.langs], np.uint64)
-        self._hashes = SpanHash(self.words.buffer)(self.words.starts, self.words.ends)
+        self._hashes = ChunkHash(self.words.buffer)(self.words.starts, self.words.ends)
         if count:
             self._hashes = mixed(self._hashes ^ seeds[self.lang])
 
@@ -141,37 +158,67 @@ def _set(bits: np.ndarray, of: np.ndarray) -> np.ndarray:
 
 
 def _frequent_buckets(texts: DataFrame, size: int, filters: list, buckets: int, least: int) -> np.ndarray:
-    """The filter of a level: buckets / 8 bytes, whatever the texts."""
+    """The filter of a level: buckets / 8 bytes, whatever the texts.
+
+    A task counts in an array of all buckets, each up to ``least``, which is all that has to
+    be known of it. It tells its counts in parts: the buckets met and how often, packed. A
+    part's tellings are added up as they are read.
+    """
+    part = 8 * max(1, min(1 << 13, buckets // 8))
+    parts = -(-buckets // part)
+    kind = np.uint8 if least < 1 << 8 else np.int64
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(parts * part, kind)
         for pieces in _pieces(batches):
             of = _may_be_frequent(pieces, size, filters, buckets)
             found, times = np.unique(pieces.buckets(size, of, buckets), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.astype(np.int64)), pa.array(times)], ["bucket", "n"]
-            )
-
-    def packed(table: pa.Table) -> pa.Table:
-        bits = np.zeros(part * 8, np.uint8)
-        bits[table.column("bucket").to_numpy() % (part * 8)] = 1
-        raw = np.packbits(bits, bitorder="little").tobytes()
-        return pa.table({"part": table.column("part")[:1], "bits": [raw]})
-
-    # A part of the filter is put together in one task.
-    part = max(1, min(1 << 16, buckets // 8))
-    counts = texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    often = counts.where(F.col("n") >= least).select("bucket", (F.col("bucket") / (part * 8)).cast("long").alias("part"))
-    whole = np.zeros(-(-buckets // 8) + part, np.uint8)
-    for row in often.groupBy("part").applyInArrow(packed, "part long, bits binary").collect():
-        whole[row["part"] * part : (row["part"] + 1) * part] = np.frombuffer(row["bits"], np.uint8)
+            held[found] = np.minimum(held[found] + times, least)
+        for at in range(0, parts, _PARTS_AT_ONCE):
+            told = []
+            for number in range(at, min(parts, at + _PARTS_AT_ONCE)):
+                counts = held[number * part : (number + 1) * part]
+                places = np.flatnonzero(counts)
+                if len(places):
+                    told.append((number, places.astype("<u2").tobytes(), counts[places].tobytes()))
+            if told:
+                yield pa.RecordBatch.from_pylist(
+                    [dict(zip(("part", "places", "counts"), row)) for row in told], _TOLD
+                )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed() -> pa.RecordBatch:
+            bits = np.packbits(sums >= least, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([bits])], ["part", "bits"])
+
+        now, sums = None, np.zeros(part, np.int64)
+        for batch in batches:
+            for number, places, counts in zip(*(column.to_pylist() for column in batch.columns)):
+                if number != now:
+                    if now is not None:
+                        yield packed()
+                    now, sums = number, np.zeros(part, np.int64)
+                sums[np.frombuffer(places, "<u2")] += np.frombuffer(counts, kind)
+        if now is not None:
+            yield packed()
+
+    told = texts.mapInArrow(count, "part long, places binary, counts binary")
+    added = told.repartition("part").sortWithinPartitions("part").mapInArrow(add, "part long, bits binary")
+    whole = np.zeros(parts * part // 8, np.uint8)
+    for row in added.collect():
+        whole[row["part"] * part // 8 : (row["part"] + 1) * part // 8] = np.frombuffer(row["bits"], np.uint8)
     return whole
 
 
+def _remembered(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(8)) % np.uint64(_REMEMBERED)
+
+
 def _candidates(texts: DataFrame, sizes: int, filters: list, buckets: int) -> DataFrame:
     """(lang, phrase, words), each once."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.zeros(0, np.uint64)] * sizes
+        seen = np.zeros(_REMEMBERED, np.uint64)
         for pieces in _pieces(batches):
             needed = np.zeros(len(pieces.joined), bool)
             for size in range(sizes, 0, -1):
@@ -183,10 +230,12 @@ def _candidates(texts: DataFrame, sizes: int, filters: list, buckets: int) -> Da
                 else:
                     # Words are counted where they are part of a candidate.
                     of = np.flatnonzero(needed)
-                hashes, at = np.unique(pieces.hashes(size, of), return_index=True)
-                new = ~np.isin(hashes, seen[size - 1], assume_unique=True)
-                seen[size - 1] = np.concatenate([seen[size - 1], hashes[new]])
-                yield pieces.rows(size, of[at[new]])
+                # Odd, as zero stands for an empty place.
+                hashes = pieces.hashes(size, of) | np.uint64(1)
+                new = seen[_remembered(hashes)] != hashes
+                hashes, at = np.unique(hashes[new], return_index=True)
+                seen[_remembered(hashes)] = hashes
+                yield pieces.rows(size, of[new][at])
 
     return texts.mapInArrow(find, "lang string, phrase string, words int, first long").distinct()
 

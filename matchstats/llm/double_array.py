@@ -158,15 +158,15 @@ def counted(
     All places advance together, a byte a level. A key is counted where it ends with the
     byte ``closing``; behind places marked in ``last`` reading stops.
     """
-    counts = np.zeros(keys, np.int64)
+    accepted = [np.zeros(0, trie.numbers.dtype)]
     while len(places):
         symbols = buffer[places]
         states, exists = trie.step(states, symbols.astype(np.int32))
         places, states, symbols = places[exists], states[exists], symbols[exists]
         closed = symbols == closing
-        counts += np.bincount(trie.accepted(states[closed]), minlength=keys)
+        accepted.append(trie.accepted(states[closed]))
         if closed.any():
             on = ~(closed & last[places])
             places, states = places[on], states[on]
         places = places + 1
-    return counts
+    return np.bincount(np.concatenate(accepted), minlength=keys)

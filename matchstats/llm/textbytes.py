@@ -102,7 +102,7 @@ class Words:
         return self.starts[head], self.ends[last], offsets
 
 
-def _powers(base: np.uint64, count: int) -> np.ndarray:
+def powers(base: np.uint64, count: int) -> np.ndarray:
     powers = np.full(count, base, np.uint64)
     if count:
         powers[0] = 1
@@ -122,12 +122,13 @@ class SpanHash:
     """64-bit polynomial hashes of any spans of a buffer, from one pass over it."""
 
     def __init__(self, buffer: np.ndarray, multiplier: int = int(_MULTIPLIER)):
-        inverse = np.uint64(pow(multiplier, -1, 1 << 64))
-        terms = (buffer.astype(np.uint64) + np.uint64(1)) * _powers(
-            np.uint64(multiplier), len(buffer)
-        )
+        inverse = pow(multiplier, -1, 1 << 64)
+        terms = (buffer.astype(np.uint64) + np.uint64(1)) * self._powers(multiplier, len(buffer))
         self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-        self._back = _powers(inverse, len(buffer) + 1)
+        self._back = self._powers(inverse, len(buffer) + 1)
+
+    def _powers(self, base: int, count: int) -> np.ndarray:
+        return powers(np.uint64(base), count)
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mixed((self._sums[ends] - self._sums[starts]) * self._back[starts])
