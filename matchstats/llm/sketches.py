@@ -1,20 +1,22 @@
 """Document fingerprints: threshold-scaled sketches.
 
-A sketch holds every shingle hash of a text below a fixed fraction of the hash range.
-Sketches of parts merge by union, and the share of one sketch's hashes that another holds
-estimates containment, however unequal the documents. Shingles are runs of 16 bytes of the
-text as it is. Texts of few shingles keep all of them (fraction 1); compared with a longer
-one, they are first cut down to its fraction.
-
-A fingerprint is text: the fraction's denominator, a colon, and the sorted hashes as hex
-digits. Equal texts have equal fingerprints. A null text counts as empty; texts shorter
-than a shingle are one shingle, empty texts have an empty sketch. Likeness is the share of
-the smaller sketch found in the larger; two empty sketches are alike (1), an empty and a
-filled one are not (0).
+A sketch holds every shingle hash of a text below a fixed fraction of the hash range, the
+same for all texts. Sketches of parts merge by union, and the share of one sketch's hashes
+that another holds estimates containment, however unequal the documents. Shingles are runs
+of 16 bytes of the text as it is; their hashes are kept to 40 bits. A text with no hash
+below the fraction, as happens to short ones, is known by its smallest hash; that merges
+too. So different short texts differ, but whether one lies in a longer text can't be told.
+
+A fingerprint is text: the fraction's denominator, a colon, and the sorted hashes, five
+bytes each, in base 64. Equal texts have equal fingerprints. A null text counts as empty;
+texts shorter than a shingle are one shingle, empty texts have an empty sketch. Likeness is
+the share of the smaller sketch found in the larger; two empty sketches are alike (1), an
+empty and a filled one are not (0).
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -24,35 +26,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchstats.llm.tables import free_name
 from matchstats.llm.textbytes import SpanHash, chunks, window_hashes
 
-SHINGLE_BYTES, FRACTION, WHOLE_UNDER = 16, 32, 256
+SHINGLE_BYTES, FRACTION = 16, 8
+HASH_BITS = 40
+
+
+def _shortened(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - HASH_BITS)
 
 
 class Sketches:
     """Sketches of the texts of a chunk: sorted distinct hashes, one text after the other."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, fraction: int = FRACTION):
+        self.fraction = fraction
         texts, lengths = len(offsets) - 1, np.diff(offsets)
         counts = np.maximum(0, lengths - SHINGLE_BYTES + 1)
-        self.fractions = np.where(counts < WHOLE_UNDER, 1, fraction)
-        hashes = window_hashes(data, SHINGLE_BYTES)
-        limit = np.uint64((1 << 64) // fraction)
-        kept = hashes < limit
-        small = np.flatnonzero((counts > 0) & (counts < WHOLE_UNDER))
-        if len(small):
-            within = np.arange(counts[small].sum()) - np.repeat(
-                np.cumsum(counts[small]) - counts[small], counts[small]
-            )
-            kept[np.repeat(offsets[:-1][small], counts[small]) + within] = True
-        places = np.flatnonzero(kept)
+        hashes = _shortened(window_hashes(data, SHINGLE_BYTES))
+        places = np.flatnonzero(hashes < _limit(fraction))
         owner = np.searchsorted(offsets, places, "right") - 1
         whole = places + SHINGLE_BYTES <= offsets[owner + 1]
         owner, values = owner[whole], hashes[places[whole]]
+        none = np.flatnonzero((counts > 0) & (np.bincount(owner, minlength=texts) == 0))
+        if len(none):
+            # Every other stretch lies between two such texts.
+            edges = np.stack([offsets[:-1][none], offsets[:-1][none] + counts[none]], axis=1).ravel()
+            least = np.minimum.reduceat(np.append(hashes, np.uint64(0)), edges)[::2]
+            owner, values = np.concatenate([owner, none]), np.concatenate([values, least])
         tiny = np.flatnonzero((lengths > 0) & (counts == 0))
         if len(tiny):
-            values = np.concatenate([values, SpanHash(data)(offsets[tiny], offsets[tiny + 1])])
-            owner = np.concatenate([owner, tiny])
+            alone = _shortened(SpanHash(data)(offsets[tiny], offsets[tiny + 1]))
+            owner, values = np.concatenate([owner, tiny]), np.concatenate([values, alone])
         order = np.lexsort((values, owner))
         owner, values = owner[order], values[order]
         fresh = np.ones(len(values), bool)
@@ -61,41 +67,48 @@ class Sketches:
         self.offsets = np.searchsorted(owner[fresh], np.arange(texts + 1))
 
     def of(self, text: int) -> tuple[int, np.ndarray]:
-        return int(self.fractions[text]), self.values[self.offsets[text] : self.offsets[text + 1]]
+        return self.fraction, self.values[self.offsets[text] : self.offsets[text + 1]]
+
+
+def _limit(fraction: int) -> np.uint64:
+    return np.uint64((1 << HASH_BITS) // fraction)
+
+
+def _below(values: np.ndarray, fraction: int) -> np.ndarray:
+    """Of sorted hashes those below the fraction, the smallest if there is none."""
+    return values[: max(1, int(np.searchsorted(values, _limit(fraction), "left")))]
 
 
 def likeness(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> float:
     """Share of the smaller sketch found in the larger, at the lower fraction of the two."""
-    (fraction_a, left), (fraction_b, right) = a, b
+    fraction = max(a[0], b[0])
+    left, right = _below(a[1], fraction), _below(b[1], fraction)
     if not len(left) or not len(right):
-        return float(not len(left) and not len(right) and fraction_a == fraction_b)
-    limit = np.uint64((1 << 64) // max(fraction_a, fraction_b) - 1)
-    left = left[: np.searchsorted(left, limit, "right")]
-    right = right[: np.searchsorted(right, limit, "right")]
-    least = min(len(left), len(right))
-    if not least:
-        return 0.0
-    return len(np.intersect1d(left, right, assume_unique=True)) / least
+        return float(len(left) == len(right))
+    return len(np.intersect1d(left, right, assume_unique=True)) / min(len(left), len(right))
 
 
 def merged(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> tuple[int, np.ndarray]:
     """The sketch of two texts together."""
     fraction = max(a[0], b[0])
-    both = np.union1d(a[1], b[1])
-    return fraction, both[both <= np.uint64((1 << 64) // fraction - 1)]
+    return fraction, _below(np.union1d(a[1], b[1]), fraction)
 
 
 def to_text(sketch: tuple[int, np.ndarray]) -> str:
-    return f"{sketch[0]}:{sketch[1].astype('>u8').tobytes().hex()}"
+    raw = sketch[1].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - HASH_BITS // 8 :]
+    return f"{sketch[0]}:{base64.b64encode(raw.tobytes()).decode()}"
 
 
 def from_text(fingerprint: str) -> tuple[int, np.ndarray]:
     fraction, digits = fingerprint.split(":")
-    return int(fraction), np.frombuffer(bytes.fromhex(digits), ">u8").astype(np.uint64)
+    raw = np.frombuffer(base64.b64decode(digits), np.uint8).reshape(-1, HASH_BITS // 8)
+    padded = np.pad(raw, ((0, 0), (8 - HASH_BITS // 8, 0)))
+    return int(fraction), padded.view(">u8")[:, 0].astype(np.uint64)
 
 
 def sketch_documents(documents: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
-    """Adds the fingerprint of each whole text."""
+    """Adds the fingerprint of each whole text, under a free name; rows and columns are kept."""
+    name = free_name(documents, name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in chunks(batches, text):

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from matchstats.llm.sketches import (
+    FRACTION,
     from_text,
     likeness,
     merged,
@@ -21,20 +22,42 @@ def prints(documents, texts):
     return [r.fingerprint for r in sorted(found, key=lambda r: r.doc_id)]
 
 
-def brute(text, fraction):
-    raw = text.encode()
-    hashes = {int(window_hashes(np.frombuffer(raw[k : k + 16], np.uint8), 16)[0]) for k in range(len(raw) - 15)}
-    return sorted(h for h in hashes if fraction == 1 or h < (1 << 64) // fraction)
+def brute(text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    hashes = {int(window_hashes(raw[k : k + 16], 16)[0]) >> 24 for k in range(len(raw) - 15)}
+    if 0 < len(raw) < 16:
+        hashes = {int(SpanHash(raw)(np.array([0]), np.array([len(raw)]))[0]) >> 24}
+    return sorted(h for h in hashes if h < (1 << 40) // FRACTION) or sorted(hashes)[:1]
+
+
+def brute_likeness(a, b):
+    left, right = set(brute(a)), set(brute(b))
+    return len(left & right) / min(len(left), len(right)) if left and right else float(left == right)
 
 
 def test_sketches_hold_all_hashes_below_the_fraction(documents, words):
-    texts = [words(300, 1), words(40, 2), "é" * 50, "short", "", None, words(300, 1)]
+    texts = [words(300, 1), "", None, words(300, 1), words(40, 2), "é" * 50, "short", "other"]
+    # Lengths around any at which a text might be treated otherwise.
+    texts += [words(200, 9)[:n] for n in (1, 15, 16, 17, 24, 40, 271, 272, 273)] + ["0123456789abcdef" * 200_000]
     found = prints(documents, texts)
-    for text, fingerprint in zip(texts[:3], found):
+    for text, fingerprint in zip(texts[3:], found[3:]):
         fraction, values = from_text(fingerprint)
-        assert fraction == (1 if len(text.encode()) - 15 < 256 else 32)
-        assert values.tolist() == brute(text, fraction)
-    assert found[0] == found[6] and found[4] == found[5] == "1:" and len(from_text(found[3])[1]) == 1
+        assert fraction == FRACTION and values.tolist() == brute(text[:4000] if len(text) > 10**6 else text)
+    assert found[0] == found[3] and found[1] == found[2] == f"{FRACTION}:" and found[6] != found[7]
+    assert likeness(*map(from_text, found[6:8])) == 0 and likeness(*map(from_text, found[1:3])) == 1
+
+
+def test_merged_sketches_are_those_of_the_union(documents, words):
+    for a, b in [("short", "other"), (words(3, 1)[:18], words(90, 2)), ("", words(90, 3)), (words(70, 4), words(90, 5))]:
+        both = merged(*map(from_text, prints(documents, [a, b])))
+        hashes = sorted({*brute(a), *brute(b)})
+        assert both[1].tolist() == ([h for h in hashes if h < (1 << 40) // FRACTION] or hashes[:1])
+
+
+def test_names_that_are_taken(documents, words):
+    frame = documents([(1, words(50, 1))]).selectExpr("*", "7 AS fingerprint")
+    row = sketch_documents(frame).first()
+    assert row.fingerprint == 7 and row.fingerprint_.startswith(f"{FRACTION}:")
 
 
 def test_containment_of_unequal_documents(documents, words):
@@ -56,12 +79,12 @@ def test_next_document(spark, documents, words, partitions):
     for (i, text), (_, following) in zip(ordered, ordered[1:] + ordered[:1]):
         half = len(text) // 2
         edited = text[: len(text) - half] + following[:half]
-        want.setdefault(i, []).append((len(text), sha256(edited.encode()).hexdigest()))
+        near = brute_likeness(text, edited), brute_likeness(text, following)
+        want.setdefault(i, []).append((len(text), sha256(edited.encode()).hexdigest(), *near))
     got = {}
     for row in found:
-        got.setdefault(row.doc_id, []).append((row.n_chars, row.edited_sha256))
+        got.setdefault(row.doc_id, []).append((row.n_chars, row.edited_sha256, row.near_edited, row.near_next))
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
-    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in found)
 
 
 def test_next_of_one_and_of_none(spark, documents):
