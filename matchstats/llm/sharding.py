@@ -7,24 +7,28 @@ them. The buckets, one after the other, are a random order of all rows; it is cu
 shards whose row counts are at most one apart.
 
 Each row is kept once, repeated rows and rows with null id or text included; a text's
-bytes are its size, a null text has none. Identical rows are interchangeable. The order
-depends on rows, seed, bucket and shard counts only, not on files or partitions. Columns
+bytes are its size, a null text has none. Identical rows are interchangeable. Rows equal in
+id and text that together outgrow a bucket are spread over all buckets, by where they are
+read and how many like them were read there before. But for those, the order depends on
+rows, seed, bucket and shard counts only, not on files or partitions. Columns
 are kept under their names; added ones get an underscore where a name is taken. An empty
 table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchstats.llm.tables import free_name, with_fields
+from matchstats.llm.textbytes import mixed
 
 BUCKET_BYTES = 16 << 20
 
@@ -49,6 +53,51 @@ def _shuffled(
     return shuffle
 
 
+def _spread(order: str, buckets: int):
+    """Buckets of rows that share ``order``, by task and by how often it was met in the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = np.uint64(TaskContext.get().partitionId() << 32)
+        met: dict[int, int] = {}
+        for batch in batches:
+            keys = batch.column(batch.schema.get_field_index(order)).to_numpy()
+            found, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
+            before = np.array([met.get(key, 0) for key in found.tolist()], np.int64)
+            met.update(zip(found.tolist(), (before + counts).tolist()))
+            times = np.empty(len(keys), np.int64)
+            times[np.argsort(which, kind="stable")] = np.arange(len(keys)) - np.repeat(
+                np.cumsum(counts) - counts, counts
+            )
+            times += before[which]
+            number = mixed(mixed(task + times.view(np.uint64)) ^ keys.view(np.uint64)) % np.uint64(buckets)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(number.astype(np.int64))], batch.schema.names
+            )
+
+    return run
+
+
+def _scattered(
+    frame: DataFrame, size: Column, seed: int, buckets: int, bucket_bytes: int, columns: list[str]
+) -> DataFrame:
+    """The rows with the hash of id and text (order) and the number of their bucket."""
+    doc_id, text, order, bucket = columns
+    hashed = frame.withColumn(order, F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)))
+    scattered = hashed.withColumn(
+        bucket, F.pmod(F.xxhash64(F.lit(seed + 1), F.col(order)), F.lit(buckets))
+    )
+    same = hashed.groupBy(order).agg(F.count("*").alias("_n"), F.sum(size + F.lit(64)).alias("_bytes"))
+    # Over a bucket each, so there are fewer than buckets: 8 bytes for each 16 MB of text.
+    large = same.where((F.col("_n") > 1) & (F.col("_bytes") > bucket_bytes)).select(order)
+    large = frame.sparkSession.createDataFrame(large.collect(), large.schema)
+    if large.isEmpty():
+        return scattered
+    few, many = (scattered.join(F.broadcast(large), order, kind) for kind in ("left_anti", "left_semi"))
+    names = [*frame.columns, order, bucket]
+    spread = many.select(names).mapInArrow(_spread(order, buckets), many.select(names).schema)
+    return few.select(names).unionByName(spread)
+
+
 def shuffle_into_shards(
     frame: DataFrame,
     shards: int,
@@ -68,10 +117,7 @@ def shuffle_into_shards(
     total = frame.agg(F.sum(size + F.lit(64)).alias("bytes")).first()["bytes"] or 0
     buckets = max(1, -(-total // bucket_bytes))
 
-    scattered = frame.withColumn(order, F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)))
-    scattered = scattered.withColumn(
-        bucket, F.pmod(F.xxhash64(F.lit(seed + 1), F.col(order)), F.lit(buckets))
-    )
+    scattered = _scattered(frame, size, seed, buckets, bucket_bytes, [doc_id, text, order, bucket])
     # One row for each bucket: where its rows begin in the order of all rows.
     counts = scattered.groupBy(bucket).agg(F.count("*").alias("_rows"))
     before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)

@@ -3,7 +3,9 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 
-from matchstats.llm.sharding import shard_digest, shuffle_into_shards, write_shards
+from pyspark.sql import functions as F
+
+from matchstats.llm.sharding import _scattered, shard_digest, shuffle_into_shards, write_shards
 from tests.llm.conftest import rows_of
 
 ROWS = [(i, f"text {i}" * (i % 7), i % 3) for i in range(1000)] + [
@@ -40,6 +42,22 @@ def test_neighbours_are_scattered(spark, documents):
     assert sum(abs(a - b) == 1 for a, b in zip(order, order[1:])) < 20
 
 
+def test_repeated_rows_fill_no_bucket(spark, documents):
+    rows = [(1, "same " * 100)] * 3000 + [(None, None)] * 900 + [(i, f"text {i}") for i in range(600)]
+    frame = documents(rows).withColumn("_order", F.lit("x")).repartition(4)
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    placed = _scattered(frame, size, 0, 90, 20_000, ["doc_id", "text", "_order_", "_bucket"])
+    assert placed.columns == ["doc_id", "text", "_order", "_order_", "_bucket"]
+    counts = [r["count"] for r in placed.groupBy("_bucket").count().collect()]
+    assert len(counts) == 90 and max(counts) < 3 * 4500 / 90
+    sharded = shuffle_into_shards(frame, 40, bucket_bytes=20_000)
+    found = sharded.collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter(rows)
+    places = Counter(r.shard for r in found)
+    assert len(places) == 40 and max(places.values()) - min(places.values()) <= 1
+    assert len({(r.shard, r.slot) for r in found}) == len(rows)
+
+
 def test_fewer_rows_than_shards_and_none(spark, documents):
     few = shuffle_into_shards(documents([(1, "a"), (2, "b")]), 40).collect()
     assert sorted(r.slot for r in few) == [0, 0] and len({r.shard for r in few}) == 2
