@@ -3,13 +3,15 @@
 A text's vector counts the 1- to 3-byte grams of its letters (any other ASCII character
 is a gap), hashed into a fixed number of cells, damped by logarithm, weighted by inverse
 document frequency and scaled to length one. The frequencies are counted over all training
-rows; the clusters are made from a bounded sample of them. Each language has several centroids,
-clusters of its training vectors; the nearest by cosine gives the language. A text with
-no letter, or farther from every centroid than the limit, is rejected as ``und``.
+rows; the clusters are made from a bounded sample of each language, in a task of its own.
+Each language has several centroids, clusters of its training vectors; the nearest by
+cosine gives the language. A text with no letter, or farther from every centroid than the
+limit, is rejected as ``und``. A model holds all languages there are, 32 KB for each.
 
 Nulls, empty texts and texts without letters are ``und`` with score 0. Whole texts are
 read. Ties go to the first language by name. Without training rows everything is
-``und``. Repeated rows are predicted alike; all rows and columns are kept.
+``und``. Repeated rows are predicted alike, and rows equal in language, id and text are one
+training row; all rows and columns are kept.
 """
 
 from __future__ import annotations
@@ -20,20 +22,22 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchstats.llm.labelled import sampled_ids
-from matchstats.llm.tables import free_name, held_out, with_fields
+from matchstats.llm.tables import free_name, held_out, with_fields, written
 from matchstats.llm.textbytes import chunks
 
 UNDETERMINED = "und"
 CELLS = 2048
-#: Most training rows of a language, and most languages, so that fitting stays bounded.
+#: Most training rows of a language, so that fitting stays bounded.
 ROWS_PER_LANGUAGE = 600
-LANGUAGES = 200
 CLUSTERS = 4
+#: A language's rows are sampled in so many parts first.
+SAMPLE_PARTS = 64
+#: A sample of more rows meets the texts in a shuffle.
+SMALL_SAMPLE = 200_000
 ROWS_AT_ONCE = 512
 
 _LETTER = regex.compile(r"\p{L}")
@@ -120,6 +124,37 @@ def inverse_frequencies(rows: DataFrame, text: str = "text") -> np.ndarray:
     return np.log((1 + held[-1]) / (1 + held[:-1])).astype(np.float32) + 1
 
 
+def _sampled(rows: DataFrame, rows_per_language: int) -> DataFrame:
+    """(lang, doc_id, mark): at most so many different rows of each language, by a hash.
+
+    Every row is as likely, and the sample depends on the rows only.
+    """
+    different = rows.where(F.col("doc_id").isNotNull()).select("lang", "doc_id", "mark").distinct()
+    drawn = different.withColumn("draw", F.xxhash64("lang", "doc_id", "mark"))
+    drawn = drawn.withColumn("part", F.pmod("draw", F.lit(SAMPLE_PARTS)))
+    for groups in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*groups).orderBy("draw", "doc_id", "mark")
+        drawn = drawn.withColumn("at", F.row_number().over(order)).where(F.col("at") <= rows_per_language)
+    return written(drawn.select("lang", "doc_id", "mark"), "language-sample")
+
+
+def _language_centroids(idf: np.ndarray, clusters: int, seed: int):
+    def fit(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("doc_id", "ascending"), ("mark", "ascending")])
+        counts = np.array([np.frombuffer(c, "<i4") for c in rows.column("counts").to_pylist()])
+        counts = counts[counts.sum(axis=1) > 0]
+        found = _clusters(_damped(counts, idf), clusters, seed) if len(counts) else []
+        return pa.table(
+            {
+                "lang": pa.array([rows.column("lang")[0].as_py()] * len(found), pa.string()),
+                "number": pa.array(range(len(found)), pa.int32()),
+                "centroid": pa.array([c.astype("<f4").tobytes() for c in found], pa.binary()),
+            }
+        )
+
+    return fit
+
+
 def fit_languages(
     documents: DataFrame,
     doc_id: str = "doc_id",
@@ -132,38 +167,40 @@ def fit_languages(
     """Learns from rows with a language that are not held out; none of them: no model."""
     rows = documents.select(
         F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text")
-    ).where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
-    sample = dict(sampled_ids(rows.select("doc_id", "lang"), "lang", rows_per_language, LANGUAGES))
-    if not sample:
+    ).where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    marked = rows.withColumn("mark", F.xxhash64("text"))
+    sample = _sampled(marked, rows_per_language)
+    size = sample.count()
+    if not size:
         return None
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in chunks(batches, "text", rows=ROWS_AT_ONCE):
             counts = np.minimum(gram_counts(data, offsets), 2**31 - 1).astype("<i4")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([c.tobytes() for c in counts], pa.binary())],
-                ["doc_id", "lang", "counts"],
+                [*batch.columns[:3], pa.array([c.tobytes() for c in counts], pa.binary())],
+                ["lang", "doc_id", "mark", "counts"],
             )
 
-    learned = (
-        rows.where(F.col("doc_id").isin(list(sample)))
-        .mapInArrow(vectors, T.StructType([*rows.schema.fields[:2], T.StructField("counts", T.BinaryType())]))
-        .orderBy("doc_id", "lang")
-        .limit(2 * len(sample))
-        .collect()
+    few = F.broadcast(sample) if size <= SMALL_SAMPLE else sample
+    keys = ["lang", "doc_id", "mark"]
+    texts = marked.join(few, keys).select(*keys, "text")
+    counted = texts.mapInArrow(
+        vectors, T.StructType([*texts.schema.fields[:3], T.StructField("counts", T.BinaryType())])
     )
-    counts = np.array([np.frombuffer(r["counts"], "<i4") for r in learned])
-    labels = np.array([r["lang"] for r in learned])
-    kept = counts.sum(axis=1) > 0
-    counts, labels = counts[kept], labels[kept]
-    if not len(counts):
-        return None
+    different = counted.groupBy(*keys).agg(F.first("counts").alias("counts"))
     idf = inverse_frequencies(rows)
-    weights = _damped(counts, idf)
-    languages = sorted(set(labels.tolist()))
-    groups = [_clusters(weights[labels == name], clusters, seed) for name in languages]
-    owners = np.repeat(np.arange(len(languages)), [len(g) for g in groups])
-    return LanguageModel(languages, idf, np.vstack(groups).astype(np.float32), owners)
+    found = different.groupBy("lang").applyInArrow(
+        _language_centroids(idf, clusters, seed), "lang string, number int, centroid binary"
+    )
+    centroids = sorted(found.collect(), key=lambda r: (r["lang"], r["number"]))
+    if not centroids:
+        return None
+    languages = sorted({r["lang"] for r in centroids})
+    owners = np.array([languages.index(r["lang"]) for r in centroids])
+    return LanguageModel(
+        languages, idf, np.array([np.frombuffer(r["centroid"], "<f4") for r in centroids]), owners
+    )
 
 
 def identify_languages(

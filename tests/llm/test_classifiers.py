@@ -58,6 +58,19 @@ def test_no_model_without_training_rows(spark, documents):
     assert identify_languages(empty, None).count() == 0
 
 
+def test_every_language_is_learned(spark, documents):
+    """Also where there are hundreds, and where one row is repeated or one id has many texts."""
+    names = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(300)]
+    rows = [(i, f"{name}{name} {name} q{name}", name) for i, name in enumerate(names)]
+    rows += [(1000, "zq zq", "aa")] * 500 + [(2000, f"vw {'v' * i}", "vw") for i in range(40)]
+    model = fit_languages(documents(rows, "doc_id long, text string, lang string"), rows_per_language=5)
+    learned = {name for i, name in enumerate(names) if not is_held_out(i)} | {"aa", "vw"}
+    assert set(model.languages) == learned and model.languages == sorted(learned)
+    assert np.bincount(model.owners).max() <= 4
+    again = documents(rows[::-1], "doc_id long, text string, lang string").repartition(3)
+    assert np.allclose(fit_languages(again, rows_per_language=5).centroids, model.centroids)
+
+
 def test_grams_do_not_cross_texts():
     data = np.frombuffer(b"ab  cab 12 c", np.uint8)
     two = gram_counts(data, np.array([0, 5, 12]))
