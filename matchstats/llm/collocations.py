@@ -48,13 +48,15 @@ BUCKETS = 1 << 26
 #: Bytes of keys in a trie. It has at most one node a byte, and 8 bytes a cell.
 TRIE_BYTES = 4 << 20
 #: Tries that one pass over the texts counts by; a task holds them all.
-TRIES_AT_ONCE = 12
+TRIES_AT_ONCE = 6
 _SHARE = 4
 #: Parts of a filter, of 65,536 buckets each, that a task tells in one batch.
 _PARTS_AT_ONCE = 32
 _TOLD = pa.schema([("part", pa.int64()), ("places", pa.binary()), ("counts", pa.binary())])
 #: Phrases that a task remembers to have named; one that takes another's place is named again.
 _REMEMBERED = 1 << 21
+#: Parts that named phrases are packed in, and the bytes that a task packs at once, about.
+_NAME_PARTS, _NAMED_BYTES = 512, 16 << 20
 CHUNK = 1 << 20
 _UNKNOWN = "und"
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -69,14 +71,14 @@ _GAPS[[0x20, 0x09]] = True
 
 @cache
 def _powers(base: int) -> np.ndarray:
-    return powers(np.uint64(base), 2 * CHUNK)
+    return powers(np.uint64(base), CHUNK + CHUNK // 4)
 
 
 class ChunkHash(SpanHash):
     """Hashes of spans of a buffer; the powers for buffers of a chunk's length are kept."""
 
     def _powers(self, base: int, count: int) -> np.ndarray:
-        return _powers(base)[:count] if count <= 2 * CHUNK else super()._powers(base, count)
+        return _powers(base)[:count] if count <= CHUNK + CHUNK // 4 else super()._powers(base, count)
 
 
 class Pieces:
@@ -95,7 +97,7 @@ class Pieces:
         langs = pc.fill_null(rows.column("lang"), _UNKNOWN).dictionary_encode()
         self.langs = langs.dictionary.to_pylist()
         self.lang = langs.indices.to_numpy(zero_copy_only=False)[text]
-        seeds = np.array([xxhash.xxh64_intdigest(lang.encode()) for lang in self.langs], np.uint64)
+        seeds = np.array([_seed(lang) for lang in self.langs], np.uint64)
         self._hashes = ChunkHash(self.words.buffer)(self.words.starts, self.words.ends)
         if count:
             self._hashes = mixed(self._hashes ^ seeds[self.lang])
@@ -117,27 +119,70 @@ class Pieces:
     def buckets(self, size: int, of: np.ndarray, buckets: int) -> np.ndarray:
         return self.hashes(size, of) % np.uint64(buckets)
 
-    def rows(self, size: int, of: np.ndarray) -> pa.RecordBatch:
-        """(lang, phrase, words) of the phrases that begin there."""
-        starts, ends = self.words.starts[of], self.words.ends[of + size - 1]
+    def phrases(self, size: int, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of the phrases that begin there, a line feed behind each, and their lengths."""
+        starts, ends = self.words.starts[of], self.words.ends[of + size - 1] + 1
         lengths = ends - starts
-        before = np.concatenate([[0], np.cumsum(lengths)])
-        places = np.arange(before[-1]) + np.repeat(starts - before[:-1], lengths)
-        phrases = pa.LargeStringArray.from_buffers(
-            len(of), pa.py_buffer(before.astype(np.int64)), pa.py_buffer(self.words.buffer[places])
-        )
-        langs = pa.array(self.langs, pa.string()).take(pa.array(self.lang[of]))
-        return pa.RecordBatch.from_arrays(
-            [langs, phrases.cast(pa.string()), pa.array(np.full(len(of), size, np.int32)),
-             pa.array(self.first_words(of))],
-            ["lang", "phrase", "words", "first"],
-        )
+        raw = self.words.buffer[_spans(starts, lengths)]
+        raw[np.cumsum(lengths) - 1] = _BREAK
+        return raw, lengths
 
     def first_words(self, of: np.ndarray) -> np.ndarray:
         """A number for the word, and its language, that is there."""
         return self._hashes[of].view(np.int64)
 
 
+def _word_numbers(lang: str, words: list[bytes]) -> np.ndarray:
+    """What ``first_words`` gives for these words."""
+    ends = np.cumsum([len(word) for word in words])
+    starts = np.concatenate([[0], ends[:-1]])
+    hashes = SpanHash(np.frombuffer(b"".join(words), np.uint8))(starts, ends)
+    return mixed(hashes ^ _seed(lang)).view(np.int64)
+
+
+def _seed(lang: str) -> np.uint64:
+    return np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+
+
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places of spans, one span after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
+
+
+class Named:
+    """Phrases that a task has found, packed by part and language."""
+
+    def __init__(self):
+        self.bytes = 0
+        self._langs: dict[str, int] = {}
+        self._found: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, pieces: Pieces, size: int, of: np.ndarray, hashes: np.ndarray) -> None:
+        raw, lengths = pieces.phrases(size, of)
+        codes = np.array([self._langs.setdefault(lang, len(self._langs)) for lang in pieces.langs], np.int64)
+        part = ((hashes >> np.uint64(32)) % np.uint64(_NAME_PARTS)).astype(np.int64)
+        self._found.append((part, codes[pieces.lang[of]], lengths, raw))
+        self.bytes += len(raw)
+
+    def packed(self) -> pa.RecordBatch:
+        """(part, lang, phrases) of all that was added; then it is empty."""
+        part, lang, lengths, raw = map(np.concatenate, zip(*self._found))
+        order = np.lexsort((lang, part))
+        starts = np.cumsum(lengths) - lengths
+        part, lang, lengths = part[order], lang[order], lengths[order]
+        data = raw[_spans(starts[order], lengths)].tobytes()
+        first = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (lang[1:] != lang[:-1])])
+        edges = [*(np.cumsum(lengths) - lengths)[first].tolist(), len(data)]
+        names = np.array(list(self._langs), object)
+        self._found, self.bytes = [], 0
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[first]), pa.array(names[lang[first]], pa.string()),
+             pa.array([data[a:b] for a, b in zip(edges, edges[1:])], pa.binary())],
+            ["part", "lang", "phrases"],
+        )
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Pieces]:
     for rows, data, offsets in chunks(batches, "text", CHUNK):
         yield Pieces(rows, data, offsets)
@@ -215,10 +260,14 @@ def _remembered(hashes: np.ndarray) -> np.ndarray:
 
 
 def _candidates(texts: DataFrame, sizes: int, filters: list, buckets: int) -> DataFrame:
-    """(lang, phrase, words), each once."""
+    """(lang, phrase, words, first), each once; ``first`` is a number for its first word.
+
+    A task names a phrase about once, packed with others of its part; parts go by the hash of
+    the phrase, so that no word's phrases meet in one task.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(_REMEMBERED, np.uint64)
+        seen, named = np.zeros(_REMEMBERED, np.uint64), Named()
         for pieces in _pieces(batches):
             needed = np.zeros(len(pieces.joined), bool)
             for size in range(sizes, 0, -1):
@@ -235,9 +284,38 @@ def _candidates(texts: DataFrame, sizes: int, filters: list, buckets: int) -> Da
                 new = seen[_remembered(hashes)] != hashes
                 hashes, at = np.unique(hashes[new], return_index=True)
                 seen[_remembered(hashes)] = hashes
-                yield pieces.rows(size, of[new][at])
+                if len(at):
+                    named.add(pieces, size, of[new][at], hashes)
+            if named.bytes > _NAMED_BYTES:
+                yield named.packed()
+        if named.bytes:
+            yield named.packed()
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def united() -> Iterator[pa.RecordBatch]:
+            for lang, phrases in met.items():
+                phrases = sorted(phrases)
+                words = [phrase.count(_SPACE) + 1 for phrase in phrases]
+                first = _word_numbers(lang, [phrase.split(b" ", 1)[0] for phrase in phrases])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()),
+                     pa.array(words, pa.int32()), pa.array(first)],
+                    ["lang", "phrase", "words", "first"],
+                )
 
-    return texts.mapInArrow(find, "lang string, phrase string, words int, first long").distinct()
+        now, met = None, {}
+        for batch in batches:
+            for part, lang, phrases in zip(*(column.to_pylist() for column in batch.columns)):
+                if part != now:
+                    yield from united()
+                    now, met = part, {}
+                met.setdefault(lang, set()).update(phrases.split(bytes([_BREAK]))[:-1])
+        yield from united()
+
+    named = texts.mapInArrow(find, "part long, lang string, phrases binary")
+    return named.repartition("part").sortWithinPartitions("part").mapInArrow(
+        unite, "lang string, phrase string, words int, first long"
+    )
 
 
 def _key(lang: str, phrase: str) -> bytes:

@@ -69,6 +69,15 @@ def test_all_sizes_give_the_same_counts(spark, rows, buckets, trie_bytes):
     assert {(r.lang, r.phrase): (r.a, r.l, r.r, r.score) for r in best.collect()} == scored
 
 
+def test_counts_past_a_byte(spark, rows):
+    """A task may hold more of a bucket than its smallest counters do."""
+    many = rows * 40
+    counts, _, _ = brute(many, least=300)
+    found = phrase_counts(spark.createDataFrame(many, SCHEMA).repartition(3), least=300)
+    phrases = {(r.lang, tuple(r.phrase.split(" "))): r.n for r in found.where("words > 1").collect()}
+    assert phrases == {k: n for k, n in counts.items() if len(k[1]) > 1} and phrases
+
+
 def test_longer_phrases(spark, rows):
     _, _, scored = brute(rows, most=5, least=3)
     found = score_phrases(phrase_counts(spark.createDataFrame(rows, SCHEMA), most_words=5, least=3, buckets=1 << 14), 5)
