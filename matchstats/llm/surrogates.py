@@ -5,6 +5,9 @@ identity numbers, secrets, and names after a form of address) get replacements o
 own kind, drawn by a keyed hash: digits for digits, letters of the same case, separators
 and lengths kept; a card number is valid if the original was, an address has octets of the
 same length, a name keeps its gender, taken from the form of address, and its script.
+A name once met behind a form of address is known in the whole text: its parts are replaced
+wherever they stand as a word there, before or after, with a capital or in capitals. In
+lower case they are taken for other words.
 
 The same entity has the same surrogate wherever it occurs, since the draw depends on the
 key and the entity only; the parts of addresses and names are drawn by themselves, so that
@@ -68,6 +71,41 @@ _ADDRESSED = re.compile(
     rf"\b({'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.?[  ]"
     r"([^\W\d_a-z]['\w-]+(?: [^\W\d_a-z]['\w-]+){0,2})"
 )
+#: A word that may be part of a name: it begins with a capital.
+_CAPITALISED = re.compile(r"(?<![\w'’-])[^\W\d_a-z][\w'’-]+")
+_NAMES = ("given_m", "given_f", "family")
+_POSSESSIVE = ("'s", "’s")
+
+
+def _word(text: str, first: int, end: int) -> tuple[str, int]:
+    """A word without its possessive ending, as names are known, and where it ends."""
+    if end - first > 3 and text[first:end].endswith(_POSSESSIVE):
+        end -= 2
+    return text[first:end], end
+
+
+def _names(text: str) -> list[tuple[str, int, int]]:
+    """Parts of names behind forms of address, and the same words in the rest of the text."""
+    found, known = [], {}
+    for m in _ADDRESSED.finditer(text):
+        parts = [p for p in re.finditer(r"\S+", m[2]) if p[0][0].isupper()]
+        given = "given_m" if m[1] in MALE else "given_f"
+        for k, part in enumerate(parts):
+            kind = "family" if k == len(parts) - 1 else given
+            first = m.start(2) + part.start()
+            value, end = _word(text, first, m.start(2) + part.end())
+            found.append((kind, first, end))
+            # A word met as two kinds is, elsewhere, what it was first.
+            known.setdefault(canonical(kind, value), kind)
+    if not found:
+        return found
+    at = {first for _, first, _ in found}
+    for m in _CAPITALISED.finditer(text):
+        value, end = _word(text, m.start(), m.end())
+        kind = known.get(canonical("family", value))
+        if kind and m.start() not in at and len(value) > 1:
+            found.append((kind, m.start(), end))
+    return found
 
 
 def entities(text: str | None) -> list[tuple[str, int, int]]:
@@ -82,12 +120,7 @@ def entities(text: str | None) -> list[tuple[str, int, int]]:
         found += [("mail", m.start(), m.end()) for m in _MAIL.finditer(text)]
     if _MAY_BE_NUMBERED.search(text):
         found += [(m.lastgroup, m.start(), m.end()) for m in _NUMBERED.finditer(text)]
-    for m in _ADDRESSED.finditer(text):
-        parts = [p for p in re.finditer(r"\S+", m[2]) if p[0][0].isupper()]
-        given = "given_m" if m[1] in MALE else "given_f"
-        for k, part in enumerate(parts):
-            kind = "family" if k == len(parts) - 1 else given
-            found.append((kind, m.start(2) + part.start(), m.start(2) + part.end()))
+    found += _names(text)
     found.sort(key=lambda e: (e[1], -e[2]))
     kept: list[tuple[str, int, int]] = []
     for entity in found:
@@ -102,6 +135,8 @@ def canonical(kind: str, value: str) -> str:
         return value.lower()
     if kind in ("card", "account", "telephone", "identity"):
         return re.sub(r"[^0-9A-Za-z+]", "", value)
+    if kind in _NAMES:
+        return value.capitalize()
     return value
 
 
@@ -190,7 +225,7 @@ def _name(draws: _Draws, kind: str, value: str, attempt: int) -> str:
     made += {"given_m": male, "given_f": female}.get(kind, syllables[draws.below(len(syllables))])
     if kind == "given_m" and made[-2:] == female:
         made += male
-    return made.upper() if value.isupper() and len(value) > 1 else made.capitalize()
+    return made.capitalize()
 
 
 def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
@@ -235,6 +270,8 @@ def _spelled(kind: str, value: str, made: str) -> str:
         rest = iter(made)
         spelled = "".join(next(rest) if re.match(r"[0-9A-Za-z+]", c) else c for c in value)
         return spelled + "".join(rest)
+    if kind in _NAMES and len(value) > 1 and value.isupper():
+        return made.upper()
     return made
 
 

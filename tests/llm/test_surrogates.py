@@ -38,6 +38,10 @@ def found(text):
         ("id 078-05-1120", [("identity", "078-05-1120")]),
         ("DE89 3704 0044 0532 0130 00", [("account", "DE89 3704 0044 0532 0130 00")]),
         ("Mr John Smith and Frau Müller", [("given_m", "John"), ("family", "Smith"), ("family", "Müller")]),
+        ("John met Mr John Smith. Later Smith's dog and JOHN left; a smith stayed.",
+         [("given_m", "John"), ("given_m", "John"), ("family", "Smith"), ("family", "Smith"), ("given_m", "JOHN")]),
+        ("Mrs Anna-Maria O'Neil’s house, Anna, O'Neil",
+         [("given_f", "Anna-Maria"), ("family", "O'Neil"), ("family", "O'Neil")]),
         ("г-жа Анна Петрова", [("given_f", "Анна"), ("family", "Петрова")]),
         ("v1.2.3.4.5 on 2015-08-08, 4.0. 12345 a@b 300.1.1.1 Mr.", []),
         (None, []),
@@ -87,6 +91,25 @@ def test_spellings_domains_and_names_stay_the_same():
     assert surrogate(b"other", "mail", "a@b.cd") != surrogate(KEY, "mail", "a@b.cd")
 
 
+def test_no_part_of_a_name_stays_in_its_text(spark, documents):
+    """Where a form of address gave the name away, it goes everywhere; other texts keep the word."""
+    rows = [
+        (1, "Smith called. Mr John Smith met Frau Petra Ödön-Kiss; SMITH, John's friend, saw Petra."),
+        (2, "Smith and John are words here."),
+        (3, "господин Иван Петров пришёл. Петров и Иван ушли."),
+    ]
+    found_rows = {r.doc_id: r for r in with_surrogates(documents(rows), KEY).collect()}
+    for name in ("Smith", "SMITH", "John", "Petra", "Ödön-Kiss"):
+        assert name not in found_rows[1].text
+    for name in ("Петров", "Иван"):
+        assert name not in found_rows[3].text
+    assert found_rows[2].text == rows[1][1] and not found_rows[2].entities
+    values = [(e.kind, found_rows[1].text[e.first : e.last]) for e in found_rows[1].entities]
+    assert values[0] == values[2] and values[5] == ("family", values[0][1].upper())
+    assert values[1] == values[6] and found_rows[1].text[found_rows[1].entities[6].last :].startswith("'s ")
+    assert values[3] == values[7]
+
+
 def test_draws_are_distinct_and_none_is_real(spark, monkeypatch):
     """A space of few surrogates, so that many have to draw again."""
     monkeypatch.setattr(
