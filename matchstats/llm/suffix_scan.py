@@ -123,48 +123,58 @@ class AnchoredSuffixes:
     def _shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return common_prefix(self.prefixes[a], self.prefixes[b], np.minimum(self.left[a], self.left[b]))
 
-    def covered(self) -> tuple[np.ndarray, np.ndarray]:
-        """For each anchor, how far repeats of the least length that hold it reach both ways.
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes before, bytes from it on, both anchors) of the repeats of keys with two anchors.
 
-        Zeros where there are none. Repeats of one anchor all hold it, so together they
-        are one span.
+        Bytes farther off differ on both sides, so what a pair shares is maximal.
         """
-        back, ahead = np.zeros(len(self.rank), np.int64), np.zeros(len(self.rank), np.int64)
         pairs = self.groups[:-1][np.diff(self.groups) == 2]
-        a, b = self.order[pairs], self.order[pairs + 1]
-        depth, shared = self.common[pairs], self._shared(a, b)
-        long = depth + shared >= self.length
-        for side in (a[long], b[long]):
-            back[side], ahead[side] = shared[long], depth[long]
-        for depth, _, members, shared in self._intervals():
-            best = np.zeros(len(members), np.int64)
-            best[:-1] = shared
-            best[1:] = np.maximum(best[1:], shared)
-            long = best + depth >= self.length
-            hit = members[long]
-            back[hit] = np.maximum(back[hit], best[long])
-            ahead[hit] = np.maximum(ahead[hit], depth)
-        return back, ahead
+        both = np.stack([self.order[pairs], self.order[pairs + 1]], axis=1)
+        back, ahead = self._shared(both[:, 0], both[:, 1]), self.common[pairs]
+        long = back + ahead >= self.length
+        return back[long], ahead[long], both[long]
 
-    def maximal_repeats(self) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(bytes before the anchor, bytes from it on, anchors) of each maximal repeat."""
-        pairs = self.groups[:-1][np.diff(self.groups) == 2]
-        shared = self._shared(self.order[pairs], self.order[pairs + 1])
-        for start, back in zip(pairs.tolist(), shared.tolist()):
-            if back + self.common[start] >= self.length:
-                yield back, int(self.common[start]), self.order[start : start + 2]
+    def _larger(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Maximal repeats of keys with more anchors: intervals that differ on both sides."""
         place = np.empty(len(self.order), np.int64)
         place[self.order] = np.arange(len(self.order))
         for depth, first, members, shared in self._intervals():
+            long = shared + depth >= self.length
+            if not long.any():
+                continue
             # Suffixes that share no more than the depth are in different branches.
             steps = self.common[first : first + len(members) - 1] <= depth
             branch = np.concatenate([[0], np.cumsum(steps)])[place[members] - first]
-            for back, low, high in prefix_intervals(shared.tolist()):
-                if back + depth < self.length:
+            changes = np.concatenate([[0], np.cumsum(branch[1:] != branch[:-1])]).tolist()
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], long, [0]]))).tolist()
+            for low, high in zip(edges[::2], edges[1::2]):
+                # In one branch the same repeats go on farther and are met there.
+                if changes[low] == changes[high]:
                     continue
-                # The bytes before them differ at once farther back; the suffixes must too.
-                if branch[low : high + 1].min() < branch[low : high + 1].max():
-                    yield back, depth, members[low : high + 1]
+                for back, start, stop in prefix_intervals(shared[low:high].tolist()):
+                    # The bytes before them differ farther back; the suffixes must too.
+                    if changes[low + start] < changes[low + stop]:
+                        yield back, depth, members[low + start : low + stop + 1]
+
+    def maximal_repeats(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(bytes before the anchor, bytes from it on, anchors) of each maximal repeat."""
+        for back, ahead, both in zip(*self._pairs()):
+            yield int(back), int(ahead), both
+        yield from self._larger()
+
+    def covered(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each anchor, how far the maximal repeats that hold it reach both ways.
+
+        Zeros where there are none. Repeats of one anchor all hold it, so together they
+        are one span.
+        """
+        back, ahead = np.zeros(len(self.rank), np.int64), np.zeros(len(self.rank), np.int64)
+        shared, depths, both = self._pairs()
+        back[both], ahead[both] = shared[:, None], depths[:, None]
+        for shared, depth, members in self._larger():
+            back[members] = np.maximum(back[members], shared)
+            ahead[members] = np.maximum(ahead[members], depth)
+        return back, ahead
 
 
 WINDOW = np.dtype([("first", "<u8"), ("second", "<u4"), ("row", "<i8"), ("start", "<i4"), ("known", "?")])

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from matchstats.llm.repeats import maximal_repeats, repeats_digest, without_repeats
-from matchstats.llm.suffix_scan import prefix_intervals
+from matchstats.llm.suffix_scan import GRAM, AnchoredSuffixes, contexts, prefix_intervals
 from tests.llm.conftest import rows_of
 
 LENGTH = 200
@@ -86,6 +86,54 @@ def test_maximal_repeats_have_all_occurrences(spark, documents):
     assert sizes[225] == {(1, 3), (2, 1), (3, 9)}
 
 
+@pytest.mark.parametrize("edits", [0, 1, 3, 30])
+def test_maximal_groups_against_brute_force(edits):
+    """Every group that can be extended neither way, with all its anchors; spans come from them."""
+    draw, length, gram = random.Random(edits), 60, "g" * GRAM
+    before = length - GRAM
+    texts, keys = [], []
+    for key in range(3):
+        head, tail = ("".join(draw.choices("ab", k=40)) for _ in range(2))
+        for _ in range(2 if key == 0 else 25):
+            edited = list(head + tail)
+            for _ in range(draw.randint(0, edits)):
+                edited[draw.randrange(80)] = draw.choice("abc")
+            around = "".join(edited)
+            texts.append((around[draw.choice([0, 0, 5, 35]) : 40], around[40 : draw.choice([80, 80, 61, 45])]))
+            keys.append(key)
+    raw = [(a + gram + b).encode() for a, b in texts]
+    ends = np.cumsum([len(r) for r in raw])
+    low = ends - [len(r) for r in raw]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    held, left, right = contexts(data, low, ends, low + [len(a) for a, _ in texts], before, length)
+    suffixes = AnchoredSuffixes(np.array(keys), held, left, right, before, length)
+
+    def shared(i, j):
+        if keys[i] != keys[j]:
+            return -1, -1
+        back = ahead = 0
+        (a, b), (c, d) = ((x[::-1][:before], (gram + y)[:length]) for x, y in (texts[i], texts[j]))
+        while back < min(len(a), len(c)) and a[back] == c[back]:
+            back += 1
+        while ahead < min(len(b), len(d)) and b[ahead] == d[ahead]:
+            ahead += 1
+        return back, ahead
+
+    want = set()
+    for i in range(len(texts)):
+        for j in range(i):
+            back, ahead = shared(i, j)
+            if back + ahead >= length:
+                alike = [k for k in range(len(texts)) if k == i or min(np.subtract(shared(i, k), (back, ahead))) >= 0]
+                want.add((back, ahead, tuple(alike)))
+    groups = [(b, a, tuple(sorted(m.tolist()))) for b, a, m in suffixes.maximal_repeats()]
+    assert len(groups) == len(set(groups)) and set(groups) == want and want
+    back, ahead = suffixes.covered()
+    for k in range(len(texts)):
+        reach = [(b, a) for b, a, members in want if k in members] or [(0, 0)]
+        assert (back[k], ahead[k]) == tuple(np.max(reach, axis=0))
+
+
 def test_intervals_of_a_suffix_array():
     text = b"abracadabra"
     order = sorted(range(len(text)), key=lambda i: text[i:])
