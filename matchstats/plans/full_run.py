@@ -29,7 +29,7 @@ from ..sinks.views import create_model_views
 from ..schemas import RAW_COLUMNS
 from ..sources.raw_csv import header, read_raw, read_raw_text
 from ..sources.staged import read_staged, read_table, require_rows
-from .models import MARTS, WriteChecks, build_mart
+from .models import CLUSTERED, MARTS, WriteChecks, build_mart
 
 
 @dataclass(frozen=True)
@@ -135,7 +135,8 @@ def materialise_models(
     built = {}
     for name in marts:
         table = f"{schemas.marts}.{name}"
-        save_mart(build_mart(name, lower, checks), table, schemas.path(table))
+        mart = build_mart(name, lower, checks)
+        save_mart(mart, table, schemas.path(table), CLUSTERED.get(name))
         built[name] = read_table(spark, table)
     return lower | built
 
@@ -196,7 +197,7 @@ def run(
         coverage=coverage,
         counts=counts,
         load=load,
-        league_table=models["fct_league_table"],
+        league_table=models["fct_league_table"].orderBy("season", "season_rank"),
         match_kpi=models["fct_match_kpi"],
         quality=quality,
         gates=gate_rows,

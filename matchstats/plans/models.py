@@ -11,6 +11,7 @@ from ..operators.league import league_table
 from ..operators.matches import match_facts, stg_matches
 from ..operators.team_stats import team_stats
 from ..session import scratch_dir
+from ..sinks.layout import Clustering
 from ..sinks.staged import observed
 
 #: The mart and the lower model it is made from.
@@ -18,6 +19,8 @@ MARTS = {
     "fct_league_table": ("int_team_stats", league_table),
     "fct_match_kpi": ("stg_matches", lambda stg: match_kpi(match_facts(stg))),
 }
+#: How marts are clustered that are asked by season.
+CLUSTERED = {"fct_league_table": Clustering("season", ("season", "season_rank"))}
 #: A match is so many units of a model's column of matches (none: of its rows).
 _MATCHES = {
     "stg_matches": (None, 1),

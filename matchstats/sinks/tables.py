@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..files import Files
+from .layout import Clustering
 from .versions import exchange, open_table, quoted, table_folder
 
 #: Seconds after which a claim on a build is taken for that of a builder that is gone.
@@ -71,8 +73,10 @@ def verify_load(matches: DataFrame) -> DataFrame:
     )
 
 
-def save_mart(frame: DataFrame, table: str, location: str | None = None) -> None:
-    """Materialise a model as a table, in the order of the frame.
+def save_mart(
+    frame: DataFrame, table: str, location: str | None = None, clustering: Clustering | None = None
+) -> None:
+    """Materialise a model as a table, in the order of the frame or clustered.
 
     Each build is written to a folder of its own, and the table is pointed at it once
     it is complete. So a failing build leaves the former rows readable, and readers of
@@ -87,10 +91,11 @@ def save_mart(frame: DataFrame, table: str, location: str | None = None) -> None
     base = table_folder(spark, table, location)
     name = f"build-{uuid.uuid4().hex}"
     build, claim = f"{base}/{name}", f"{base}/_claims/{name}"
+    switch = partial(_switch, clustering=clustering) if clustering else _switch
     files.create(claim)
     try:
-        frame.write.parquet(build)
-        former = _switch(frame, table, build)
+        _write_build(frame, build, clustering, f"{table}__{name.replace('-', '_')}")
+        former = switch(frame, table, build)
     except BaseException:
         files.remove(build)
         files.remove(claim)
@@ -99,19 +104,56 @@ def save_mart(frame: DataFrame, table: str, location: str | None = None) -> None
     _remove_builds(spark, base, {build, former, _location(spark, table)})
 
 
-def _switch(frame: DataFrame, table: str, build: str) -> str | None:
+def _write_build(frame: DataFrame, build: str, clustering: Clustering | None, name: str) -> None:
+    """The rows as files; buckets are written through a table of a passing name."""
+    if clustering is None:
+        frame.write.parquet(build)
+        return
+    first, *rest = clustering.order
+    placed = clustering.place(frame).write.bucketBy(clustering.buckets, clustering.by)
+    try:
+        placed.sortBy(first, *rest).saveAsTable(name, format="parquet", path=build)
+    finally:
+        # Its data lies at a path of ours and stays.
+        frame.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _clustering_of(spark: SparkSession, table: str) -> Clustering | None:
+    told = ("Num Buckets", "Bucket Columns", "Sort Columns")
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name").isin(*told)).collect()
+    found = {r["col_name"]: r["data_type"].strip("[]").replace("`", "") for r in rows}
+    if not found:
+        return None
+    return Clustering(
+        found["Bucket Columns"], tuple(found["Sort Columns"].split(", ")), int(found["Num Buckets"])
+    )
+
+
+def _create_mart(frame: DataFrame, table: str, build: str, clustering: Clustering | None) -> None:
+    if clustering is None:
+        frame.sparkSession.catalog.createTable(table, path=build, source="parquet")
+        return
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema)
+    frame.sparkSession.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet {clustering.clause} LOCATION {quoted(build)}"
+    )
+
+
+def _switch(
+    frame: DataFrame, table: str, build: str, clustering: Clustering | None = None
+) -> str | None:
     """Points the table at a complete build; returns the folder it had before."""
     spark = frame.sparkSession
     if not spark.catalog.tableExists(table):
-        spark.catalog.createTable(table, path=build, source="parquet")
+        _create_mart(frame, table, build, clustering)
         return None
     former = _location(spark, table)
-    if spark.table(table).dtypes == frame.dtypes:
+    if spark.table(table).dtypes == frame.dtypes and _clustering_of(spark, table) == clustering:
         spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(build)}")
         spark.catalog.refreshTable(table)
     else:
         spark.sql(f"DROP TABLE {table}")
-        spark.catalog.createTable(table, path=build, source="parquet")
+        _create_mart(frame, table, build, clustering)
     return former
 
 

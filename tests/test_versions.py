@@ -6,13 +6,16 @@ import threading
 import uuid
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import matchstats.sinks.versions as versions
 from matchstats.files import Files
+from matchstats.operators.insights import champions, top_teams
 from matchstats.operators.staging import stage_matches
 from matchstats.plans.full_run import Schemas
 from matchstats.sinks import tables
+from matchstats.sinks.layout import Clustering
 from matchstats.sinks.tables import create_schema, save_mart, verify_load
 from matchstats.sinks.versions import LoadError, clean_up, current_version, exchange, open_table, read_summary, verify_version
 
@@ -208,3 +211,68 @@ def test_files_are_asked_quietly(spark, tmp_path, capfd):
     assert files.exists(str(tmp_path / "*.csv")) and files.exists(str(tmp_path / "a.csv"))
     assert files.ages(str(tmp_path / "nothing")) == {}
     assert "Exception" not in capfd.readouterr().err
+
+
+@pytest.fixture
+def league(spark):
+    rows = spark.range(40 * 20).selectExpr(
+        "concat(1980 + id div 20, '/', lpad((81 + id div 20) % 100, 2, '0')) AS season",
+        "cast(1980 + id div 20 AS int) AS season_start_year",
+        "cast(1 + id % 20 AS int) AS season_rank", "concat('team ', (id * 7) % 31) AS team",
+        "100 - id % 20 AS points", "id % 9 AS goal_difference", "38L AS matches_played",
+        "id % 5 AS wins", "id % 7 AS goals_scored",
+    )
+    schema = f"marts_{uuid.uuid4().hex}"
+    create_schema(spark, schema)
+    yield rows, f"{schema}.league"
+    spark.sql(f"DROP SCHEMA {schema} CASCADE")
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_clustered_mart_prunes_and_needs_no_exchange(spark, league):
+    rows, name = league
+    by_season = Clustering("season", ("season", "season_rank"))
+    save_mart(rows, name, clustering=by_season)
+    save_mart(rows, name, clustering=by_season)
+    table = spark.table(name)
+    assert sorted(table.collect()) == sorted(rows.collect())
+    one = table.where("season = '1999/00' AND season_rank <= 4")
+    assert "SelectedBucketsCount: 1 out of 8" in _plan(one.groupBy("season").count()) and one.count() == 4
+    assert "LessThanOrEqual(season_rank,4)" in _plan(one)
+    ranked = Window.partitionBy("season").orderBy("season_rank")
+    for frame in (
+        table.groupBy("season").agg(F.max("points")),
+        table.withColumn("ahead", F.lag("points").over(ranked)),
+        champions(table.sortWithinPartitions("season", "season_rank")).where("season > '1990'").groupBy("season").count(),
+    ):
+        assert "Exchange" not in _plan(frame)
+    # Every file holds whole seasons, in order.
+    held = [r.season_rank for r in table.where("season = '1985/86'").collect()]
+    assert held == sorted(held) and len(held) == 20
+
+
+def test_mart_by_team_answers_without_an_exchange(spark, league):
+    rows, name = league
+    expected = top_teams(rows).collect()
+    save_mart(rows, name)
+    assert "Exchange" in _plan(top_teams(spark.table(name)))
+    save_mart(rows, name, clustering=Clustering("team", ("team", "season_start_year")))
+    table = spark.table(name)
+    assert "Exchange" not in _plan(top_teams(table)) and top_teams(table).collect() == expected
+
+
+def test_clustered_mart_when_a_build_fails_or_is_empty(spark, league):
+    rows, name = league
+    layout = Clustering("season", ("season", "season_rank"))
+    save_mart(rows, name, clustering=layout)
+    failing = rows.withColumn("season_rank", F.when(F.col("points") > 0, F.raise_error(F.lit("no"))).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        save_mart(failing, name, clustering=layout)
+    assert spark.table(name).count() == rows.count()
+    schema = name.split(".")[0]
+    assert [t.name for t in spark.catalog.listTables(schema)] == ["league"]
+    save_mart(rows.limit(0), name, clustering=layout)
+    assert spark.table(name).count() == 0 and spark.table(name).dtypes == rows.dtypes
