@@ -45,14 +45,18 @@ MOST_WORDS, LEAST_COUNT, BEST = 3, 10, 2000
 INSIDE_PERCENT = 50
 #: One bit each: the filter of a level takes 8 MB.
 BUCKETS = 1 << 26
-#: Bytes of keys in a trie. It has at most one node a byte, and 8 bytes a cell.
-TRIE_BYTES = 4 << 20
-#: Tries that one pass over the texts counts by; a task holds them all.
-TRIES_AT_ONCE = 6
-_SHARE = 4
+#: Bytes of keys in a trie. It has at most one node a byte, and 8 bytes a cell; the task that
+#: builds it holds some 100 bytes for each of them, and a worker keeps much of what it held.
+TRIE_BYTES = 1 << 20
+#: Tries that one pass over the texts counts by; a task holds them all. The driver has few at once.
+TRIES_AT_ONCE, _FETCHED_AT_ONCE = 24, 6
+_SHARE = 1
 #: Parts of a filter, of 65,536 buckets each, that a task tells in one batch.
 _PARTS_AT_ONCE = 32
 _TOLD = pa.schema([("part", pa.int64()), ("places", pa.binary()), ("counts", pa.binary())])
+#: Keys of a trie whose counts a task tells in one row, and rows of sums that are given at once.
+_KEYS_TOLD, _SUMS_AT_ONCE = 1 << 12, 1 << 15
+_TOLD_KEYS = pa.schema([("slice", pa.int64()), ("part", pa.int64()), ("lang", pa.string()), *list(_TOLD)[1:]])
 #: Phrases that a task remembers to have named; one that takes another's place is named again.
 _REMEMBERED = 1 << 21
 #: Parts that named phrases are packed in, and the bytes that a task packs at once, about.
@@ -169,11 +173,13 @@ class Named:
         """(part, lang, phrases) of all that was added; then it is empty."""
         part, lang, lengths, raw = map(np.concatenate, zip(*self._found))
         order = np.lexsort((lang, part))
-        starts = np.cumsum(lengths) - lengths
+        # Arrow moves whole phrases: the place of every byte would take many times their memory.
+        offsets = np.r_[0, np.cumsum(lengths)]
+        held = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+        data = held.take(pa.array(order)).buffers()[2].to_pybytes()
         part, lang, lengths = part[order], lang[order], lengths[order]
-        data = raw[_spans(starts[order], lengths)].tobytes()
         first = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (lang[1:] != lang[:-1])])
-        edges = [*(np.cumsum(lengths) - lengths)[first].tolist(), len(data)]
+        edges = [*(np.cumsum(lengths) - lengths)[first].tolist(), int(offsets[-1])]
         names = np.array(list(self._langs), object)
         self._found, self.bytes = [], 0
         return pa.RecordBatch.from_arrays(
@@ -349,7 +355,9 @@ def _tries(candidates: DataFrame, trie_bytes: int) -> tuple[DataFrame, int, np.n
             ["slice", "number", "lang", "phrase", "words", *_ARRAYS],
         )
 
-    wide = F.broadcast(candidates.sparkSession.createDataFrame([(int(w), True) for w in spread], "first long, wide boolean"))
+    # As Arrow data, which needs no Python workers besides those that read the texts.
+    known = pa.table({"first": spread, "wide": np.ones(len(spread), bool)})
+    wide = F.broadcast(candidates.sparkSession.createDataFrame(known, "first long, wide boolean"))
     number = F.when(F.col("wide"), F.xxhash64("lang", "phrase")).otherwise(F.col("first"))
     sliced = candidates.join(wide, "first", "left").withColumn("slice", F.pmod(number, F.lit(slices)))
     packed = sliced.groupBy("slice").applyInArrow(
@@ -360,19 +368,23 @@ def _tries(candidates: DataFrame, trie_bytes: int) -> tuple[DataFrame, int, np.n
     return written(packed, "tries"), slices, spread
 
 
-def _fetched(tries: DataFrame, number: int):
-    """One trie, broadcast. Its arrays come as Arrow data, at most some 10 bytes a node."""
-    arrays = tries.where((F.col("slice") == number) & F.col("base").isNotNull()).select(*_ARRAYS).toArrow()
-    if not len(arrays):
-        return None
-    held = [np.frombuffer(arrays.column(n)[0].as_buffer(), np.int32) for n in _ARRAYS]
-    return tries.sparkSession.sparkContext.broadcast(held)
+def _fetched(tries: DataFrame, first: int, stop: int) -> dict:
+    """Tries by number, broadcast. Their arrays come as Arrow data, at most some 10 bytes a node."""
+    found = {}
+    for at in range(first, stop, _FETCHED_AT_ONCE):
+        here = F.col("slice").between(at, min(stop, at + _FETCHED_AT_ONCE) - 1) & F.col("base").isNotNull()
+        arrays = tries.where(here).select("slice", *_ARRAYS).toArrow()
+        for row, number in enumerate(arrays.column("slice").to_pylist()):
+            held = [np.frombuffer(arrays.column(n)[row].as_buffer(), np.int32) for n in _ARRAYS]
+            found[number] = tries.sparkSession.sparkContext.broadcast(held)
+    return found
 
 
 def _counts(texts: DataFrame, tries: dict, slices: int, spread: np.ndarray, with_totals: bool) -> DataFrame:
-    """(slice, number, lang, n): how often the keys of the tries occur, task by task.
+    """(slice, number, lang, n): how often the keys of the tries occur, those that do.
 
-    With totals, rows of a language without slice and number count its words.
+    With totals, rows of a language without slice count its words. A task tells its counts
+    packed, a row for ``_KEYS_TOLD`` keys; they are added up as they are read.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,18 +407,62 @@ def _counts(texts: DataFrame, tries: dict, slices: int, spread: np.ndarray, with
                     trie, words.buffer, words.starts[known], states[known], _SPACE, last, len(totals[k])
                 )
         for k, total in totals.items():
-            found = np.flatnonzero(total)
-            yield _count_rows(np.full(len(found), k), found, [None] * len(found), total[found])
-        if with_totals:
-            yield _count_rows([None] * len(all_words), [None] * len(all_words), list(all_words), list(all_words.values()))
-
-    rows = texts.mapInArrow(count, "slice long, number long, lang string, n long")
-    return rows.groupBy("slice", "number", "lang").agg(F.sum("n").alias("n"))
+            yield _told_counts(total, k)
+        for lang, n in all_words.items() if with_totals else ():
+            yield _told_counts(np.array([n]), None, lang)
+
+    keys = ["slice", "part", "lang"]
+    told = texts.mapInArrow(count, "slice long, part long, lang string, places binary, counts binary")
+    return told.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+        _summed, "slice long, number long, lang string, n long"
+    )
 
 
-def _count_rows(*columns) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int64(), pa.string(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["slice", "number", "lang", "n"])
+def _told_counts(counts: np.ndarray, number: int | None, lang: str | None = None) -> pa.RecordBatch:
+    """Counts in parts: which keys of the part occur and how often, in as few bytes as hold it."""
+    told = []
+    for part, at in enumerate(range(0, len(counts), _KEYS_TOLD)):
+        held = counts[at : at + _KEYS_TOLD]
+        # A language may have no word at all, and is told all the same.
+        places = np.flatnonzero(held) if lang is None else np.arange(len(held))
+        if len(places):
+            held = held[places]
+            kind = np.min_scalar_type(int(held.max())).newbyteorder("<")
+            told.append((number, part, lang, places.astype("<u2").tobytes(), held.astype(kind).tobytes()))
+    return pa.RecordBatch.from_pylist([dict(zip(_TOLD_KEYS.names, row)) for row in told], _TOLD_KEYS)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(slice, number, lang, n) from told parts, those of a key one after the other."""
+    now, sums, found = None, np.zeros(_KEYS_TOLD, np.int64), []
+
+    def add_up() -> None:
+        number, part, lang = now
+        places = np.flatnonzero(sums) if lang is None else np.zeros(1, np.int64)
+        found.append(pa.RecordBatch.from_arrays(
+            [pa.array([number] * len(places), pa.int64()), pa.array(part * _KEYS_TOLD + places),
+             pa.array([lang] * len(places), pa.string()), pa.array(sums[places])],
+            ["slice", "number", "lang", "n"],
+        ))
+
+    def given() -> pa.RecordBatch:
+        whole = pa.Table.from_batches(found).combine_chunks().to_batches()[0]
+        found.clear()
+        return whole
+
+    for batch in batches:
+        for *key, places, counts in zip(*(column.to_pylist() for column in batch.columns)):
+            if key != now:
+                if now is not None:
+                    add_up()
+                    if sum(map(len, found)) >= _SUMS_AT_ONCE:
+                        yield given()
+                now, sums = key, np.zeros(_KEYS_TOLD, np.int64)
+            places = np.frombuffer(places, "<u2")
+            sums[places] += np.frombuffer(counts, f"<u{len(counts) // len(places)}").astype(np.int64)
+    if now is not None:
+        add_up()
+        yield given()
 
 
 def phrase_counts(
@@ -429,7 +485,7 @@ def phrase_counts(
     named, slices, spread = _tries(candidates, trie_bytes)
     counts = []
     for at in range(0, slices, TRIES_AT_ONCE):
-        tries = {k: trie for k in range(at, min(slices, at + TRIES_AT_ONCE)) if (trie := _fetched(named, k))}
+        tries = _fetched(named, at, min(slices, at + TRIES_AT_ONCE))
         counts.append(written(_counts(texts, tries, slices, spread, at == 0), "trie-counts"))
         for trie in tries.values():
             trie.unpersist()

@@ -24,7 +24,8 @@ def looked_up(rows: DataFrame, table: DataFrame, on: list[str], share: int = HEA
         rows.groupBy(*on).count().where(F.col("count") > max(1, total // share)).select(*on)
     )
     # Proven bound: more than total / share rows each, so at most ``share`` keys.
-    heavy = rows.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
+    # As Arrow data, so that no Python workers are started for them.
+    heavy = rows.sparkSession.createDataFrame(heavy.toArrow(), heavy.schema)
     known = F.broadcast(heavy.withColumn(heavy_name, F.lit(True)))
     marked = rows.join(known, on, "left")
     few = table.join(F.broadcast(heavy), on, "left_semi")

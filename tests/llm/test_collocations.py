@@ -2,12 +2,16 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from matchstats.llm.collocations import best_collocations, phrase_counts, score_phrases
+from matchstats.llm.collocations import (
+    Named, Pieces, _summed, _told_counts, best_collocations, phrase_counts, score_phrases,
+)
 from matchstats.llm.double_array import build, counted
 
 SCHEMA = "doc_id long, text string, lang string, n string"
@@ -137,3 +141,43 @@ def test_counting_stops_at_the_end_of_a_piece():
     last[[5, 7]] = True
     counts = counted(trie, buffer, np.array([0, 2, 4, 6]), np.zeros(4, np.int32), 0x20, last, 3)
     assert counts.tolist() == [2, 1, 2]
+
+
+def test_counts_are_told_in_few_rows():
+    """A task tells a row for many keys, whatever its counts, and sums come back whole."""
+    draw = np.random.default_rng(5)
+    many = [draw.integers(0, 3, 100_000), draw.integers(0, 70_000, 100_000), draw.integers(0, 1 << 40, 100_000)]
+    told = [_told_counts(counts, 7) for counts in many]
+    assert max(batch.num_rows for batch in told) <= 25
+    told += [_told_counts(np.array([n]), None, lang) for lang, n in [("en", 5), ("fr", 0), ("en", 1 << 33)]]
+    rows = sorted((r for batch in told for r in batch.to_pylist()), key=lambda r: (r["slice"] or -1, r["part"], r["lang"] or ""))
+    batches = [pa.RecordBatch.from_pylist(rows[at : at + 10], told[0].schema) for at in range(0, len(rows), 10)]
+    found = [r for batch in _summed(iter(batches)) for r in batch.to_pylist()]
+    whole = sum(many)
+    assert {r["number"]: r["n"] for r in found if r["slice"] == 7} == {k: n for k, n in enumerate(whole.tolist()) if n}
+    assert sorted((r["lang"], r["n"]) for r in found if r["slice"] is None) == [("en", 5 + (1 << 33)), ("fr", 0)]
+    assert list(_summed(iter([]))) == []
+
+
+def test_named_phrases_are_packed_in_little_memory():
+    """A task packs some 16 MB at once, next to another on its executor."""
+    draw = random.Random(6)
+    text = " ".join("".join(draw.choices("abcdefgh", k=9)) for _ in range(100_000)).encode()
+    rows = pa.RecordBatch.from_pydict({"lang": ["en"], "text": [text.decode()]})
+    pieces, named = Pieces(rows, np.frombuffer(text, np.uint8), np.array([0, len(text)])), Named()
+    for size in (3, 2):
+        of = pieces.grams(size)
+        hashes = pieces.hashes(size, of)
+        named.add(pieces, size, of, hashes)
+    size, expected = named.bytes, Counter()
+    for words in (3, 2):
+        split = text.split(b" ")
+        expected.update(b" ".join(split[at : at + words]) for at in range(len(split) - words + 1))
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    packed = named.packed()
+    peak = tracemalloc.get_traced_memory()[1] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert peak < 8 * size
+    assert Counter(p for r in packed.to_pylist() for p in r["phrases"].split(b"\n")[:-1]) == expected
+    assert sorted(r["part"] for r in packed.to_pylist()) == [r["part"] for r in packed.to_pylist()]
