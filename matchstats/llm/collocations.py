@@ -2,16 +2,20 @@
 
 Texts are lower-cased (A-Z), cut into pieces at punctuation and line ends, and pieces into
 words; a phrase lies within one piece. Every phrase is counted, words included, by double-array
-tries of candidates: numpy reads all word places of a chunk at once, a byte a level, and
-bincounts the accepting states; the sums of the tasks are added up.
+tries of candidates: numpy reads all word places of a slice at once, a byte a level, and
+bincounts the accepting states.
 
 Candidates are Apriori-safe: a phrase is one only if both phrases that lack its first or
 last word may be frequent, and it may be itself. What may be frequent is kept as one bit
 for each of a fixed number of hash buckets, set where the bucket's phrases occur often
 enough together; so the filter of a level is broadcast at a fixed size, no frequent phrase
 is ever left out, and others that share a bucket are found out by their exact counts.
-Candidates are cut into tries of a bounded number of bytes by a hash of their first word,
-so that each place is read in one trie only; a pass over the texts counts by several.
+The texts are read once for each level and once more for the places where candidates begin.
+These are told with the longest candidate there, equal ones together with their count, and cut
+into slices by a hash of its first two words, so that a task holds whole slices. It filters them
+once more, by all bits of a hash, cuts what may still be frequent into tries of a bounded number
+of bytes, and reads each place in one of them. So neither passes over the texts nor what a task
+holds grow with the number of candidates.
 
 A null text is empty, a null language is ``und``. Texts without words add nothing; an empty
 table gives no rows. Repeated rows count again. Ids and other columns are not read.
@@ -19,14 +23,13 @@ table gives no rows. Repeated rows count again. Ids and other columns are not re
 Keys that many rows share (a common word, a language) are counted on the map side first,
 looked up by broadcast where they are heavy, and cut to the rows wanted before a language's
 best phrases meet. With far more frequent phrases than buckets the filter lets most
-phrases pass, and with very many candidates there are many passes: choose the sizes by
-the memory of a task.
+phrases pass, and places are told nearly whole: up to three times the bytes of the texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchstats.llm.double_array import DoubleArray, build, counted
+from matchstats.llm.double_array import build, counted
 from matchstats.llm.joins import looked_up
 from matchstats.llm.tables import written
 from matchstats.llm.textbytes import SpanHash, Words, chunks, mixed, powers
@@ -45,23 +48,20 @@ MOST_WORDS, LEAST_COUNT, BEST = 3, 10, 2000
 INSIDE_PERCENT = 50
 #: One bit each: the filter of a level takes 8 MB.
 BUCKETS = 1 << 26
-#: Bytes of keys in a trie. It has at most one node a byte, and 8 bytes a cell; the task that
-#: builds it holds some 100 bytes for each of them, and a worker keeps much of what it held.
+#: Bytes of keys in a trie, which it exceeds only where hashes are uneven. It has at most one node a
+#: byte, and 8 bytes a cell; the task that builds it holds some 100 bytes for each of them.
 TRIE_BYTES = 1 << 20
-#: Tries that one pass over the texts counts by; a task holds them all. The driver has few at once.
-TRIES_AT_ONCE, _FETCHED_AT_ONCE = 24, 6
-_SHARE = 1
 #: Parts of a filter, of 65,536 buckets each, that a task tells in one batch.
 _PARTS_AT_ONCE = 32
 _TOLD = pa.schema([("part", pa.int64()), ("places", pa.binary()), ("counts", pa.binary())])
-#: Keys of a trie whose counts a task tells in one row, and rows of sums that are given at once.
+#: Keys whose counts are told in one row, and rows of sums that are given at once.
 _KEYS_TOLD, _SUMS_AT_ONCE = 1 << 12, 1 << 15
 _TOLD_KEYS = pa.schema([("slice", pa.int64()), ("part", pa.int64()), ("lang", pa.string()), *list(_TOLD)[1:]])
-#: Phrases that a task remembers to have named; one that takes another's place is named again.
-_REMEMBERED = 1 << 21
-#: Parts that named phrases are packed in, and the bytes that a task packs at once, about.
-_NAME_PARTS, _NAMED_BYTES = 512, 16 << 20
-CHUNK = 1 << 20
+#: Bytes of phrases that a task packs at once, about, and phrases that it adds to them at once.
+_NAMED_BYTES, _NAMED_AT_ONCE = 8 << 20, 1 << 17
+#: Bytes of told places that are read together, about, and the least number of slices they are told in.
+_READ_BYTES, _LEAST_PARTS = 8 << 20, 1 << 8
+CHUNK = 1 << 19
 _UNKNOWN = "und"
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 _SPACE, _BREAK = 0x20, 0x0A
@@ -131,17 +131,31 @@ class Pieces:
         raw[np.cumsum(lengths) - 1] = _BREAK
         return raw, lengths
 
-    def first_words(self, of: np.ndarray) -> np.ndarray:
-        """A number for the word, and its language, that is there."""
-        return self._hashes[of].view(np.int64)
+    def distinct_words(self) -> tuple[np.ndarray, np.ndarray]:
+        """A place of each word of each language, and how often it occurs."""
+        if not len(self.joined):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return _distinct(np.diff(np.r_[self.words.starts, len(self.words.buffer)]), self.words.buffer, self.lang)
 
 
-def _word_numbers(lang: str, words: list[bytes]) -> np.ndarray:
-    """What ``first_words`` gives for these words."""
-    ends = np.cumsum([len(word) for word in words])
-    starts = np.concatenate([[0], ends[:-1]])
-    hashes = SpanHash(np.frombuffer(b"".join(words), np.uint8))(starts, ends)
-    return mixed(hashes ^ _seed(lang)).view(np.int64)
+def _values(lengths: np.ndarray, raw: np.ndarray) -> pa.Array:
+    offsets = np.r_[0, np.cumsum(lengths)]
+    return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+
+
+def _distinct(
+    lengths: np.ndarray, raw: np.ndarray, lang: np.ndarray, times: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each of the values, which lie one after the other, by language, and how often it occurs."""
+    langs = int(lang.max()) + 1
+    numbers = _values(lengths, raw).dictionary_encode().indices.to_numpy() * np.int64(langs) + lang
+    if numbers.max() > 4 * langs + 4 * len(numbers):
+        numbers = pa.array(numbers).dictionary_encode().indices.to_numpy()
+    counts = np.bincount(numbers, times).astype(np.int64)
+    places = np.zeros(len(counts), np.int64)
+    places[numbers] = np.arange(len(numbers))
+    met = np.flatnonzero(counts)
+    return places[met], counts[met]
 
 
 def _seed(lang: str) -> np.uint64:
@@ -157,38 +171,49 @@ def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class Named:
     """Phrases that a task has found, packed by part and language."""
 
-    def __init__(self):
+    def __init__(self, parts: int = 1 << 9):
         self.bytes = 0
+        self._parts = parts
         self._langs: dict[str, int] = {}
         self._found: list[tuple[np.ndarray, ...]] = []
 
-    def add(self, pieces: Pieces, size: int, of: np.ndarray, hashes: np.ndarray) -> None:
+    def add(
+        self, pieces: Pieces, size: int, of: np.ndarray, hashes: np.ndarray, times: np.ndarray | None = None
+    ) -> None:
+        """Their parts go by the hashes; those of single words follow the others."""
         raw, lengths = pieces.phrases(size, of)
-        codes = np.array([self._langs.setdefault(lang, len(self._langs)) for lang in pieces.langs], np.int64)
-        part = ((hashes >> np.uint64(32)) % np.uint64(_NAME_PARTS)).astype(np.int64)
-        self._found.append((part, codes[pieces.lang[of]], lengths, raw))
+        codes = np.array([self._langs.setdefault(lang, len(self._langs)) for lang in pieces.langs], np.int32)
+        part = (hashes >> np.uint64(32)) % np.uint64(self._parts) + np.uint64(self._parts * (size == 1))
+        times = np.ones(len(of), np.int32) if times is None else times.astype(np.int32)
+        self._found.append((part.astype(np.int32), codes[pieces.lang[of]], lengths.astype(np.int32), raw, times))
         self.bytes += len(raw)
 
     def packed(self) -> pa.RecordBatch:
-        """(part, lang, phrases) of all that was added; then it is empty."""
-        part, lang, lengths, raw = map(np.concatenate, zip(*self._found))
-        order = np.lexsort((lang, part))
+        """(part, lang, phrases, counts) of all that was added, each phrase once; then it is empty."""
+        part, lang, lengths, raw, times = map(np.concatenate, zip(*self._found))
+        self._found, self.bytes = [], 0
+        places, times = _distinct(lengths, raw, lang, times)
+        order = np.lexsort((lang[places], part[places]))
+        places, times = places[order], times[order]
         # Arrow moves whole phrases: the place of every byte would take many times their memory.
-        offsets = np.r_[0, np.cumsum(lengths)]
-        held = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
-        data = held.take(pa.array(order)).buffers()[2].to_pybytes()
-        part, lang, lengths = part[order], lang[order], lengths[order]
-        first = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (lang[1:] != lang[:-1])])
-        edges = [*(np.cumsum(lengths) - lengths)[first].tolist(), int(offsets[-1])]
+        data = _values(lengths, raw).take(pa.array(places)).buffers()[2]
+        part, lang, lengths = part[places], lang[places], lengths[places]
+        edges = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (lang[1:] != lang[:-1]), True])
+        ends = np.r_[0, np.cumsum(lengths)][edges].astype(np.int32)
         names = np.array(list(self._langs), object)
-        self._found, self.bytes = [], 0
         return pa.RecordBatch.from_arrays(
-            [pa.array(part[first]), pa.array(names[lang[first]], pa.string()),
-             pa.array([data[a:b] for a, b in zip(edges, edges[1:])], pa.binary())],
-            ["part", "lang", "phrases"],
+            [pa.array(part[edges[:-1]].astype(np.int64)), pa.array(names[lang[edges[:-1]]], pa.string()),
+             pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(ends), data]),
+             pa.array([_least_bytes(times[a:b]) for a, b in zip(edges, edges[1:])], pa.binary())],
+            ["part", "lang", "phrases", "counts"],
         )
 
 
+def _least_bytes(counts: np.ndarray) -> bytes:
+    """Counts, in as few bytes each as hold them."""
+    return counts.astype(np.min_scalar_type(int(counts.max())).newbyteorder("<")).tobytes()
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Pieces]:
     for rows, data, offsets in chunks(batches, "text", CHUNK):
         yield Pieces(rows, data, offsets)
@@ -261,161 +286,187 @@ def _frequent_buckets(texts: DataFrame, size: int, filters: list, buckets: int,
     return whole
 
 
-def _remembered(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(8)) % np.uint64(_REMEMBERED)
+def _told(texts: DataFrame, sizes: int, filters: list, buckets: int, parts: int) -> DataFrame:
+    """(slice, part, lang, places, counts): what begins at the places of the texts, packed.
 
+    A place is told once, with the longest candidate that begins there; shorter ones are its
+    beginnings. Its slice goes by its first two words, so that all a candidate's places meet.
+    Words that may be frequent are told too, at all their places, in slices of their own.
+    Rows without slice count the words of a language.
+    """
 
-def _candidates(texts: DataFrame, sizes: int, filters: list, buckets: int) -> DataFrame:
-    """(lang, phrase, words, first), each once; ``first`` is a number for its first word.
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, all_words = Named(parts), {}
 
-    A task names a phrase about once, packed with others of its part; parts go by the hash of
-    the phrase, so that no word's phrases meet in one task.
-    """
+        def packed() -> pa.RecordBatch:
+            rows = found.packed()
+            slices, lang, places, counts = rows.columns
+            none = pa.array(np.zeros(len(rows), np.int64))
+            return pa.RecordBatch.from_arrays([slices, none, lang, places, counts], _TOLD_KEYS.names)
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, named = np.zeros(_REMEMBERED, np.uint64), Named()
         for pieces in _pieces(batches):
-            needed = np.zeros(len(pieces.joined), bool)
-            for size in range(sizes, 0, -1):
-                if size > 1:
-                    of = _may_be_frequent(pieces, size, filters, buckets)
-                    of = of[_set(filters[size - 1].value, pieces.buckets(size, of, buckets))]
-                    for k in range(size):
-                        needed[of + k] = True
-                else:
-                    # Words are counted where they are part of a candidate.
-                    of = np.flatnonzero(needed)
-                # Odd, as zero stands for an empty place.
-                hashes = pieces.hashes(size, of) | np.uint64(1)
-                new = seen[_remembered(hashes)] != hashes
-                hashes, at = np.unique(hashes[new], return_index=True)
-                seen[_remembered(hashes)] = hashes
-                if len(at):
-                    named.add(pieces, size, of[new][at], hashes)
-            if named.bytes > _NAMED_BYTES:
-                yield named.packed()
-        if named.bytes:
-            yield named.packed()
-
-    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def united() -> Iterator[pa.RecordBatch]:
-            for lang, phrases in met.items():
-                phrases = sorted(phrases)
-                words = [phrase.count(_SPACE) + 1 for phrase in phrases]
-                first = _word_numbers(lang, [phrase.split(b" ", 1)[0] for phrase in phrases])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()),
-                     pa.array(words, pa.int32()), pa.array(first)],
-                    ["lang", "phrase", "words", "first"],
-                )
+            longest = np.zeros(len(pieces.joined), np.int8)
+            for size in range(2, sizes + 1):
+                of = _may_be_frequent(pieces, size, filters, buckets)
+                longest[of[_set(filters[size - 1].value, pieces.buckets(size, of, buckets))]] = size
+            words, times = pieces.distinct_words()
+            may = _set(filters[0].value, pieces.buckets(1, words, buckets))
+            met = [(size, np.flatnonzero(longest == size), None) for size in range(2, sizes + 1)]
+            for size, of, times in [*met, (1, words[may], times[may])]:
+                # Also of a text that is far longer than a chunk, not much is held at once.
+                for at in range(0, len(of), _NAMED_AT_ONCE):
+                    part = slice(at, at + _NAMED_AT_ONCE)
+                    hashes = pieces.hashes(min(size, 2), of[part])
+                    found.add(pieces, size, of[part], hashes, None if times is None else times[part])
+                    if found.bytes > _NAMED_BYTES:
+                        yield packed()
+            for lang, n in zip(pieces.langs, np.bincount(pieces.lang, minlength=len(pieces.langs)).tolist()):
+                all_words[lang] = all_words.get(lang, 0) + n
+        if found.bytes:
+            yield packed()
+        for lang, n in all_words.items():
+            yield _told_counts(np.array([n]), None, lang)
 
-        now, met = None, {}
-        for batch in batches:
-            for part, lang, phrases in zip(*(column.to_pylist() for column in batch.columns)):
-                if part != now:
-                    yield from united()
-                    now, met = part, {}
-                met.setdefault(lang, set()).update(phrases.split(bytes([_BREAK]))[:-1])
-        yield from united()
-
-    named = texts.mapInArrow(find, "part long, lang string, phrases binary")
-    return named.repartition("part").sortWithinPartitions("part").mapInArrow(
-        unite, "lang string, phrase string, words int, first long"
-    )
+    return texts.mapInArrow(tell, "slice long, part long, lang string, places binary, counts binary")
 
 
-def _key(lang: str, phrase: str) -> bytes:
-    """A trie's key: no word holds the byte behind the language, every word ends with a space."""
-    return lang.encode() + bytes([_BREAK]) + phrase.encode() + bytes([_SPACE])
+def _counted(told: DataFrame, parts: int, least: int, trie_bytes: int) -> DataFrame:
+    """(lang, phrase, words, n): the candidates with n >= least, counted by tries."""
+    slices = told.repartition("slice").sortWithinPartitions("slice", "part", "lang")
+    return slices.mapInArrow(
+        lambda batches: _read(batches, parts, least, trie_bytes), "lang string, phrase string, words int, n long"
+    )
 
 
-def _tries(candidates: DataFrame, trie_bytes: int) -> tuple[DataFrame, int, np.ndarray]:
-    """Candidates with their trie and number in it; the first of each trie carries the arrays.
+def _read(
+    batches: Iterator[pa.RecordBatch], parts: int, least: int, trie_bytes: int, read_bytes: int = _READ_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Counts of whole slices that come one after the other. Several small ones are read together.
 
-    A phrase's trie follows from its first word, so that a place is read in one trie, however
-    many there are. Only phrases of a word that has a great part of a trie to itself are
-    spread over all; those few words come third.
+    Of a large slice, places that other tasks told too are put together as they come, so that
+    what is held grows with its phrases, not with the texts.
     """
-    size = F.octet_length("lang") + F.octet_length("phrase") + F.lit(2)
-    total = candidates.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
-    slices = max(1, -(-total // trie_bytes))
-    # At most _SHARE for each trie.
-    of_words = candidates.groupBy("first").agg(F.sum(size).alias("bytes"))
-    heavy = of_words.where(F.col("bytes") > trie_bytes // _SHARE).select("first").collect() if slices > 1 else []
-    spread = np.sort(np.array([r["first"] for r in heavy], np.int64))
-
-    def pack(table: pa.Table) -> pa.Table:
-        keyed = sorted(zip(map(_key, *(table.column(n).to_pylist() for n in ("lang", "phrase"))), range(len(table))))
-        table = table.take([row for _, row in keyed])
-        trie = build([key for key, _ in keyed])
-        arrays = [trie.base, trie.check, trie.ends, trie.numbers]
-        held = [pa.array([a.tobytes(), *[None] * (len(table) - 1)], pa.binary()) for a in arrays]
-        return pa.table(
-            [table.column("slice"), pa.array(np.arange(len(table))), *(table.column(n) for n in ("lang", "phrase", "words")), *held],
-            ["slice", "number", "lang", "phrase", "words", *_ARRAYS],
-        )
+    totals, held, size, most, now = [], {}, 0, 2 * read_bytes, None
 
-    # As Arrow data, which needs no Python workers besides those that read the texts.
-    known = pa.table({"first": spread, "wide": np.ones(len(spread), bool)})
-    wide = F.broadcast(candidates.sparkSession.createDataFrame(known, "first long, wide boolean"))
-    number = F.when(F.col("wide"), F.xxhash64("lang", "phrase")).otherwise(F.col("first"))
-    sliced = candidates.join(wide, "first", "left").withColumn("slice", F.pmod(number, F.lit(slices)))
-    packed = sliced.groupBy("slice").applyInArrow(
-        pack,
-        "slice long, number long, lang string, phrase string, words int, "
-        + ", ".join(f"{name} binary" for name in _ARRAYS),
+    def group() -> Iterator[pa.RecordBatch]:
+        for lang, rows in held.items():
+            yield from _by_tries(lang, _Places(lang, rows), 1 if now >= parts else 2, least, trie_bytes)
+
+    for batch in batches:
+        sliced = batch.column("slice").is_valid()
+        if not pc.all(sliced).as_py():
+            totals.append(batch.filter(pc.invert(sliced)))
+        for number, _, lang, places, counts in zip(*(c.to_pylist() for c in batch.filter(sliced).columns)):
+            # Words and longer phrases are not read together: phrases begin with words.
+            if number != now and now is not None and (size > read_bytes or (number >= parts) != (now >= parts)):
+                yield from group()
+                held, size, most = {}, 0, 2 * read_bytes
+            now = number
+            held.setdefault(lang, []).append((places, counts))
+            size += len(places)
+            if size > most:
+                held = {lang: [_together(rows)] for lang, rows in held.items()}
+                size = sum(len(places) for ((places, _),) in held.values())
+                most = 2 * max(size, read_bytes)
+    yield from group()
+    for sums in _summed(iter(totals)):
+        yield _frequent(sums.column("lang"), [""] * len(sums), np.zeros(len(sums)), sums.column("n"))
+
+
+def _together(rows: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+    """Told places as one row, equal ones once with the sum of their counts."""
+    raw = np.frombuffer(b"".join(places for places, _ in rows), np.uint8)
+    lengths = np.diff(np.r_[0, np.flatnonzero(raw == _BREAK) + 1])
+    times = np.concatenate([_unpacked(counts, places.count(_BREAK)) for places, counts in rows])
+    places, times = _distinct(lengths, raw, np.zeros(len(lengths), np.int64), times)
+    return _values(lengths, raw).take(pa.array(places)).buffers()[2].to_pybytes(), _least_bytes(times)
+
+
+def _frequent(lang: pa.Array, phrases: list, words: np.ndarray, n: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [lang, pa.array(phrases, pa.string()), pa.array(words.astype(np.int32)), n], ["lang", "phrase", "words", "n"]
     )
-    return written(packed, "tries"), slices, spread
 
 
-def _fetched(tries: DataFrame, first: int, stop: int) -> dict:
-    """Tries by number, broadcast. Their arrays come as Arrow data, at most some 10 bytes a node."""
-    found = {}
-    for at in range(first, stop, _FETCHED_AT_ONCE):
-        here = F.col("slice").between(at, min(stop, at + _FETCHED_AT_ONCE) - 1) & F.col("base").isNotNull()
-        arrays = tries.where(here).select("slice", *_ARRAYS).toArrow()
-        for row, number in enumerate(arrays.column("slice").to_pylist()):
-            held = [np.frombuffer(arrays.column(n)[row].as_buffer(), np.int32) for n in _ARRAYS]
-            found[number] = tries.sparkSession.sparkContext.broadcast(held)
-    return found
+class _Places:
+    """Told places of a language: phrases one after the other, each with its count."""
 
+    def __init__(self, lang: str, rows: list[tuple[bytes, bytes]]):
+        self.buffer = np.frombuffer(b"".join(places for places, _ in rows), np.uint8).copy()
+        self.last = self.buffer == _BREAK
+        ends = np.flatnonzero(self.last)
+        self.starts = np.r_[0, ends[:-1] + 1]
+        self.buffer[ends] = _SPACE
+        self.spaces = np.flatnonzero(self.buffer == _SPACE)
+        #: Where the spaces of each phrase begin, and how many it has: one behind each word.
+        self._first = np.searchsorted(self.spaces, self.starts)
+        self.words = np.diff(np.r_[self._first, len(self.spaces)])
+        self.times = np.concatenate([_unpacked(counts, places.count(_BREAK)) for places, counts in rows])
+        self._seed = _seed(lang)
 
-def _counts(texts: DataFrame, tries: dict, slices: int, spread: np.ndarray, with_totals: bool) -> DataFrame:
-    """(slice, number, lang, n): how often the keys of the tries occur, those that do.
+    def ends(self, size: int, of: np.ndarray) -> np.ndarray:
+        """Behind the first words of these phrases."""
+        return self.spaces[self._first[of] + size - 1] + 1
 
-    With totals, rows of a language without slice count its words. A task tells its counts
-    packed, a row for ``_KEYS_TOLD`` keys; they are added up as they are read.
-    """
+    def hashes(self, size: int, of: np.ndarray) -> np.ndarray:
+        """Of the first words of these phrases."""
+        starts, ends = self.starts[of], self.ends(size, of)
+        found, at = np.zeros(len(of), np.uint64), 0
+        while at < len(of):
+            # About a chunk of text at once, as hashing takes many bytes for each.
+            stop = max(at + 1, int(np.searchsorted(ends, starts[at] + CHUNK, "right")))
+            hashed = ChunkHash(self.buffer[starts[at] : ends[stop - 1]])
+            found[at:stop] = hashed(starts[at:stop] - starts[at], ends[at:stop] - starts[at])
+            at = stop
+        return mixed(found ^ self._seed)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {k: DoubleArray(*trie.value) for k, trie in tries.items()}
-        totals = {k: np.zeros(len(trie.ends), np.int64) for k, trie in held.items()}
-        all_words: dict[str, int] = {}
-        for pieces in _pieces(batches):
-            words = pieces.words
-            last = np.zeros(len(words.buffer), bool)
-            last[words.ends[~pieces.joined]] = True
-            for lang, n in zip(pieces.langs, np.bincount(pieces.lang, minlength=len(pieces.langs)).tolist()):
-                all_words[lang] = all_words.get(lang, 0) + n
-            first = pieces.first_words(np.arange(len(words.starts)))
-            own, wide = first % slices, np.isin(first, spread)
-            for k, trie in held.items():
-                roots = np.array([trie.walk(lang.encode() + bytes([_BREAK])) for lang in pieces.langs], np.int32)
-                states = roots[pieces.lang] if len(roots) else roots
-                known = (states >= 0) & ((own == k) | wide)
-                totals[k] += counted(
-                    trie, words.buffer, words.starts[known], states[known], _SPACE, last, len(totals[k])
-                )
-        for k, total in totals.items():
-            yield _told_counts(total, k)
-        for lang, n in all_words.items() if with_totals else ():
-            yield _told_counts(np.array([n]), None, lang)
 
-    keys = ["slice", "part", "lang"]
-    told = texts.mapInArrow(count, "slice long, part long, lang string, places binary, counts binary")
-    return told.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
-        _summed, "slice long, number long, lang string, n long"
-    )
+def _unpacked(counts: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(counts, f"<u{len(counts) // count}").astype(np.int64)
+
+
+def _by_tries(lang: str, told: _Places, shortest: int, least: int, trie_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Frequent beginnings of told phrases, of ``shortest`` words or more, counted by tries.
+
+    Beginnings that share a hash are filtered together once more, so that tries hold little
+    but frequent phrases. Tries are cut by the hash of the shortest beginning, so that a
+    phrase is read in one of them only.
+    """
+    keys, of, group = [], np.flatnonzero(told.words >= shortest), np.zeros(len(told.words), np.uint64)
+    read = None
+    for size in range(shortest, int(told.words.max(initial=0)) + 1):
+        of = of[told.words[of] >= size]
+        found, first, each = np.unique(told.hashes(size, of), return_index=True, return_inverse=True)
+        may = np.bincount(each, told.times[of], len(found)) >= least
+        if size == shortest:
+            group[of] = found[each]
+            read = of[may[each]]
+        keys.append((size, of[first[may]]))
+        # What begins with a rare phrase is as rare.
+        of = of[may[each]]
+    key_bytes = sum(int((told.ends(size, named) - told.starts[named]).sum()) for size, named in keys)
+    tries = np.uint64(max(1, -(-key_bytes // trie_bytes)))
+    group %= tries
+    for number in range(int(tries)):
+        places = read[group[read] == number]
+        if not len(places):
+            continue
+        named = sorted(
+            (told.buffer[a:b].tobytes(), size)
+            for size, these in ((size, these[group[these] == number]) for size, these in keys)
+            for a, b in zip(told.starts[these].tolist(), told.ends(size, these).tolist())
+        )
+        phrases = [phrase for phrase, _ in named]
+        counts = counted(
+            build(phrases), told.buffer, told.starts[places], np.zeros(len(places), np.int32), _SPACE, told.last,
+            len(phrases), told.times[places],
+        )
+        frequent = np.flatnonzero(counts >= least)
+        if len(frequent):
+            yield _frequent(
+                pa.array([lang] * len(frequent), pa.string()), [phrases[k][:-1] for k in frequent],
+                np.array([named[k][1] for k in frequent]), pa.array(counts[frequent]),
+            )
 
 
 def _told_counts(counts: np.ndarray, number: int | None, lang: str | None = None) -> pa.RecordBatch:
@@ -426,9 +477,7 @@ def _told_counts(counts: np.ndarray, number: int | None, lang: str | None = None
         # A language may have no word at all, and is told all the same.
         places = np.flatnonzero(held) if lang is None else np.arange(len(held))
         if len(places):
-            held = held[places]
-            kind = np.min_scalar_type(int(held.max())).newbyteorder("<")
-            told.append((number, part, lang, places.astype("<u2").tobytes(), held.astype(kind).tobytes()))
+            told.append((number, part, lang, places.astype("<u2").tobytes(), _least_bytes(held[places])))
     return pa.RecordBatch.from_pylist([dict(zip(_TOLD_KEYS.names, row)) for row in told], _TOLD_KEYS)
 
 
@@ -459,7 +508,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         yield given()
                 now, sums = key, np.zeros(_KEYS_TOLD, np.int64)
             places = np.frombuffer(places, "<u2")
-            sums[places] += np.frombuffer(counts, f"<u{len(counts) // len(places)}").astype(np.int64)
+            sums[places] += _unpacked(counts, len(places))
     if now is not None:
         add_up()
         yield given()
@@ -479,23 +528,14 @@ def phrase_counts(
     for size in range(1, most_words + 1):
         bits = _frequent_buckets(texts, size, filters, buckets, least)
         filters.append(spark.sparkContext.broadcast(bits))
-    candidates = written(_candidates(texts, most_words, filters, buckets), "candidates")
+    # Of a place at most so many bytes are told as its phrases have, if all differ.
+    text_bytes = texts.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
+    parts = max(_LEAST_PARTS, most_words * text_bytes // _READ_BYTES)
+    told = _told(texts, most_words, filters, buckets, parts)
+    counts = written(_counted(told, parts, least, trie_bytes), "phrase-counts")
     for bits in filters:
         bits.unpersist()
-    named, slices, spread = _tries(candidates, trie_bytes)
-    counts = []
-    for at in range(0, slices, TRIES_AT_ONCE):
-        tries = _fetched(named, at, min(slices, at + TRIES_AT_ONCE))
-        counts.append(written(_counts(texts, tries, slices, spread, at == 0), "trie-counts"))
-        for trie in tries.values():
-            trie.unpersist()
-    found = reduce(DataFrame.union, counts)
-    of_phrases = named.select("slice", "number", "lang", "phrase", "words").join(
-        found.drop("lang"), ["slice", "number"]
-    )
-    totals = found.where("slice IS NULL").select("lang", F.lit("").alias("phrase"), F.lit(0).alias("words"), "n")
-    frequent = of_phrases.where(F.col("n") >= least).select("lang", "phrase", "words", "n")
-    return written(frequent.union(totals), "phrase-counts")
+    return counts
 
 
 def _cuts(counts: DataFrame, most_words: int) -> DataFrame:

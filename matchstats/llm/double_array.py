@@ -24,10 +24,15 @@ class DoubleArray:
 
     def accepted(self, states: np.ndarray) -> np.ndarray:
         """The numbers of the keys that end in these states; others end none."""
+        return self.accepting(states)[1]
+
+    def accepting(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the states end a key, and the numbers of the keys they end."""
         if not len(self.ends):
-            return self.numbers
+            return np.zeros(len(states), bool), self.numbers
         at = np.minimum(np.searchsorted(self.ends, states), len(self.ends) - 1)
-        return self.numbers[at[self.ends[at] == states]]
+        ending = self.ends[at] == states
+        return ending, self.numbers[at[ending]]
 
     def step(self, states: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The next states and whether each exists."""
@@ -151,22 +156,27 @@ def _numbered(states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def counted(
     trie: DoubleArray, buffer: np.ndarray, places: np.ndarray, states: np.ndarray,
-    closing: int, last: np.ndarray, keys: int,
+    closing: int, last: np.ndarray, keys: int, times: np.ndarray | None = None,
 ) -> np.ndarray:
     """How often each key is read from the given places, each from its own state.
 
     All places advance together, a byte a level. A key is counted where it ends with the
-    byte ``closing``; behind places marked in ``last`` reading stops.
+    byte ``closing``; behind places marked in ``last`` reading stops. A place counts once, or
+    as many ``times`` as given.
     """
-    accepted = [np.zeros(0, trie.numbers.dtype)]
+    accepted, weights = [np.zeros(0, trie.numbers.dtype)], [np.zeros(0, np.int64)]
+    times = np.ones(len(places), np.int64) if times is None else times
     while len(places):
         symbols = buffer[places]
         states, exists = trie.step(states, symbols.astype(np.int32))
-        places, states, symbols = places[exists], states[exists], symbols[exists]
+        places, states, symbols, times = places[exists], states[exists], symbols[exists], times[exists]
         closed = symbols == closing
-        accepted.append(trie.accepted(states[closed]))
         if closed.any():
+            ending, numbers = trie.accepting(states[closed])
+            accepted.append(numbers)
+            weights.append(times[closed][ending])
             on = ~(closed & last[places])
-            places, states = places[on], states[on]
+            places, states, times = places[on], states[on], times[on]
         places = places + 1
-    return np.bincount(np.concatenate(accepted), minlength=keys)
+    # Sums of whole numbers are exact up to 2^53.
+    return np.bincount(np.concatenate(accepted), np.concatenate(weights), keys).astype(np.int64)

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from matchstats.llm.collocations import (
-    Named, Pieces, _summed, _told_counts, best_collocations, phrase_counts, score_phrases,
+    Named, Pieces, _by_tries, _Places, _read, _summed, _told_counts, best_collocations, phrase_counts, score_phrases,
 )
 from matchstats.llm.double_array import build, counted
 
@@ -73,6 +73,65 @@ def test_all_sizes_give_the_same_counts(spark, rows, buckets, trie_bytes):
     assert {(r.lang, r.phrase): (r.a, r.l, r.r, r.score) for r in best.collect()} == scored
 
 
+def test_texts_are_read_as_often_whatever_the_number_of_tries(spark, rows):
+    """Also where candidates fill hundreds of tries, a text is read for each level, once to count, once for its size."""
+    read = {}
+    for trie_bytes in (30, 1 << 20):
+        texts = spark.sparkContext.accumulator(0)
+
+        def passed(batches, texts=texts):
+            for batch in batches:
+                texts.add(batch.num_rows)
+                yield batch
+
+        frame = spark.createDataFrame(rows, SCHEMA).mapInArrow(passed, SCHEMA)
+        found = phrase_counts(frame, trie_bytes=trie_bytes, buckets=1 << 12, least=2)
+        read[trie_bytes] = texts.value / len(rows), sorted(map(tuple, found.collect()))
+    assert read[30] == read[1 << 20]
+    assert read[30][0] <= 5
+
+
+def test_told_places_are_counted_by_many_tries():
+    """Beginnings of told phrases count as often as told, in tries of few bytes too."""
+    draw = random.Random(8)
+    told = Counter(tuple(draw.choices(["a", "bb", "c", "日"], k=draw.randint(2, 4))) for _ in range(400))
+    expected = Counter()
+    for phrase, times in told.items():
+        for size in range(2, len(phrase) + 1):
+            expected[" ".join(phrase[:size])] += 300 * times
+    # Told twice, by two tasks.
+    blob = "".join(" ".join(phrase) + "\n" for phrase in told).encode()
+    counts = [np.array([part * n for n in told.values()], "<u2").tobytes() for part in (100, 200)]
+    for least, trie_bytes in ((1, 1 << 20), (1, 20), (3000, 20)):
+        places = _Places("en", [(blob, counts[0]), (blob, counts[1])])
+        rows = [r for batch in _by_tries("en", places, 2, least, trie_bytes) for r in batch.to_pylist()]
+        assert {r["phrase"]: r["n"] for r in rows} == {k: n for k, n in expected.items() if n >= least}
+        assert len(rows) == len({r["phrase"] for r in rows}) and {r["lang"] for r in rows} == {"en"}
+        assert all(r["words"] == len(r["phrase"].split(" ")) for r in rows)
+
+
+def test_a_large_slice_is_held_once():
+    """What many tasks told of the same two words is put together before it is read."""
+    text = " ".join(f"of the x{k}," for k in range(2000)) + " of the x1"
+    rows = pa.RecordBatch.from_pydict({"lang": ["en"], "text": [text]})
+    data = np.frombuffer(text.encode(), np.uint8)
+    pieces, told = Pieces(rows, data, np.array([0, len(data)])), Named(4)
+    of = pieces.grams(3)
+    told.add(pieces, 3, of, pieces.hashes(2, of))
+    (row,) = told.packed().to_pylist()
+    schema = pa.schema([("slice", pa.int64()), ("part", pa.int64()), ("lang", pa.string()), ("places", pa.binary()), ("counts", pa.binary())])
+    batch = pa.RecordBatch.from_pylist([{"slice": row["part"], "part": 0, "lang": "en", "places": row["phrases"], "counts": row["counts"]}], schema)
+    size, peak = len(row["phrases"]), {}
+    for tasks in (20, 400):
+        tracemalloc.start()
+        found = [r for b in _read((batch for _ in range(tasks)), 4, 10, 1 << 20, 4 * size) for r in b.to_pylist()]
+        peak[tasks] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        expected = {f"of the x{k}": tasks * (2 if k == 1 else 1) for k in range(2000)} | {"of the": 2001 * tasks}
+        assert {r["phrase"]: r["n"] for r in found} == expected
+    assert peak[400] < 3 * peak[20]
+
+
 def test_counts_past_a_byte(spark, rows):
     """A task may hold more of a bucket than its smallest counters do."""
     many = rows * 40
